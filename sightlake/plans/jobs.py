@@ -91,7 +91,11 @@ def merge_pull(
     if held is not None:
         orig = readers.read_report_lines(spark, held.path)
         merged = merge.merge_reports(new_lines, orig, dedupe_orig=dedupe_orig)
-    merged, seen = _counted(merged, "merge")
+    # Counting links has every line parsed, so that a malformed one stops the merge.
+    seen = Observation("merge")
+    merged = merged.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count("report_link").alias("links")
+    )
     writers.write_lines(merged, path)
     return versions.commit_version(spark, root, number, pull, path, seen.get["rows"])
 

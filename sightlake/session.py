@@ -40,13 +40,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return hadoop_path.getFileSystem(conf), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop_path = _file_system(spark, path)
+    return files.exists(hadoop_path)
+
+
 def drop_staged(spark: SparkSession, *tables: DataFrame) -> None:
     """Remove the files behind staged tables once nothing reads them any more."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {os.path.dirname(f) for t in tables for f in t.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        files, hadoop_path = _file_system(spark, folder)
+        files.delete(hadoop_path, True)
 
 
 def measured_bytes(df: DataFrame) -> int:

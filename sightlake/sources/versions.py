@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sightlake.session import path_exists
+
 LOG_SCHEMA = "version long, pull string, path string, num_rows long"
 
 
@@ -25,10 +26,10 @@ class Version(NamedTuple):
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(LOG_SCHEMA).json(f"{root}/log")
-    except AnalysisException:  # first run: nothing committed yet
+    path = f"{root}/log"
+    if not path_exists(spark, path):  # first run: nothing committed yet
         return spark.createDataFrame([], LOG_SCHEMA)
+    return spark.read.schema(LOG_SCHEMA).json(path)
 
 
 def current_version(spark: SparkSession, root: str) -> Version | None:
