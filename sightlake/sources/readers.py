@@ -65,21 +65,24 @@ def read_locations(
     spark: SparkSession, path: str, na_tokens: Iterable[str] = NA_TOKENS
 ) -> DataFrame:
     """City location table: key and place names; missing-value tokens become null."""
-    table = read_string_csv(spark, path, multi_line=False)
+    table = read_string_csv(spark, path)
     return _typed(table, schemas.LOCATION_TYPES, lambda c: tokens_to_null(c, na_tokens))
 
 
 def read_blocks(
     spark: SparkSession, path: str, na_tokens: Iterable[str] = NA_TOKENS
 ) -> DataFrame:
-    """Address block table: location key and coordinates."""
+    """Address block table: location key and coordinates.
+
+    The one large CSV. It holds no free text, so its files may be split.
+    """
     table = read_string_csv(spark, path, multi_line=False)
     return _typed(table, schemas.BLOCK_TYPES, lambda c: tokens_to_null(c, na_tokens))
 
 
 def read_cities(spark: SparkSession, path: str) -> DataFrame:
     """Gazetteer written by the gazetteer job."""
-    table = read_string_csv(spark, path, multi_line=False)
+    table = read_string_csv(spark, path)
     return _typed(table, schemas.CITY_TYPES, blank_to_null)
 
 
