@@ -43,79 +43,88 @@ DELTA = [
 ]
 
 
-def _series(coefficients: list[float], term) -> Column:
-    total = F.lit(0.0)
-    for j, k in enumerate(coefficients, start=1):
-        total = total + F.lit(k) * term(j)
-    return total
+# The expressions below are SQL text: a few hundred terms parse in one go, where building
+# them column by column takes longer than computing them.
 
 
-def northing(latitude: Column) -> Column:
-    """Northing of a point on its own central meridian, in units of the rectifying radius."""
-    phi = F.radians(latitude)
-    tau = F.tan(phi)
-    sigma = F.sinh(F.lit(_E) * F.atanh(F.lit(_E) * F.sin(phi)))
-    conformal = F.atan(tau * F.sqrt(1 + sigma * sigma) - sigma * F.sqrt(1 + tau * tau))
-    return conformal + _series(ALPHA, lambda j: F.sin(2 * j * conformal))
+def _series(coefficients: list[float], function: str, x: str, factor: str = "1") -> str:
+    """Sum of coefficient * function(2 j x), each term times a factor that may name {j}."""
+    return " + ".join(
+        f"{k!r}D * {function}({2 * j} * {x}) * {factor.format(j=j)}"
+        for j, k in enumerate(coefficients, start=1)
+    )
 
 
-def _circle(radius_m: float, quad_segs: int) -> Column:
-    """Constants of each vertex, clockwise from east, the first repeated at the end."""
-    steps = 4 * quad_segs
+def _let(name: str, value: str, body: str) -> str:
+    """Bind a value to a name: a lambda over one element computes it once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _northing(latitude: str, body: str) -> str:
+    """Bind ``centre``, the northing of a point on its own central meridian.
+
+    In units of the rectifying radius, by way of the conformal latitude ``chi``.
+    """
+    chi = "atan(tan(phi) * sqrt(1 + sigma * sigma) - sigma * sqrt(1 + tan(phi) * tan(phi)))"
+    return _let("phi", f"radians({latitude})", _let(
+        "sigma", f"sinh({_E!r}D * atanh({_E!r}D * sin(phi)))", _let(
+            "chi", chi, _let("centre", f"chi + {_series(ALPHA, 'sin', 'chi')}", body))))
+
+
+def _eastern_half(radius_m: float, quad_segs: int) -> str:
+    """Constants of the eastern half circle's vertices, clockwise from north to south."""
     vertices = []
-    for k in range(steps + 1):
-        angle = 2 * math.pi * (k % steps) / steps
-        eta = radius_m * math.cos(angle) / RECTIFYING_RADIUS
-        fields = [
-            F.lit(-radius_m * math.sin(angle) / RECTIFYING_RADIUS).alias("dxi"),
-            F.lit(eta).alias("eta"),
-        ]
-        for j, beta in enumerate(BETA, start=1):
-            fields.append(F.lit(beta * math.cosh(2 * j * eta)).alias(f"s{j}"))
-            fields.append(F.lit(beta * math.sinh(2 * j * eta)).alias(f"c{j}"))
-        vertices.append(F.struct(*fields))
-    return F.array(*vertices)
+    for k in range(2 * quad_segs + 1):
+        angle = math.pi / 2 * (1 - k / quad_segs)
+        xi = radius_m * math.sin(angle) / RECTIFYING_RADIUS
+        eta = radius_m * (0.0 if k % (2 * quad_segs) == 0 else math.cos(angle)) / RECTIFYING_RADIUS
+        fields = [f"{xi!r}D AS dxi", f"{eta!r}D AS eta"]
+        for j in range(1, len(BETA) + 1):
+            fields.append(f"{math.cosh(2 * j * eta)!r}D AS ch{j}")
+            fields.append(f"{math.sinh(2 * j * eta)!r}D AS sh{j}")
+        vertices.append(f"struct({', '.join(fields)})")
+    return f"array({', '.join(vertices)})"
 
 
-def _wrap(lon: Column) -> Column:
-    return F.when(lon > 180, lon - 360).when(lon < -180, lon + 360).otherwise(lon)
+def _side(part: str, longitude: str, sign: str) -> str:
+    lon = f"{longitude} {sign} p.dlon"
+    wrapped = f"CASE WHEN {lon} > 180 THEN {lon} - 360 WHEN {lon} < -180 THEN {lon} + 360 ELSE {lon} END"
+    return f"transform({part}, p -> named_struct('lon', {wrapped}, 'lat', p.lat))"
 
 
 def buffer_ring(
-    longitude: Column, latitude: Column, radius_km: float = 100, quad_segs: int = 16
+    longitude: str, latitude: str, radius_km: float = 100, quad_segs: int = 16
 ) -> Column:
-    """Ring of ``4 * quad_segs + 1`` vertices as array<struct<lon, lat>>; null for a null point."""
-    jays = range(1, len(BETA) + 1)
-
-    # Each step hands its results on in a struct, so nothing is computed twice.
-    def placed(centre: Column) -> Column:
-        return F.transform(
-            _circle(radius_km * 1000, quad_segs),
-            lambda v: F.struct((centre + v["dxi"]).alias("xi"), v.alias("v")),
-        )
-
-    def conformal(p: Column) -> Column:
-        xi, v = p["xi"], p["v"]
-        xi_c = xi - sum((F.sin(2 * j * xi) * v[f"s{j}"] for j in jays), F.lit(0.0))
-        eta_c = v["eta"] - sum((F.cos(2 * j * xi) * v[f"c{j}"] for j in jays), F.lit(0.0))
-        return F.struct(xi_c.alias("xi"), eta_c.alias("eta"))
-
-    def spherical(p: Column) -> Column:
-        return F.struct(
-            F.atan2(F.sinh(p["eta"]), F.cos(p["xi"])).alias("dlon"),
-            F.asin(F.sin(p["xi"]) / F.cosh(p["eta"])).alias("chi"),
-        )
-
-    def geographic(p: Column) -> Column:
-        lat = p["chi"] + _series(DELTA, lambda j: F.sin(2 * j * p["chi"]))
-        lon = longitude + F.degrees(p["dlon"])
-        return F.struct(_wrap(lon).alias("lon"), F.degrees(lat).alias("lat"))
-
-    # A one-element array binds the northing, so that it is computed once per row.
-    ring = F.flatten(F.transform(F.array(northing(latitude)), placed))
-    for step in (conformal, spherical, geographic):
-        ring = F.transform(ring, step)
-    return F.when(longitude.isNotNull() & latitude.isNotNull(), ring)
+    """Ring around the point in two columns as array<struct<lon, lat>>; null for a null point.
+
+    ``4 * quad_segs + 1`` vertices, clockwise from east, the first repeated at the end. The
+    western half mirrors the eastern one, which alone is computed.
+    """
+    placed = (
+        f"transform({_eastern_half(radius_km * 1000, quad_segs)}, "
+        "v -> named_struct('xi', centre + v.dxi, 'v', v))"
+    )
+    conformal = (
+        f"transform({placed}, p -> named_struct("
+        f"'xi', p.xi - ({_series(BETA, 'sin', 'p.xi', 'p.v.ch{j}')}), "
+        f"'eta', p.v.eta - ({_series(BETA, 'cos', 'p.xi', 'p.v.sh{j}')})))"
+    )
+    spherical = (
+        f"transform({conformal}, p -> named_struct("
+        "'dlon', atan2(sinh(p.eta), cos(p.xi)), 'chi', asin(sin(p.xi) / cosh(p.eta))))"
+    )
+    geographic = (
+        f"transform({spherical}, p -> named_struct("
+        f"'dlon', degrees(p.dlon), 'lat', degrees(p.chi + {_series(DELTA, 'sin', 'p.chi')})))"
+    )
+    quarter = quad_segs + 1
+    sides = [
+        _side(f"slice(east, {quarter}, {quarter})", longitude, "+"),
+        _side(f"reverse(slice(east, 2, {2 * quad_segs - 1}))", longitude, "-"),
+        _side(f"slice(east, 1, {quarter})", longitude, "+"),
+    ]
+    ring = _northing(latitude, _let("east", geographic, f"concat({', '.join(sides)})"))
+    return F.expr(f"CASE WHEN {longitude} IS NOT NULL AND {latitude} IS NOT NULL THEN {ring} END")
 
 
 def ring_to_geojson(ring: Column) -> Column:

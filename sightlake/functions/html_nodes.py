@@ -10,6 +10,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator, Sequence
 from html.parser import HTMLParser
+from itertools import accumulate, chain
 from xml.etree.ElementTree import Comment, Element, ProcessingInstruction, TreeBuilder
 
 import pyarrow as pa
@@ -39,10 +40,6 @@ IMPLIED_END = {
     "option": ({"option"}, {"select"}),
 }
 
-LINK = pa.struct([("text", pa.string()), ("href", pa.string())])
-CELL = pa.struct([("bold", pa.string()), ("href", pa.string())])
-DETAIL = pa.struct([("texts", pa.list_(pa.string())), ("labels", pa.list_(pa.string()))])
-
 
 class TreeParser(HTMLParser):
     """Builds an element tree; text nodes end at any tag that opens or closes something."""
@@ -53,6 +50,9 @@ class TreeParser(HTMLParser):
         self.builder.start("page", {})
         self.open: list[str] = []
 
+    def updatepos(self, i, j):
+        return j  # nobody asks for line numbers, and counting them is slow
+
     def tree(self, html: str) -> Element:
         self.feed(html)
         self.close()
@@ -135,22 +135,23 @@ def first_link(element: Element) -> str | None:
     return next((a.get("href") for a in element.iterfind("a") if a.get("href") is not None), None)
 
 
-def links_at(page: Element, path: Sequence[str]) -> list[dict]:
+def links_at(page: Element, path: Sequence[str]) -> list[tuple]:
     """First text node and target of each element at the end of a child path."""
     found = page.iterfind(".//" + "/".join(path))
-    return [{"text": first_text(a), "href": a.get("href")} for a in found]
+    return [(first_text(a), a.get("href")) for a in found]
 
 
-def listing_cells(page: Element) -> list[list[dict]]:
-    """Per table body row, the first text node and first link of every cell in it."""
-    return [
-        [{"text": first_text(td), "href": first_link(td)} for td in row.iter("td")]
-        for row in page.iterfind(".//table/tbody/tr")
-    ]
+def listing_cells(page: Element) -> list[tuple]:
+    """Per table body row, the first cell's link and the first text node of every cell."""
+    rows = []
+    for row in page.iterfind(".//table/tbody/tr"):
+        cells = list(row.iter("td"))
+        rows.append((first_link(cells[0]) if cells else None, [first_text(c) for c in cells]))
+    return rows
 
 
-def detail_nodes(page: Element, css_class: str) -> dict:
-    """Text directly in the report areas and the labels below them, in document order."""
+def detail_nodes(page: Element, css_class: str) -> tuple[list[str], list[str]]:
+    """Text directly in the report areas, and the labels below them, in document order."""
     texts: list[str] = []
     labels: list[str] = []
     # Stack entries: an element and whether it lies in an area, or a text node to take.
@@ -176,29 +177,54 @@ def detail_nodes(page: Element, css_class: str) -> dict:
                 pending.append((child, inside))
             take(child.tail)
         todo.extend(reversed(pending))
-    return {"texts": texts, "labels": labels}
+    return texts, labels
 
 
-def table_cells(page: Element) -> list[dict]:
-    """Cells of rows directly in a table: first bold text and first link."""
+def table_cells(page: Element) -> list[tuple]:
+    """First bold text and first link of each cell of rows directly in a table."""
     return [
-        {
-            "bold": next((t for b in td.iterfind("b") for t in direct_text(b)), None),
-            "href": first_link(td),
-        }
+        (next((t for b in td.iterfind("b") for t in direct_text(b)), None), first_link(td))
         for td in page.iterfind(".//table/tr/td")
     ]
 
 
-def _html_udf(html: Column, collect: Callable[[Element], object], arrow: pa.DataType, ddl: str):
+# Results go to Arrow column by column; one dict per node would cost as much as parsing.
+
+
+def _strings(values: list) -> pa.Array:
+    return pa.array(values, pa.string())
+
+
+def _lists(lists: list[list], build: Callable[[list], pa.Array]) -> pa.Array:
+    offsets = pa.array([0, *accumulate(map(len, lists))], pa.int32())
+    return pa.ListArray.from_arrays(offsets, build(list(chain.from_iterable(lists))))
+
+
+def _structs(rows: list[tuple], **fields: Callable[[list], pa.Array]) -> pa.Array:
+    columns = list(zip(*rows)) or [()] * len(fields)
+    arrays = [build(list(values)) for build, values in zip(fields.values(), columns)]
+    return pa.StructArray.from_arrays(arrays, list(fields))
+
+
+def _string_lists(lists: list[list]) -> pa.Array:
+    return _lists(lists, _strings)
+
+
+def _html_udf(
+    html: Column,
+    collect: Callable[[Element], object],
+    empty: object,
+    build: Callable[[list], pa.Array],
+    ddl: str,
+) -> Column:
     @F.arrow_udf(ddl)
     def nodes(pages: pa.Array) -> pa.Array:
         results = []
         for page in pages:
             text = page.as_py()
             tree = parse_page(text) if text is not None else None
-            results.append(collect(tree) if tree is not None else None)
-        return pa.array(results, arrow)
+            results.append(empty if tree is None else collect(tree))
+        return build(results)
 
     return nodes(html)
 
@@ -206,28 +232,33 @@ def _html_udf(html: Column, collect: Callable[[Element], object], arrow: pa.Data
 def link_nodes(html: Column, path: Sequence[str]) -> Column:
     path = tuple(path)
     return _html_udf(
-        html, lambda page: links_at(page, path), pa.list_(LINK),
+        html, lambda page: links_at(page, path), [],
+        lambda pages: _lists(pages, lambda rows: _structs(rows, text=_strings, href=_strings)),
         "array<struct<text: string, href: string>>",
     )
 
 
-def cell_nodes(html: Column) -> Column:
+def listing_nodes(html: Column) -> Column:
     return _html_udf(
-        html, listing_cells, pa.list_(pa.list_(LINK)),
-        "array<array<struct<text: string, href: string>>>",
+        html, listing_cells, [],
+        lambda pages: _lists(pages, lambda rows: _structs(rows, href=_strings, texts=_string_lists)),
+        "array<struct<href: string, texts: array<string>>>",
     )
 
 
 def detail_texts(html: Column, css_class: str) -> Column:
     return _html_udf(
-        html, lambda page: detail_nodes(page, css_class), DETAIL,
+        html, lambda page: detail_nodes(page, css_class), ([], []),
+        lambda pages: _structs(pages, texts=_string_lists, labels=_string_lists),
         "struct<texts: array<string>, labels: array<string>>",
     )
 
 
 def description_cells(html: Column) -> Column:
     return _html_udf(
-        html, table_cells, pa.list_(CELL), "array<struct<bold: string, href: string>>"
+        html, table_cells, [],
+        lambda pages: _lists(pages, lambda rows: _structs(rows, bold=_strings, href=_strings)),
+        "array<struct<bold: string, href: string>>",
     )
 
 

@@ -25,11 +25,10 @@ INDEX_PATH = ("tr", "td", "u", "a")
 DETAIL_CLASS = "content-area clr"
 SKIPPED_TEXTS = 9  # text nodes before the report's own text (fixed value)
 
-# Column by cell number in a listing row (fixed values).
+# Column by cell number in a listing row; cell 0 holds the link (fixed values).
 CELL_COLUMNS = {
     "date_time": 1, "city": 2, "state": 3, "country": 4, "shape": 5, "summary": 6, "posted": 8,
 }
-LINK_CELL = 0
 
 
 @dataclass(frozen=True)
@@ -95,23 +94,18 @@ def listing_rows(pages: DataFrame, site: Site) -> DataFrame:
     ``link_url`` is the page the row links to. Rows of seven cells have no posted date;
     other rows short of nine cells lack a column they should have.
     """
-    cells = F.col("cells")
-
-    def text(i: int) -> Column:
-        return F.get(cells, F.lit(i))["text"]
-
     rows = (
         pages.where(F.col("html").rlike(r"(?i)<tbody[\s/>]"))
-        .select("url", F.explode(html_nodes.cell_nodes(F.col("html"))).alias("cells"))
-        .where(F.size("cells") > 0)
+        .select("url", F.explode(html_nodes.listing_nodes(F.col("html"))).alias("row"))
+        .select("url", "row.href", "row.texts")
+        .where(F.size("texts") > 0)
     )
-    href = F.get(cells, F.lit(LINK_CELL))["href"]
-    n = F.size(cells)
+    href, n = F.col("href"), F.size("texts")
     return rows.select(
         "url",
         F.concat(F.lit(site.report_base), href).alias("report_link"),
         resolve_link(F.col("url"), href).alias("link_url"),
-        *[text(i).alias(name) for name, i in CELL_COLUMNS.items()],
+        *[F.get("texts", F.lit(i)).alias(name) for name, i in CELL_COLUMNS.items()],
         F.when((n < 7) | (n == 8), "short row").when(href.isNull(), "no target").alias("problem"),
     )
 
@@ -127,11 +121,8 @@ def quarantined(rows: DataFrame) -> DataFrame:
 def report_detail(pages: DataFrame) -> DataFrame:
     """Text, duration and stats of each report page."""
     nodes = F.col("nodes")
-    texts = F.transform(F.coalesce(nodes["texts"], F.array().cast("array<string>")), strip_ws)
-    labels = F.transform(
-        F.coalesce(nodes["labels"], F.array().cast("array<string>")),
-        lambda label: F.substring_index(label, ":", 1),
-    )
+    texts = F.transform(nodes["texts"], strip_ws)
+    labels = F.transform(nodes["labels"], lambda label: F.substring_index(label, ":", 1))
     values = F.filter("texts", lambda t: t != "")
     # Paired by position; the longer list is cut, where zipping alone would pad.
     n = F.least(F.size("labels"), F.size("values"))

@@ -44,5 +44,5 @@ def parse_placemarks(placemarks: DataFrame) -> DataFrame:
 
 def with_buffer(sites: DataFrame, radius_km: int = 100, quad_segs: int = 16) -> DataFrame:
     """Sites with the GeoJSON polygon of a circle around each."""
-    ring = buffer_ring(F.col("longitude"), F.col("latitude"), radius_km, quad_segs)
+    ring = buffer_ring("longitude", "latitude", radius_km, quad_segs)
     return sites.withColumn(f"buffer_{radius_km}km_geojson", ring_to_geojson(ring))

@@ -44,12 +44,14 @@ DETAIL_HTML = (
 )
 
 
-def _shown(df, *columns):
-    return df.selectExpr(*columns)
+def _shown(spark, sf_dir, name, *columns):
+    """Pages built from a table; parsing them is heavy, so small tables are spread first."""
+    return session.spread(table(spark, sf_dir, name)).selectExpr(*columns)
 
 
 def nav_links(spark, sf_dir):
-    return extract.index_rows(table(spark, sf_dir, "pages"), ("nav", "ul", "li", "a"))
+    pages = readers.read_pages(spark, f"{sf_dir}/pages.parquet")
+    return extract.index_rows(pages, ("nav", "ul", "li", "a"))
 
 
 def host_filter(spark, sf_dir):
@@ -58,7 +60,7 @@ def host_filter(spark, sf_dir):
 
 
 def index_pages(spark, sf_dir):
-    return _shown(table(spark, sf_dir, "orders"), f"'{INDEX_URL}' AS url", f"{INDEX_HTML} AS html")
+    return _shown(spark, sf_dir, "orders", f"'{INDEX_URL}' AS url", f"{INDEX_HTML} AS html")
 
 
 def index_links(spark, sf_dir):
@@ -76,7 +78,7 @@ def index_quarantine(spark, sf_dir):
 
 def listing_pages(spark, sf_dir, link):
     return _shown(
-        table(spark, sf_dir, "orders"), f"concat('https://reports.example/day?d=', {DAY}, '&n=1') AS url",
+        spark, sf_dir, "orders", f"concat('https://reports.example/day?d=', {DAY}, '&n=1') AS url",
         f"{LISTING_HTML.format(link=link)} AS html")
 
 
@@ -94,7 +96,7 @@ def listing_quarantine(spark, sf_dir):
 
 def _details(spark, sf_dir):
     """Two copies of every customer's page, on two hosts and with different texts."""
-    customers = table(spark, sf_dir, "customer")
+    customers = session.spread(table(spark, sf_dir, "customer"))
     html = DETAIL_HTML.format(key="c_custkey", name="c_name", extra="copy")
     return customers.selectExpr("*", "explode(array('b', 'a')) AS copy").selectExpr(
         "concat(CASE copy WHEN 'a' THEN 'http://' ELSE 'https://www.' END, 'reports.example/s?id=', "
@@ -116,7 +118,7 @@ def pull_reports(spark, sf_dir):
     pages = index_pages(spark, sf_dir).unionByName(
         listing_pages(spark, sf_dir, "concat('/s?id=', o_orderkey)")
     ).unionByName(_shown(
-        table(spark, sf_dir, "orders"),
+        spark, sf_dir, "orders",
         "concat('https://reports.example/s?id=', o_orderkey) AS url", f"{detail} AS html"))
     path, out = session.staging_path(spark, "pages"), session.staging_path(spark, "raw")
     pages.write.parquet(path)

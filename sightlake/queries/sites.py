@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from sightlake.functions.geodesy import ALPHA, BETA, DELTA, RECTIFYING_RADIUS, buffer_ring, ring_to_geojson
 from sightlake.operators import extract, sites
 from sightlake.queries import Query, table
+from sightlake.session import spread
 from sightlake.sources.readers import parse_placemark
 
 LON, LAT = "(c_custkey * 37) % 360 - 179.75", "(c_custkey * 13) % 160 - 79.5"
@@ -21,7 +22,7 @@ VERTICES = {"east": 0, "southeast": 8, "southwest": 25, "north": 48}
 
 
 def _parsed(spark, sf_dir):
-    marks = table(spark, sf_dir, "supplier").selectExpr(f"{PLACEMARK} AS xml")
+    marks = spread(table(spark, sf_dir, "supplier")).selectExpr(f"{PLACEMARK} AS xml")
     return sites.parse_placemarks(marks.select(parse_placemark(F.col("xml")).alias("p")).select("p.*"))
 
 
@@ -34,16 +35,15 @@ def placemark_quarantine(spark, sf_dir):
 
 
 def _rings(spark, sf_dir):
-    ring = buffer_ring(F.col("lon"), F.col("lat"))
-    points = table(spark, sf_dir, "customer").selectExpr(
+    ring = buffer_ring("lon", "lat")
+    points = spread(table(spark, sf_dir, "customer")).selectExpr(
         "c_custkey", f"cast({LON} AS double) AS lon", f"cast({LAT} AS double) AS lat")
     return points.select("c_custkey", ring.alias("ring"))
 
 
 def site_buffer(spark, sf_dir):
-    # One selection straight from the ring, so that it is computed once per row.
-    picked = F.transform(
-        F.array(*[F.lit(k) for k in VERTICES.values()]), lambda k: F.get("ring", k))
+    # One filter over the ring, so that it is computed once per row.
+    picked = F.filter("ring", lambda p, k: k.isin(*VERTICES.values()))
     rings = _rings(spark, sf_dir).select("c_custkey", picked.alias("v"))
     columns = []
     for i, name in enumerate(VERTICES):

@@ -58,6 +58,16 @@ def drop_staged(spark: SparkSession, *tables: DataFrame) -> None:
         files.delete(hadoop_path, True)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with at least one partition per core, for work that is heavy per row.
+
+    A table of few small files would keep most cores idle while pages are parsed. A table
+    that fills the cluster comes back as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Upper estimate of the table's in-memory size, from one aggregate over it."""
     def width(field: T.StructField):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sightlake import schemas
 from sightlake.functions.text import blank_to_null, tokens_to_null
+from sightlake.session import spread
 
 # Cell values read as missing in the geolocation files (fixed values).
 NA_TOKENS = [
@@ -100,7 +101,7 @@ def register_reports(reports: DataFrame, name: str = "reports") -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Stored pages: url and html, and no other column."""
-    return spark.read.parquet(path).select("url", "html")
+    return spread(spark.read.parquet(path).select("url", "html"))
 
 
 def read_placemarks(spark: SparkSession, path: str) -> DataFrame:

@@ -57,7 +57,7 @@ def vincenty(lon1, lat1, lon2, lat2):
 
 def ring_of(spark, lon, lat, *args):
     df = spark.createDataFrame([(lon, lat)], "lon double, lat double")
-    return df.select(buffer_ring(F.col("lon"), F.col("lat"), *args).alias("r")).first().r
+    return df.select(buffer_ring("lon", "lat", *args).alias("r")).first().r
 
 
 def test_known_distances(spark):
@@ -75,7 +75,7 @@ def test_rings_keep_their_distance(spark):
     points = [(rng.uniform(-180, 180), rng.uniform(-80, 80)) for _ in range(60)]
     points += [(179.99, 10.0), (-180.0, 0.0), (0.0, 0.0)]
     df = spark.createDataFrame(points, "lon double, lat double")
-    for r in df.withColumn("ring", buffer_ring(F.col("lon"), F.col("lat"))).collect():
+    for r in df.withColumn("ring", buffer_ring("lon", "lat")).collect():
         for p in r.ring[::4]:
             assert -180 <= p.lon <= 180
             off = min((p.lon - r.lon) % 360, (r.lon - p.lon) % 360)
@@ -86,7 +86,7 @@ def test_ring_options_and_nulls(spark):
     assert len(ring_of(spark, 1.0, 2.0, 5, 4)) == 17
     assert ring_of(spark, None, 2.0) is None and ring_of(spark, 1.0, None) is None
     df = spark.createDataFrame([(1.0, None)], "lon double, lat double")
-    out = df.select(ring_to_geojson(buffer_ring(F.col("lon"), F.col("lat"))).alias("g")).first()
+    out = df.select(ring_to_geojson(buffer_ring("lon", "lat")).alias("g")).first()
     assert out.g is None
 
 
