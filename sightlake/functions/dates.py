@@ -32,15 +32,15 @@ def as_timestamp(as_of: datetime | str | Column | None) -> Column:
 
 
 def _parts(c: Column, pattern: str, separators: str) -> Column:
-    # The parts stay null for a value that does not match, and so does all that
-    # is computed from them; no branch keeps the split from being shared.
     return F.split(F.when(c.rlike(pattern), c), separators)
 
 
-def parse_report_ts(c: Column) -> Column:
-    """``M/d/yy H:mm`` or ``M/d/yy`` to timestamp_ntz; anything else is null."""
-    parts = _parts(c, REPORT_TS, rf"[/:{WS_CLASS}]+")
+def report_ts_parts(c: Column) -> Column:
+    """Month, day, year and, if there, hour and minute of a report date; null if malformed."""
+    return _parts(c, REPORT_TS, rf"[/:{WS_CLASS}]+")
+
 
+def ts_from_parts(parts: Column) -> Column:
     def part(i: int) -> Column:
         return F.get(parts, F.lit(i)).try_cast("int")
 
@@ -52,6 +52,11 @@ def parse_report_ts(c: Column) -> Column:
     )
 
 
+def parse_report_ts(c: Column) -> Column:
+    """``M/d/yy H:mm`` or ``M/d/yy`` to timestamp_ntz; anything else is null."""
+    return ts_from_parts(report_ts_parts(c))
+
+
 def parse_link_date(c: Column) -> Column:
     """``yyyy-M-d`` to date; anything else is null."""
     parts = _parts(c, LINK_DATE, "[- ]+")
@@ -76,9 +81,3 @@ def settle_future(ts: Column, as_of: Column, future: str = "null") -> Column:
     if future == "minus_100y":
         return F.when(ts > as_of, ts - F.make_interval(years=F.lit(100))).otherwise(ts)
     raise ValueError(f"future must be 'null' or 'minus_100y', not {future!r}")
-
-
-def couple(first: Column, second: Column) -> tuple[Column, Column]:
-    """Keep both dates only where both are known."""
-    known = first.isNotNull() & second.isNotNull()
-    return F.when(known, first), F.when(known, second)

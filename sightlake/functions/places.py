@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sightlake.functions.text import WS_CLASS, has_text, strip_ws
+from sightlake.functions.text import WS_CLASS, strip_ws
 
 # Shapes merged after lower-casing (fixed values).
 SHAPE_MERGES = {"triangular": "triangle"}
@@ -28,10 +28,8 @@ CITY_FIXES = [
 
 
 def _replace_whole(c: Column, table: dict[str, str]) -> Column:
-    result = c
-    for old, new in table.items():
-        result = F.when(c == old, F.lit(new)).otherwise(result)
-    return result
+    replacements = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    return F.coalesce(F.try_element_at(replacements, c), c)
 
 
 def clean_shape(shape: Column, merges: dict[str, str] = SHAPE_MERGES) -> Column:
@@ -61,26 +59,28 @@ def expand_prefix(city: Column, short: str, full: str) -> Column:
     return F.regexp_replace(city, rf"^(?i:{word})[{WS_CLASS}]*?(?= |\z)", full)
 
 
+# What a city must hold for normalising to change it: most names pass this one look.
+IRREGULAR_CITY = (
+    rf"[(/]|^[{WS_CLASS}]|[{WS_CLASS}]\z|^(?i:"
+    + "|".join(short.replace(".", r"\.") for short in CITY_PREFIXES) + ")"
+)
+
+
 def normalize_city(city: Column) -> Column:
-    city = first_of_slashes(strip_parens(city))
-    for short, full in CITY_PREFIXES.items():
-        city = expand_prefix(city, short, full)
-    return city
+    """Without parentheses, second names and abbreviated first words, and stripped."""
+    full = first_of_slashes(strip_parens(city))
+    for short, word in CITY_PREFIXES.items():
+        full = expand_prefix(full, short, word)
+    return F.when(city.rlike(IRREGULAR_CITY), full).otherwise(city)
 
 
 def fix_city(city: Column, state: Column) -> Column:
     """Spot corrections that bring city names in line with the gazetteer."""
     folded = F.lower(city)
-    result = city
+    result = F
     for name, only_in, replacement in CITY_FIXES:
         hit = folded == name
         if only_in is not None:
             hit = hit & (state == only_in)
-        result = F.when(hit, F.lit(replacement)).otherwise(result)
-    return result
-
-
-def clean_city(city: Column, state: Column) -> Column:
-    """Cleaned city; left alone unless city and (cleaned) state both hold text."""
-    cleaned = fix_city(normalize_city(city), state)
-    return F.when(has_text(city) & has_text(state), cleaned).otherwise(city)
+        result = result.when(hit, replacement)
+    return result.otherwise(city)

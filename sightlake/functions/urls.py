@@ -23,8 +23,8 @@ def host_allowed(url: Column, hosts: Sequence[str]) -> Column:
 
 def link_key(url: Column) -> Column:
     """What names a page apart from its host: path and query, without the fragment."""
-    rest = F.regexp_replace(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*|#.*", "")
-    return F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
+    rest = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*/?|^/|#.*"
+    return F.concat(F.lit("/"), F.regexp_replace(url, rest, ""))
 
 
 def resolve_link(page_url: Column, href: Column) -> Column:

@@ -1,4 +1,9 @@
-"""Standardising raw reports."""
+"""Standardising raw reports.
+
+All built-in expressions and no shuffle. Values used more than once are given a projection
+of their own, so that each regular expression runs once per row: Spark keeps neighbouring
+projections apart when merging them would repeat costly work.
+"""
 
 from __future__ import annotations
 
@@ -8,20 +13,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightlake.functions import dates, places
+from sightlake.functions.text import has_text
+
+DATES = ("posted", "date_time")
 
 
-def report_dates(
-    posted: Column,
-    date_time: Column,
+def clean_dates(
+    reports: DataFrame,
     as_of: datetime | str | Column | None = None,
     future: str = "null",
     couple_dates: bool = True,
-) -> tuple[Column, Column]:
-    """Parsed (posted, date_time). Coupled, one unusable date makes both null."""
+) -> DataFrame:
+    """Parse posted and date_time. Coupled, one unusable date makes both null."""
     now = dates.as_timestamp(as_of)
-    posted = dates.settle_future(dates.parse_report_ts(posted), now, future)
-    date_time = dates.settle_future(dates.parse_report_ts(date_time), now, future)
-    return dates.couple(posted, date_time) if couple_dates else (posted, date_time)
+    reports = reports.withColumns({c: dates.report_ts_parts(F.col(c)) for c in DATES})
+    reports = reports.withColumns({c: dates.ts_from_parts(F.col(c)) for c in DATES})
+    reports = reports.withColumns({c: dates.settle_future(F.col(c), now, future) for c in DATES})
+    if not couple_dates:
+        return reports
+    known = F.col(DATES[0]).isNotNull() & F.col(DATES[1]).isNotNull()
+    return reports.withColumns({c: F.when(known, F.col(c)) for c in DATES})
+
+
+def clean_places(reports: DataFrame) -> DataFrame:
+    """Clean shape, state and city. The city rules see the cleaned state.
+
+    A city stays as it is unless it and its state both hold text.
+    """
+    city, state = F.col("city"), F.col("state")
+    both = has_text(city) & has_text(state)
+    reports = reports.withColumns({
+        "shape": places.clean_shape(F.col("shape")),
+        "state": places.clean_state(state),
+        "city": F.when(both, places.normalize_city(city)).otherwise(city),
+    })
+    fixed = F.when(has_text(state), places.fix_city(city, state)).otherwise(city)
+    return reports.withColumn("city", fixed)
 
 
 def standardize(
@@ -30,16 +57,5 @@ def standardize(
     future: str = "null",
     couple_dates: bool = True,
 ) -> DataFrame:
-    """Raw reports with dates parsed and shape, state and city cleaned in place.
-
-    One narrow projection of built-in expressions. The city rules see the cleaned state.
-    """
-    posted, date_time = report_dates(
-        F.col("posted"), F.col("date_time"), as_of, future, couple_dates
-    )
-    return reports.withColumns({
-        "posted": posted,
-        "date_time": date_time,
-        "shape": places.clean_shape(F.col("shape")),
-        "state": places.clean_state(F.col("state")),
-    }).withColumn("city", places.clean_city(F.col("city"), F.col("state")))
+    """Raw reports with dates parsed and shape, state and city cleaned in place."""
+    return clean_places(clean_dates(reports, as_of, future, couple_dates))

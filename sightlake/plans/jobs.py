@@ -40,7 +40,7 @@ def pull_reports(
     pages = readers.read_pages(spark, pages_path)
     keyed = pages.withColumn("page_key", link_key(F.col("url")))
 
-    index = pages.where(link_key(F.col("url")) == link_key(F.lit(index_url)))
+    index = pages.where(F.col("url") == index_url)
     dated = session.stage(
         extract.dated_links(extract.index_rows(index), site.page_base), "links"
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from sightlake.functions import places
-from sightlake.operators.clean import report_dates, standardize
+from sightlake.operators.clean import clean_dates, clean_places, standardize
 from sightlake.queries import Query, case_of, table
 
 AS_OF = "2001-01-01"
@@ -66,9 +66,7 @@ def dirty_orders(spark, sf_dir):
 
 
 def _dates(spark, sf_dir, **options):
-    posted, date_time = report_dates(F.col("posted"), F.col("date_time"), AS_OF, **options)
-    return dirty_orders(spark, sf_dir).select(
-        "o_orderkey", posted.alias("posted"), date_time.alias("date_time"))
+    return clean_dates(dirty_orders(spark, sf_dir), AS_OF, **options)
 
 
 def clean_ts(spark, sf_dir):
@@ -85,9 +83,11 @@ def clean_ts_century(spark, sf_dir):
 
 def clean_city(spark, sf_dir):
     index = f"c_custkey % {len(CITIES)}"
-    city, state = picked(index, [c[0] for c in CITIES]), picked(index, [c[1] for c in CITIES])
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey", places.clean_city(city, places.clean_state(state)).alias("city"))
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.lit(None).cast("string").alias("shape"),
+        picked(index, [c[0] for c in CITIES]).alias("city"),
+        picked(index, [c[1] for c in CITIES]).alias("state"))
+    return clean_places(rows).select("c_custkey", "state", "city")
 
 
 def clean_state(spark, sf_dir):
@@ -151,7 +151,8 @@ QUERIES = {
         f"SELECT o_orderkey, CASE WHEN d IS NOT NULL THEN {_moved('p')} END AS posted, "
         f"CASE WHEN p IS NOT NULL THEN {_moved('d')} END AS date_time FROM ({PARSED_SQL})"),
     "clean_city": Query(
-        clean_city, f"SELECT c_custkey, {CITY_SQL.format(key='c_custkey')} AS city FROM customer"),
+        clean_city, f"SELECT c_custkey, {STATE_SQL.format(key='c_custkey')} AS state, "
+        f"{CITY_SQL.format(key='c_custkey')} AS city FROM customer"),
     "clean_state": Query(
         clean_state,
         f"SELECT c_custkey, {case_of(f'c_custkey % {len(STATES)}', [s[1] for s in STATES])} AS state "

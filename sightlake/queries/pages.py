@@ -108,7 +108,8 @@ def report_detail(spark, sf_dir):
 
 
 def assemble_reports(spark, sf_dir):
-    listing = extract.usable(_listing(spark, sf_dir))
+    # Written once, as in the pull job: its links are counted before the join.
+    listing = session.stage(extract.usable(_listing(spark, sf_dir)), "listing")
     return extract.assemble_reports(listing, extract.report_detail(_details(spark, sf_dir)))
 
 

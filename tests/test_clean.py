@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sightlake.functions import dates, places, text
-from sightlake.operators.clean import report_dates, standardize
+from sightlake.operators.clean import clean_dates, clean_places, standardize
 
 AS_OF = "2024-06-01T00:00:00"
 
@@ -95,17 +95,15 @@ FUTURE_CASES = [
     (2, {}), (3, {"future": "minus_100y"}), (4, {"couple_dates": False})])
 def test_future_and_coupling(spark, which, options):
     df = spark.createDataFrame([c[:2] for c in FUTURE_CASES], "posted string, date_time string")
-    p, d = report_dates(F.col("posted"), F.col("date_time"), AS_OF, **options)
-    got = [tuple(r) for r in df.coalesce(1).select(p.alias("p"), d.alias("d")).collect()]
+    got = [tuple(r) for r in clean_dates(df.coalesce(1), AS_OF, **options).collect()]
     assert got == [c[which] for c in FUTURE_CASES]
 
 
 def test_as_of_defaults_to_now(spark):
     soon = (datetime.now() + timedelta(days=3)).strftime("%m/%d/%y")
     past = (datetime.now() - timedelta(days=3)).strftime("%m/%d/%y")
-    df = spark.createDataFrame([(soon,), (past,)], "c string")
-    p, _ = report_dates(F.col("c"), F.col("c"))
-    assert [r.p is None for r in df.coalesce(1).select(p.alias("p")).collect()] == [True, False]
+    df = spark.createDataFrame([(soon, soon), (past, past)], "posted string, date_time string")
+    assert [r.posted is None for r in clean_dates(df.coalesce(1)).collect()] == [True, False]
 
 
 CITIES = [
@@ -119,15 +117,14 @@ CITIES = [
     ("St. Petersburg", "FL", "St. Petersburg"), ("Port St. Lucie", "FL", "Port Saint Lucie"),
     ("St. Peters", "MO", "City of Saint Peters"), ("St. Louis (x)", None, "St. Louis (x)"),
     ("St. Louis (x)", "", "St. Louis (x)"), ("", "TX", ""), (None, "TX", None),
-    ("Saint Peters", "IL", "Saint Peters"),
+    ("Saint Peters", "IL", "Saint Peters"), ("Washington, D.C.", None, "Washington, D.C."),
 ]
 
 
 def test_city_fixtures(spark):
-    rows = [(i, c, s) for i, (c, s, _) in enumerate(CITIES)]
-    df = spark.createDataFrame(rows, "i int, city string, state string")
-    cleaned = places.clean_city(F.col("city"), places.clean_state(F.col("state")))
-    got = [r.c for r in df.select("i", cleaned.alias("c")).orderBy("i").collect()]
+    rows = [(i, c, s, None) for i, (c, s, _) in enumerate(CITIES)]
+    df = spark.createDataFrame(rows, "i int, city string, state string, shape string")
+    got = [r.city for r in clean_places(df).orderBy("i").collect()]
     assert got == [c[2] for c in CITIES]
 
 
@@ -164,6 +161,15 @@ def test_text_rules_agree_with_python(spark, seed):
     got = column_of(spark, values, lambda c: places.expand_prefix(text.strip_ws(c), "st.", "Saint"))
     assert got == [expanded(v) for v in values]
 
+    def normalized(v):
+        v = re.sub(r"\(.*\)", "", v).strip().split("/")[0].strip()
+        for short, full in places.CITY_PREFIXES.items():
+            head, *rest = v.split(" ")
+            v = " ".join([full if head.strip().lower() == short else head, *rest])
+        return v
+
+    assert column_of(spark, values, places.normalize_city) == [normalized(v) for v in values]
+
 
 def test_standardize_is_native_and_keeps_columns(spark):
     raw = spark.createDataFrame(
@@ -176,3 +182,5 @@ def test_standardize_is_native_and_keeps_columns(spark):
     assert row.date_time == datetime(2019, 3, 5, 1) and row.posted == datetime(2019, 3, 7)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+    # One match per date and city; the parentheses and three prefixes for odd cities only.
+    assert plan.count("RLIKE") == 3 and plan.count("regexp_replace") == 4
