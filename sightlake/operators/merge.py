@@ -8,16 +8,25 @@ from pyspark.sql import functions as F
 from sightlake.operators.joins import lookup_join
 
 
+def distinct_links(updated: DataFrame, key: str = "report_link") -> DataFrame:
+    """One row per key: a hot link in the pull is collapsed before it is shuffled."""
+    return updated.select(key).distinct()
+
+
 def surviving_reports(
     updated: DataFrame,
     orig: DataFrame,
     key: str = "report_link",
     dedupe_orig: bool = False,
+    links: DataFrame | None = None,
     **join_options,
 ) -> DataFrame:
-    """Old reports whose key the new pull lacks; a null key equals a null key."""
-    # One row per key: a hot link in the pull is collapsed before it is shuffled.
-    links = updated.select(key).distinct()
+    """Old reports whose key the new pull lacks; a null key equals a null key.
+
+    ``links`` are the pull's distinct keys, if the caller has them at hand already.
+    """
+    if links is None:
+        links = distinct_links(updated, key)
     kept = lookup_join(orig, links, [key], "left_anti", null_safe=True, **join_options)
     if not dedupe_orig:
         return kept
@@ -33,11 +42,11 @@ def merge_reports(
     orig: DataFrame,
     key: str = "report_link",
     dedupe_orig: bool = False,
-    **join_options,
+    **options,
 ) -> DataFrame:
     """All new reports, duplicates included, and the old ones the pull does not replace.
 
     ``dedupe_orig`` keeps one old report per key, the smallest by its other columns.
     """
-    kept = surviving_reports(updated, orig, key, dedupe_orig, **join_options)
+    kept = surviving_reports(updated, orig, key, dedupe_orig, **options)
     return updated.unionByName(kept, allowMissingColumns=True)

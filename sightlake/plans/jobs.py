@@ -80,23 +80,23 @@ def merge_pull(
     """Merge a pull (``value``, ``report_link``) into the versioned raw table at root.
 
     The result becomes a new version; the one before stays readable. A pull already
-    committed under its name is not merged again.
+    committed under its name is not merged again. Versions hold the raw lines with their
+    links in Parquet, so a merge parses the new lines only.
     """
     done = versions.committed_pull(spark, root, pull) if pull is not None else None
     if done is not None:
         return done
     number, path = versions.next_path(spark, root)
     held = versions.current_version(spark, root)
-    merged = new_lines
+    staged = []
+    merged = new_lines.select("report_link", "value")
     if held is not None:
-        orig = readers.read_report_lines(spark, held.path)
-        merged = merge.merge_reports(new_lines, orig, dedupe_orig=dedupe_orig)
-    # Counting links has every line parsed, so that a malformed one stops the merge.
-    seen = Observation("merge")
-    merged = merged.observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.count("report_link").alias("links")
-    )
-    writers.write_lines(merged, path)
+        staged = [session.stage(merge.distinct_links(merged), "links")]
+        orig = spark.read.parquet(held.path)
+        merged = merge.merge_reports(merged, orig, dedupe_orig=dedupe_orig, links=staged[0])
+    merged, seen = _counted(merged, "merge")
+    merged.write.mode("overwrite").parquet(path)
+    session.drop_staged(spark, *staged)
     return versions.commit_version(spark, root, number, pull, path, seen.get["rows"])
 
 
@@ -106,6 +106,16 @@ def merge_pull_file(
     return merge_pull(spark, readers.read_report_lines(spark, new_path), root, pull, **options)
 
 
+def export_reports(spark: SparkSession, root: str, out_path: str) -> None:
+    """The current version as NDJSON, every line as it was pulled."""
+    writers.write_lines(spark.read.parquet(versions.current_version(spark, root).path), out_path)
+
+
+def held_reports(spark: SparkSession, root: str) -> DataFrame:
+    """The current version under the raw report schema."""
+    return readers.parse_lines(spark.read.parquet(versions.current_version(spark, root).path))
+
+
 def make_gazetteer(
     spark: SparkSession,
     locations_path: str,
@@ -124,7 +134,7 @@ def make_gazetteer(
 
 def enhance_reports(
     spark: SparkSession,
-    raw_path: str,
+    raw: DataFrame,
     cities_path: str,
     csv_path: str | None,
     parquet_path: str,
@@ -132,14 +142,12 @@ def enhance_reports(
     future: str = "null",
     couple_dates: bool = True,
 ) -> int:
-    """Raw reports to enhanced reports: Parquet for the other jobs, CSV for hand-over.
+    """Raw reports, from a file or held, to enhanced reports: Parquet and CSV.
 
-    The reports are parsed and geocoded once; the CSV is written from the Parquet table.
+    Parquet is for the other jobs, the CSV, written from it, for hand-over.
     """
     best = gazetteer.best_city(readers.read_cities(spark, cities_path))
-    reports = clean.standardize(
-        readers.read_raw_reports(spark, raw_path), as_of, future, couple_dates
-    )
+    reports = clean.standardize(raw, as_of, future, couple_dates)
     enhanced = gazetteer.geocode(reports, best)
     strings = [c for c, t in enhanced.dtypes if t == "string"]
     enhanced = enhanced.withColumns({c: blank_to_null(F.col(c)) for c in strings}).select(

@@ -6,7 +6,7 @@ from sightlake import schemas, session
 from sightlake.operators.merge import merge_reports
 from sightlake.plans import jobs
 from sightlake.queries import Query, cleaning, table
-from sightlake.sources import readers, versions, writers
+from sightlake.sources import readers, writers
 
 # Links repeat on both sides; some are null.
 NEW = (
@@ -51,8 +51,7 @@ def versioned_merge(spark, sf_dir):
     root = session.staging_path(spark, "versions")
     jobs.merge_pull(spark, _lines(held(spark, sf_dir)), root, "first")
     jobs.merge_pull(spark, _lines(new_pull(spark, sf_dir)), root, "second")
-    path = versions.current_version(spark, root).path
-    return readers.read_raw_reports(spark, path).select("report_link", "text", "shape")
+    return jobs.held_reports(spark, root).select("report_link", "text", "shape")
 
 
 def ndjson_round_trip(spark, sf_dir):

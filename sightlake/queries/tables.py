@@ -52,7 +52,8 @@ def enhance_reports(spark, sf_dir):
         session.staging_path(spark, n) for n in ("raw", "cities", "enhanced", "enhanced_parquet"))
     writers.write_ndjson(cleaning.raw_reports(spark, sf_dir), raw)
     writers.write_csv(_places(spark, sf_dir), cities)
-    jobs.enhance_reports(spark, raw, cities, out, parquet, cleaning.AS_OF)
+    jobs.enhance_reports(
+        spark, readers.read_raw_reports(spark, raw), cities, out, parquet, cleaning.AS_OF)
     return readers.read_enhanced_csv(spark, out)
 
 

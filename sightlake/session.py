@@ -71,9 +71,10 @@ def spread(scan: DataFrame) -> DataFrame:
 def measured_bytes(df: DataFrame) -> int:
     """Upper estimate of the table's in-memory size, from one aggregate over it."""
     def width(field: T.StructField):
-        if isinstance(field.dataType, T.StringType):
-            return F.coalesce(F.octet_length(field.name), F.lit(0)) + F.lit(24)
-        return F.lit(16)
+        if isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)):
+            return F.lit(16)
+        text = F.col(f"`{field.name}`").cast("string")
+        return F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(24)
 
     row_width = reduce(lambda a, b: a + b, [width(f) for f in df.schema.fields])
     return df.agg(F.sum(row_width.cast("long")).alias("bytes")).first()["bytes"] or 0

@@ -37,6 +37,12 @@ def with_report_link(lines: DataFrame) -> DataFrame:
     return lines.select("value", parsed["report_link"].alias("report_link"))
 
 
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Raw lines under the fixed all-string schema."""
+    parsed = F.from_json("value", schemas.RAW_REPORT, {"mode": "FAILFAST"})
+    return lines.select(parsed.alias("r")).select("r.*")
+
+
 def read_string_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header as all-string columns; empty cells are null.
 

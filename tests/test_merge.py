@@ -93,7 +93,7 @@ def write_pull(folder, name, records):
 
 def current(spark, root):
     path = versions.current_version(spark, root).path
-    return sorted(json.dumps(json.loads(r.value)) for r in spark.read.text(path).collect())
+    return sorted(json.dumps(json.loads(r.value)) for r in spark.read.parquet(path).collect())
 
 
 def test_versioned_merge(spark, tmp_path):
@@ -111,16 +111,21 @@ def test_versioned_merge(spark, tmp_path):
     want = sorted(map(json.dumps, [first[0], *second]))
     assert current(spark, root) == want
     assert jobs.merge_pull_file(spark, path, root, "two") == v2
-    assert len(spark.read.text(v1.path).collect()) == 2
+    assert spark.read.parquet(v1.path).count() == 2
     # Pulling the same thing again under no name is harmless, too.
     assert jobs.merge_pull_file(spark, path, root).num_rows == 3
     assert current(spark, root) == want
+    jobs.export_reports(spark, root, str(tmp_path / "out"))
+    lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert sorted(map(json.dumps, lines)) == want
+    held = {r.report_link: r for r in jobs.held_reports(spark, root).collect()}
+    assert (held["/r/a"].text, held["/r/a"].city, held["/r/c"].text) == ("1", None, "é")
 
 
 def test_uncommitted_version_is_written_again(spark, tmp_path):
     root = str(tmp_path / "raw")
     path = write_pull(tmp_path / "in", "1.json", [{"report_link": "a"}])
-    spark.createDataFrame([("half",)], "value string").write.text(f"{root}/v00000001")
+    spark.createDataFrame([("half",)], "value string").write.parquet(f"{root}/v00000001")
     assert jobs.merge_pull_file(spark, path, root, "one").version == 1
     assert current(spark, root) == ['{"report_link": "a"}']
 
