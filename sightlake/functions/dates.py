@@ -28,6 +28,8 @@ def as_timestamp(as_of: datetime | str | Column | None) -> Column:
     """The moment to compare against: given, or the session's local time."""
     if as_of is None:
         return F.localtimestamp()
+    if isinstance(as_of, datetime):
+        as_of = as_of.isoformat()  # a datetime literal would pass through a time zone
     return (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("timestamp_ntz")
 
 

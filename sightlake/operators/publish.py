@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sightlake import schemas
 from sightlake.functions.dates import parse_iso_ts
 from sightlake.functions.text import blank_to_null
 from sightlake.operators.joins import lookup_join
@@ -66,8 +65,9 @@ def as_text(reports: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         c = F.col(f"`{name}`")
         if name in keep:
             return c
-        if kind.startswith("timestamp"):
-            return F.date_format(c, schemas.ISO_SECONDS).alias(name)
+        if kind == "timestamp_ntz":
+            # Not date_format: that would take the value through the session's time zone.
+            return F.translate(c.cast("string"), " ", "T").alias(name)
         return blank_to_null(c.cast("string")).alias(name)
 
     return reports.select(*[column(n, t) for n, t in reports.dtypes])

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from sightlake.functions import places
 from sightlake.operators.clean import clean_dates, clean_places, standardize
 from sightlake.queries import Query, case_of, table
+from sightlake.session import spread
 
 AS_OF = "2001-01-01"
 
@@ -61,7 +62,7 @@ def picked(index: str, values):
 
 
 def dirty_orders(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         "o_orderkey", F.expr(DIRTY_POSTED).alias("posted"), F.expr(DIRTY_DATE_TIME).alias("date_time"))
 
 
@@ -83,7 +84,7 @@ def clean_ts_century(spark, sf_dir):
 
 def clean_city(spark, sf_dir):
     index = f"c_custkey % {len(CITIES)}"
-    rows = table(spark, sf_dir, "customer").select(
+    rows = spread(table(spark, sf_dir, "customer")).select(
         "c_custkey", F.lit(None).cast("string").alias("shape"),
         picked(index, [c[0] for c in CITIES]).alias("city"),
         picked(index, [c[1] for c in CITIES]).alias("state"))
@@ -106,7 +107,7 @@ def clean_shape(spark, sf_dir):
 def raw_reports(spark, sf_dir):
     """Orders as raw reports: dirty dates, places and shapes by order key."""
     index = f"o_orderkey % {len(CITIES)}"
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         F.expr("concat('text ', o_orderkey)").alias("text"),
         F.expr("cast(NULL AS string)").alias("duration"),
         F.expr("CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE concat('a:', o_orderstatus) END").alias("stats"),

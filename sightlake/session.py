@@ -21,11 +21,13 @@ def shared_dir(spark: SparkSession) -> str:
         return path
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return os.path.join(tempfile.gettempdir(), "sightlake-" + spark.sparkContext.applicationId)
+    return tempfile.gettempdir()
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/sightlake/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, under the application's own name."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark).rstrip('/')}/sightlake/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -58,14 +60,15 @@ def drop_staged(spark: SparkSession, *tables: DataFrame) -> None:
         files.delete(hadoop_path, True)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan with at least one partition per core, for work that is heavy per row.
+def spread(scan: DataFrame, tasks_per_core: int = 3) -> DataFrame:
+    """A scan with several partitions per core, for work that is heavy per row.
 
-    A table of few small files would keep most cores idle while pages are parsed. A table
-    that fills the cluster comes back as it is.
+    A table of few small files would keep most cores idle while pages are parsed, and pages
+    of one kind tend to lie in the same files. A table that fills the cluster has far more
+    partitions than that; it comes back as it is and is not moved.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    wanted = scan.sparkSession.sparkContext.defaultParallelism * tasks_per_core
+    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan
 
 
 def measured_bytes(df: DataFrame) -> int:

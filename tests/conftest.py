@@ -12,13 +12,15 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     builder = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[4]")
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
+        # Short jobs gain nothing from the second compiler.
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

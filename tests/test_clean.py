@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sightlake.functions import dates, places, text
 from sightlake.operators.clean import clean_dates, clean_places, standardize
+from sightlake.operators.publish import as_text
 
 AS_OF = "2024-06-01T00:00:00"
 
@@ -99,6 +100,21 @@ def test_future_and_coupling(spark, which, options):
     assert got == [c[which] for c in FUTURE_CASES]
 
 
+def test_time_zones_do_not_matter(spark):
+    # 2:30 on that day does not exist in New York; report times have no zone.
+    df = spark.createDataFrame([("3/10/19 2:30", "3/10/19")], "date_time string, posted string")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for as_of, kept in (("2019-03-10T02:30:00", True), ("2019-03-10T02:29:59", False)):
+            for moment in (as_of, datetime.fromisoformat(as_of)):
+                out = clean_dates(df, moment)
+                text = as_text(out).first().asDict()
+                assert text["date_time"] == ("2019-03-10T02:30:00" if kept else None)
+                assert out.first().date_time == (datetime(2019, 3, 10, 2, 30) if kept else None)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_as_of_defaults_to_now(spark):
     soon = (datetime.now() + timedelta(days=3)).strftime("%m/%d/%y")
     past = (datetime.now() - timedelta(days=3)).strftime("%m/%d/%y")
