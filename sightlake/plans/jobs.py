@@ -30,12 +30,13 @@ def pull_reports(
     start: str | None = None,
     stop: str | None = None,
     quarantine_path: str | None = None,
+    broadcast_limit: int = session.BROADCAST_LIMIT,
 ) -> dict[str, int]:
     """Stored pages to raw report lines: index, listing and report pages in turn.
 
-    Only listing pages the index links to within the date bounds, and only report pages
-    those link to, are parsed. Links and listing rows are small next to the pages and are
-    staged, so no page is parsed twice.
+    Only listing pages the index links to within the date bounds, and the report pages those
+    link to, are parsed. Links and listing rows are small next to the pages and are staged,
+    so no page is parsed twice.
     """
     pages = readers.read_pages(spark, pages_path)
     keyed = pages.withColumn("page_key", link_key(F.col("url")))
@@ -53,7 +54,10 @@ def pull_reports(
     rows = session.stage(extract.listing_rows(listing_pages, site), "listing")
     listing = extract.usable(rows).where(host_allowed(F.col("link_url"), site.hosts))
     linked = listing.select(link_key(F.col("link_url")).alias("page_key")).distinct()
-    report_pages = lookup_join(keyed, linked, ["page_key"], "left_semi").select("url", "html")
+    linked, small = session.broadcast_if_small(linked, broadcast_limit)
+    # Links too many to broadcast lead to most pages anyway: parsing the rest costs less than
+    # shuffling every page's HTML to leave them out, and the join below drops them.
+    report_pages = keyed.join(linked, "page_key", "left_semi") if small else keyed
 
     reports = extract.assemble_reports(listing, extract.report_detail(report_pages))
     reports, seen = _counted(reports, "reports")

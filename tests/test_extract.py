@@ -189,6 +189,7 @@ def test_pull_job(spark, tmp_path):
     assert sorted((r.report_link, r.duration) for r in reports) == [
         ("http://www.site.test/s?id=1", "1 min"), ("http://www.site.test/s?id=2", "2 min")]
     assert jobs.pull_reports(*args, str(tmp_path / "all"))["reports"] == 3
+    assert jobs.pull_reports(*args, str(tmp_path / "wide"), broadcast_limit=0)["reports"] == 3
     assert set(json.loads(spark.read.text(str(tmp_path / "raw")).first().value)) == set(
         readers.schemas.RAW_REPORT.names)
 
