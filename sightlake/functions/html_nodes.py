@@ -217,6 +217,8 @@ def _html_udf(
     build: Callable[[list], pa.Array],
     ddl: str,
 ) -> Column:
+    # Spark cuts the batches by size (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB), so
+    # long pages come few at a time.
     @F.arrow_udf(ddl)
     def nodes(pages: pa.Array) -> pa.Array:
         results = []

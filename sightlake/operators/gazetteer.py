@@ -74,7 +74,7 @@ def geocode(reports: DataFrame, best: DataFrame, **join_options) -> DataFrame:
         "state_key", "city_key",
         F.col("latitude").alias("city_latitude"), F.col("longitude").alias("city_longitude"),
     )
-    keyed = reports.withColumns({
+    keyed = reports.drop("city_latitude", "city_longitude").withColumns({
         "state_key": blank_to_null(F.col("state")),
         "city_key": F.lower(blank_to_null(F.col("city"))),
     })

@@ -1,3 +1,4 @@
+import csv
 import json
 from datetime import datetime
 
@@ -98,3 +99,24 @@ def test_enhanced_csv_round_trip(spark, tmp_path):
     assert {r.report_link: r.asDict() for r in back.collect()} == want
     assert "2019-03-07T00:00:00" in {
         r.posted for r in readers.read_string_csv(spark, path).select("posted").collect()}
+
+
+def test_csv_files_written_elsewhere(spark, tmp_path):
+    """CRLF line ends, line breaks and quotes inside cells, as csv.DictWriter writes them."""
+    texts = ["one", "two\nlines", 'say "hi", then', "", "cr\r\nlf"]
+    with open(tmp_path / "reports.csv", "w", newline="") as f:
+        writer = csv.DictWriter(f, schemas.ENHANCED_COLUMNS)
+        writer.writeheader()
+        for i, t in enumerate(texts):
+            writer.writerow({"report_link": f"/{i}", "text": t, "posted": "2019-03-07T01:02:03",
+                             "city_latitude": 1.5, "city_longitude": None})
+    rows = readers.read_enhanced_csv(spark, str(tmp_path / "reports.csv")).collect()
+    # In a CRLF file a line break inside a cell is one line feed, as for Python's text mode.
+    assert {r.report_link: r.text for r in rows} == {
+        f"/{i}": t.replace("\r\n", "\n") or None for i, t in enumerate(texts)}
+    assert {(r.posted, r.city_latitude, r.city_longitude) for r in rows} == {
+        (datetime(2019, 3, 7, 1, 2, 3), 1.5, None)}
+    with open(tmp_path / "blocks.csv", "w", newline="") as f:
+        f.write("network,geoname_id,latitude,longitude\r\na,1,2.5,-3.5\r\nb,,,\r\n")
+    blocks = readers.read_blocks(spark, str(tmp_path / "blocks.csv")).collect()
+    assert [tuple(r) for r in blocks] == [(1, 2.5, -3.5), (None, None, None)]
