@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from functools import reduce
 
@@ -15,13 +14,18 @@ BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach; the cluster names it in spark.checkpoint.dir."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder every executor can reach: spark.checkpoint.dir, or the context's checkpoint folder.
+
+    A local session without either gets one beside its warehouse; a cluster must name one.
+    """
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if path:
         return path
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.gettempdir()
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    spark.sparkContext.setCheckpointDir(f"{warehouse.rstrip('/')}/_checkpoints")
+    return spark.sparkContext.getCheckpointDir()
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
@@ -60,6 +64,13 @@ def drop_staged(spark: SparkSession, *tables: DataFrame) -> None:
         files.delete(hadoop_path, True)
 
 
+def drop_all_staged(spark: SparkSession) -> None:
+    """Remove whatever this application has staged, once its results have been taken."""
+    folder = f"{shared_dir(spark).rstrip('/')}/sightlake/{spark.sparkContext.applicationId}"
+    files, hadoop_path = _file_system(spark, folder)
+    files.delete(hadoop_path, True)
+
+
 def spread(scan: DataFrame, tasks_per_core: int = 3) -> DataFrame:
     """A scan with several partitions per core, for work that is heavy per row.
 
