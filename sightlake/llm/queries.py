@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from sightlake.llm import (
-    decontaminate, quality_rules, sentencepiece_codec, simhash,
+    decontaminate, html_content, licenses, line_templates, quality_model, quality_rules,
+    sentencepiece_codec, simhash, token_files,
 )
 from sightlake.queries import Query, table
+from sightlake.session import staging_path
 
-PIECES = "piece_bpe_32k.model"
+PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
 
 def op1_sentencepiece(spark, sf_dir):
@@ -33,6 +35,29 @@ def op2_simhash(spark, sf_dir):
         "doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_licenses(spark, sf_dir):
+    """License statements of every document: the base phrases, and what the rules add."""
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform("base", lambda d: d["start"])
+    base = licenses.labels(F.col("base"))
+    both = F.array_sort(F.array_union(base, licenses.labels(F.col("detections"))))
+    sure = F.array_max(F.transform("detections", lambda d: d["confidence"]))
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"),
+        F.array_max(starts).cast("long").alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"), F.array_join(both, ",").alias("labels"),
+        F.coalesce(sure, F.lit(0.0)).alias("score"))
+
+
+def op4_token_files(spark, sf_dir):
+    """Ids of every document written as Arrow sequences, and what the files say of them."""
+    folder = staging_path(spark, "token_files")
+    manifest = token_files.write_files(
+        table(spark, sf_dir, "documents"), folder, public_tokenizers.path(WORDS), end_id=1)
+    return token_files.read_documents(spark, manifest, folder)
+
+
 def op5_decontamination(spark, sf_dir):
     """Words of every document that lie in passages of the benchmark."""
     found = decontaminate.find_benchmark(
@@ -73,6 +98,20 @@ FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN met USING (doc_id)
 """
 
 
+def op6_quality_model(spark, sf_dir):
+    """Quality and toxicity of every document, and whether it is kept."""
+    scored = quality_model.classify(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "quality", "toxicity", "kept")
+
+
+def op7_line_dedup(spark, sf_dir):
+    """Every document without the lines of templates that recur in other documents."""
+    left = line_templates.drop_recurring(
+        table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"), n_chars="n_chars")
+    return left.select("doc_id", "text", "n_chars", "n_dropped")
+
+
 def op8_quality_rules(spark, sf_dir):
     """The ledger of every document, and what the strict policy keeps of it."""
     written = quality_rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -82,6 +121,12 @@ def op8_quality_rules(spark, sf_dir):
         quality_rules.passes(quality_rules.STRICT).alias("kept"), "failed")
 
 
+def op9_html_content(spark, sf_dir):
+    """The main text of every page."""
+    return html_content.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", "n_chars")
+
+
 OP8_SQL = """
 WITH doc AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -118,6 +163,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 QUERIES = {
     "op1_sentencepiece": Query(op1_sentencepiece),
     "op2_simhash": Query(op2_simhash),
+    "op3_licenses": Query(op3_licenses),
+    "op4_token_files": Query(op4_token_files),
     "op5_decontamination": Query(op5_decontamination, OP5_SQL),
+    "op6_quality_model": Query(op6_quality_model),
+    "op7_line_dedup": Query(op7_line_dedup),
     "op8_quality_rules": Query(op8_quality_rules, OP8_SQL),
+    "op9_html_content": Query(op9_html_content),
 }

@@ -10,9 +10,11 @@ fits, and the ids are read off backwards. Work grows with the text's length, als
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -23,7 +25,7 @@ from sightlake.llm.frames import quoted, with_columns
 #: No piece holds a blank mark after another character, so no merge crosses the start of a run.
 _CHUNK = re.compile("▁*[^▁]+|▁+")
 #: Memory bounds of a worker; what falls out of them is computed again.
-CACHED_CHUNKS, CACHED_CHUNK_CHARS, CACHED_PAIRS = 250_000, 32, 1_000_000
+CACHED_CHUNKS, CACHED_CHUNK_CHARS, CACHED_PAIRS = 300_000, 32, 500_000
 
 
 class PrefixEncoder:
@@ -48,8 +50,10 @@ class PrefixEncoder:
             self.automaton.add_word(piece, (len(piece), i))
         self.automaton.make_automaton()
         self.merges: dict[int, list[tuple[float, str, str]]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
+        #: Chunks met lately, and those met before them.
+        self.chunks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _merges(self, token: int) -> list[tuple[float, str, str]]:
         """The merges that build a piece: score, then its first and last part after each."""
@@ -84,7 +88,7 @@ class PrefixEncoder:
             else:
                 return True
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
+    def _chunk(self, chunk: str) -> bytes:
         """Ids of a text that no merge leaves, through its table of last tokens.
 
         A character in no piece has -1 in the table: nothing merges with it.
@@ -92,17 +96,19 @@ class PrefixEncoder:
         last = [-1] * (len(chunk) + 1)
         pairs = self.pairs
         for end, (length, token) in self.automaton.iter(chunk):
-            if last[end + 1] < 0:
-                before = last[end + 1 - length]
+            end += 1
+            if last[end] < 0:
+                before = last[end - length]
                 if before >= 0:
-                    fits = pairs.get((before, token))
+                    pair = before << 32 | token
+                    fits = pairs.get(pair)
                     if fits is None:
                         if len(pairs) >= CACHED_PAIRS:
                             pairs.clear()
-                        fits = pairs[before, token] = self._fits(before, token)
+                        fits = pairs[pair] = self._fits(before, token)
                     if not fits:
                         continue
-                last[end + 1] = token
+                last[end] = token
         ids: list[int] = []
         place = len(chunk)
         while place:
@@ -113,26 +119,34 @@ class PrefixEncoder:
             else:
                 ids.append(token)
                 place -= len(self.pieces[token])
-        return tuple(reversed(ids))
+        ids.reverse()
+        return array("i", ids).tobytes()
 
     def _unknown(self, character: str) -> list[int]:
         if self.fallback is None:
             return [self.model.unk_id()]
         return [self.fallback[b] for b in reversed(character.encode())]
 
+    def _new(self, chunk: str) -> bytes:
+        found = self.older.get(chunk)
+        if found is None:
+            found = self._chunk(chunk)
+        if len(chunk) <= CACHED_CHUNK_CHARS:
+            if len(self.chunks) >= CACHED_CHUNKS:
+                self.older, self.chunks = self.chunks, {}
+            self.chunks[chunk] = found
+        return found
+
+    def packed(self, text: str) -> bytes:
+        """Ids of a text as 32-bit integers in the machine's order."""
+        chunks = _CHUNK.findall(self.normalizer.normalize(text))
+        found = list(map(self.chunks.get, chunks))
+        if None in found:
+            found = [self._new(c) if f is None else f for c, f in zip(chunks, found, strict=True)]
+        return b"".join(found)
+
     def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        cached = self.chunks
-        for chunk in _CHUNK.findall(self.normalizer.normalize(text)):
-            found = cached.get(chunk)
-            if found is None:
-                found = self._chunk(chunk)
-                if len(chunk) <= CACHED_CHUNK_CHARS:
-                    if len(cached) >= CACHED_CHUNKS:
-                        cached.clear()
-                    cached[chunk] = found
-            ids.extend(found)
-        return ids
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
 
 @lru_cache(2)
@@ -150,9 +164,10 @@ def encode(df: DataFrame, model_file: str, column: str = "text", ids: str = "ids
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
         coder = encoder(model_file)
-        tail = [coder.model.eos_id()] if end else []
-        return pa.array([coder.encode(t or "") + tail for t in texts.to_pylist()],
-                        pa.list_(pa.int32()))
+        tail = array("i", [coder.model.eos_id()] if end else []).tobytes()
+        rows = [coder.packed(t.as_py() or "") + tail for t in texts]
+        offsets = np.concatenate(([0], np.cumsum([len(r) >> 2 for r in rows]))).astype(np.int32)
+        return pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(rows), np.int32))
 
     return with_columns(df, {ids: encoded(F.col(quoted(column)).cast("string"))})
 
@@ -162,7 +177,8 @@ def decode(df: DataFrame, model_file: str, ids: str = "ids", column: str = "deco
     @F.arrow_udf("string")
     def decoded(rows: pa.Array) -> pa.Array:
         model = encoder(model_file).model
-        return pa.array([None if r is None else model.decode(r) for r in rows.to_pylist()],
-                        pa.string())
+        return pa.array([
+            model.decode(r.values.to_numpy(zero_copy_only=False).tolist()) if r.is_valid else None
+            for r in rows], pa.string())
 
     return with_columns(df, {column: decoded(F.col(quoted(ids)))})
