@@ -90,7 +90,7 @@ def _votes(form: dict[str, float], words: set[bytes], lists: Lists) -> tuple[int
     """Bits of the labellers that say something of a text's quality, and of its toxicity."""
     against = [form[name] >= limit for name, limit in _LIMITS.items()]
     plain = not any(form[name] >= limit / 4 for name, limit in _LIMITS.items() if name != "short")
-    sentences = 0.02 <= form["stops"] <= 0.5 and not any(against[:4])
+    sentences = 0.02 <= form["stops"] <= 0.5 and not any(against[:5])
     toxic = [not INSULTS.isdisjoint(words), not lists.words.isdisjoint(words),
              not lists.beginnings.isdisjoint(_beginnings(words))]
     return (sum(1 << i for i, says in enumerate([*against, plain, sentences]) if says),
@@ -163,23 +163,21 @@ def estimate(counts: dict[int, int], against: int, in_favour: int,
 
     A labeller that says nothing tells nothing; one that votes is right with its accuracy, which
     begins at 0.8 (a prior worth ten votes) and is estimated from how it agrees with the others;
-    every labeller is taken to be better than chance.
+    every labeller is taken to be better than chance, and neither class to be likelier.
     """
     patterns = np.array(sorted(counts), np.int64)
     weight = np.array([counts[p] for p in patterns.tolist()], float)
     votes = ((patterns[:, None] >> np.arange(against + in_favour)) & 1).astype(float)
     side = np.where(np.arange(against + in_favour) < against, 1.0, -1.0)
-    accuracy, prior = np.full(len(side), 0.8), 0.2
-    belief = np.full(len(patterns), prior)
+    accuracy, belief = np.full(len(side), 0.8), np.full(len(patterns), 0.5)
     for _ in range(rounds):
-        odds = math.log(prior / (1 - prior)) + votes @ (side * np.log(accuracy / (1 - accuracy)))
+        odds = votes @ (side * np.log(accuracy / (1 - accuracy)))
         belief, before = 1 / (1 + np.exp(-odds)), belief
         if np.abs(belief - before).max() < 1e-9:
             break
         right = np.where(side > 0, belief[:, None], 1 - belief[:, None])
         cast = weight @ votes
         accuracy = np.clip((weight @ (votes * right) + 8) / (cast + 10), 0.55, 0.999)
-        prior = float(np.clip((weight @ belief + 2) / (weight.sum() + 10), 0.001, 0.999))
     return dict(zip(patterns.tolist(), belief.tolist(), strict=True)), accuracy
 
 
