@@ -181,9 +181,13 @@ def estimate(counts: dict[int, int], against: int, in_favour: int,
     return dict(zip(patterns.tolist(), belief.tolist(), strict=True)), accuracy
 
 
-def _fit(buckets: np.ndarray, sizes: np.ndarray, target: np.ndarray, rounds: int = 80):
-    """Weights of a logistic regression on binary features, by damped gradient steps."""
+def _fit(buckets: np.ndarray, sizes: np.ndarray, belief: np.ndarray, rounds: int = 80):
+    """Weights of a logistic regression on binary features, by damped gradient steps.
+
+    Each row counts for the likelier class, by how much likelier it is.
+    """
     weights, constant = np.zeros(BUCKETS), 0.0
+    target, trust = (belief > 0.5).astype(float), np.abs(2 * belief - 1)
     if not len(target):
         return weights, constant
     common = np.flatnonzero(np.bincount(buckets, minlength=BUCKETS) >= min(
@@ -197,7 +201,7 @@ def _fit(buckets: np.ndarray, sizes: np.ndarray, target: np.ndarray, rounds: int
     moved, moved_constant = np.full(len(common), 1e-2), 1e-2
     for _ in range(rounds):
         score = np.bincount(row, weights=learned[feature], minlength=len(sizes)) + constant
-        error = 1 / (1 + np.exp(-np.clip(score, -30, 30))) - target
+        error = trust * (1 / (1 + np.exp(-np.clip(score, -30, 30))) - target)
         step = np.bincount(feature, weights=error[row], minlength=len(common)) + 2 * learned
         moved += step ** 2
         learned -= 0.3 * step / np.sqrt(moved)
