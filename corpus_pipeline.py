@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightlake.llm import decontaminate, quality_rules, sentencepiece_codec, simhash
+from sightlake.llm import (
+    decontaminate, line_templates, quality_rules, sentencepiece_codec, simhash,
+)
 from sightlake.llm.frames import kept_rows
 from sightlake.session import stage
 
@@ -18,6 +20,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept_rows(docs, "text", quality_rules.ledger, quality_rules.passes(quality_rules.STRICT))
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines of templates that recur; the first document keeps them."""
+    left = line_templates.drop_recurring(docs, n_chars="n_chars")
+    return left.select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the least id."""
     return simhash.one_of_each(docs, shingle=3, distance=3)
@@ -41,6 +49,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality),
+    ("line dedup", lines),
     ("near-duplicates", near_duplicates),
     ("decontamination", decontamination),
     ("tokens", tokens),

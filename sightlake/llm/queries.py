@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sightlake.llm import (
     decontaminate, html_content, licenses, line_templates, quality_model, quality_rules,
-    sentencepiece_codec, simhash, token_files,
+    sentencepiece_codec, simhash, suffix_dedup, token_files,
 )
 from sightlake.queries import Query, table
 from sightlake.session import staging_path
@@ -127,6 +127,13 @@ def op9_html_content(spark, sf_dir):
         "page_id", "url", "text", "n_chars")
 
 
+def op10_suffix_dedup(spark, sf_dir):
+    """Every document without the bytes of strings of 400 that stand elsewhere, too."""
+    left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 OP8_SQL = """
 WITH doc AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -170,4 +177,5 @@ QUERIES = {
     "op7_line_dedup": Query(op7_line_dedup),
     "op8_quality_rules": Query(op8_quality_rules, OP8_SQL),
     "op9_html_content": Query(op9_html_content),
+    "op10_suffix_dedup": Query(op10_suffix_dedup),
 }
