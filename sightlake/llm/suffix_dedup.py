@@ -28,7 +28,7 @@ from sightlake.session import broadcast_if_small, stage
 WINDOW, GRAM = 400, 128
 SHALLOW = 192
 #: Bytes of documents hashed at once; runs of one mark that one task compares.
-BLOCK, CROWD = 4 << 20, 20_000
+BLOCK, CROWD = 1 << 20, 20_000
 #: Enough for a place in a block; the same in all blocks, so that equal windows choose alike.
 PLACE_BITS = 23
 _BASE = np.uint64(0x9E3779B97F4A7C15)
