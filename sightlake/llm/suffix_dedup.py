@@ -29,6 +29,8 @@ WINDOW, GRAM = 400, 128
 SHALLOW = 192
 #: Bytes of documents hashed at once; runs of one mark that one task compares.
 BLOCK, CROWD = 1 << 20, 20_000
+#: Measured bytes of a table that may be broadcast; hashed relations take several times that.
+SENT = 12 << 20
 #: Enough for a place in a block; the same in all blocks, so that equal windows choose alike.
 PLACE_BITS = 23
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -345,7 +347,7 @@ def find_repeats(df: DataFrame, column: str, window: int = WINDOW, gram: int = G
     # One row a run: most marks occur once and end here.
     shared = stage(runs.groupBy("mark").agg(F.count("*").alias("rows")).where("rows > 1")
                    .select("mark"), "shared_marks")
-    small, _ = broadcast_if_small(shared)
+    small, _ = broadcast_if_small(shared, SENT)
     again = stage(runs.join(small, "mark", "left_semi"), "shared_runs")
     distinct = stage(again.groupBy("mark", "content").agg(
         F.count("*").alias("copies"), F.min(F.struct("place", "low", "n", "at")).alias("one")),
@@ -359,7 +361,7 @@ def find_repeats(df: DataFrame, column: str, window: int = WINDOW, gram: int = G
         "one.place", F.struct("mark", "content", "one.low", "one.n", "one.at",
                               (F.col("contents") > crowd).alias("crowded")).alias("run"))
     asked = stage(asked.groupBy("place").agg(F.collect_list("run").alias("asked")), "asked")
-    small, _ = broadcast_if_small(asked)
+    small, _ = broadcast_if_small(asked, SENT)
     cut = placed.join(small, "place").select("text", F.explode("asked").alias("run")).select(
         "run.mark", "run.content", "run.at", "run.n",
         F.substring("text", F.col("run.low").cast("int") + 1,
@@ -373,7 +375,7 @@ def find_repeats(df: DataFrame, column: str, window: int = WINDOW, gram: int = G
     crowded = hashed.join(twice, ["mark", "window"], "left_semi").select(
         "mark", "content", "first", (F.col("first") + 1).alias("past"))
     hits = stage(whole.unionByName(compared).unionByName(crowded), "hits")
-    small, _ = broadcast_if_small(hits)
+    small, _ = broadcast_if_small(hits, SENT)
     return again.join(small, ["mark", "content"]).select(
         "place", (F.col("low") + F.col("first")).alias("first"),
         (F.col("low") + F.col("past")).alias("past"))
@@ -391,7 +393,8 @@ def remove_repeats(df: DataFrame, column: str = "text", window: int = WINDOW, gr
     place, ranges = fresh(df, "place"), fresh(df, "ranges")
     found = find_repeats(df, column, window, gram, crowd).groupBy(F.col("place").alias(place)).agg(
         F.array_sort(F.collect_set(F.struct("first", "past"))).alias(ranges))
-    small, _ = broadcast_if_small(stage(found, "ranges"))
+    small, _ = broadcast_if_small(
+        stage(found, "ranges"), SENT)
     joined = df.withColumn(place, F.monotonically_increasing_id()).join(small, place, "left")
 
     @F.arrow_udf("n_bytes long, n_removed long, n_spans long, kept binary")

@@ -292,7 +292,10 @@ def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def read_documents(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFrame:
     """doc_id, start, n_tokens and the CRC-32 of the ids, of every document in the files."""
-    shards = manifest.select("file", "start", "shard").repartition("shard").select("file", "start")
+    # Few rows, much work: as many tasks as there are shards, up to some for each core.
+    tasks = max(1, min(manifest.count(), 8 * spark.sparkContext.defaultParallelism))
+    shards = manifest.select("file", "start", "shard").repartition(tasks, "shard").select(
+        "file", "start")
     return shards.mapInArrow(
         _read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
