@@ -192,7 +192,11 @@ class _BlindTrie:
             above, edge = node, self._at(i, node[0])
             node = node[1][edge]
         if node[0] == depth and node[1] is not None:
-            node[1][self._at(i, depth)] = [len(self.strings[i]), None, [i]]
+            equal = node[1].get(self._at(i, depth))
+            if equal is not None:
+                equal[2].append(i)
+            else:
+                node[1][self._at(i, depth)] = [len(self.strings[i]), None, [i]]
         elif node[1] is None and node[0] == depth == len(self.strings[i]):
             node[2].append(i)
         else:
