@@ -106,6 +106,10 @@ class TreeParser(HTMLParser):
     def handle_comment(self, data):
         self.builder.comment(data)
 
+    def parse_marked_section(self, i, report=1):
+        # A broken <![...] section is a comment, as browsers read it.
+        return self.parse_bogus_comment(i)
+
     def handle_pi(self, data):
         self.builder.pi("pi", data)
 

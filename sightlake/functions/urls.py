@@ -39,5 +39,21 @@ def resolve_link(page_url: Column, href: Column) -> Column:
         .when(href.startswith("//"), F.concat(scheme, href))
         .when(href.startswith("/"), F.concat(site, href))
         .when(href.startswith("?"), F.concat(page, href))
-        .otherwise(F.concat(site, folder, href))
+        .otherwise(F.concat(site, _without_dots(F.concat(folder, href))))
     )
+
+
+def _without_dots(path: Column) -> Column:
+    """A path from the root without "." and ".." segments; its query stays as it is."""
+    own = F.regexp_extract(path, r"^[^?#]*", 0)
+    rest = F.substring(path, F.length(own) + 1, 1 << 30)
+    dots = r"(?:^|/)\.\.?(?:/|\z)"
+    # A dot segment at the end leaves its slash.
+    parts = F.split(F.regexp_replace(own, r"(/\.\.?)\z", "$1/"), "/")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"),
+        lambda held, part: F.when(part == ".", held)
+        .when(part == "..", F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0))))
+        .otherwise(F.concat(held, F.array(part))))
+    return F.when(own.rlike(dots), F.concat(F.lit("/"), F.array_join(kept, "/"), rest)
+                  ).otherwise(path)

@@ -153,14 +153,16 @@ def assemble_reports(listing: DataFrame, detail: DataFrame, **join_options) -> D
     """Listing rows with the report page each one links to.
 
     Hosts differ between recorded and fetched links, so the two meet on path and query.
-    Of several copies of a page the smallest counts: a link leads to one page, and a link
-    that many rows share must not meet many copies.
+    Of several copies of a page one counts, since a link leads to one page and a link that many
+    rows share must not meet many copies: a copy that holds a report before a blank one, and of
+    several the one whose text comes first.
     """
     one_page = (
         detail.select(link_key(F.col("url")).alias("page_key"), "text", "duration", "stats")
         .groupBy("page_key")
-        .agg(F.min(F.struct("text", "duration", "stats")).alias("page"))
-        .select("page_key", "page.*")
+        .agg(F.min(F.struct(
+            (F.col("text") == "").alias("blank"), "text", "duration", "stats")).alias("page"))
+        .select("page_key", "page.text", "page.duration", "page.stats")
     )
     keyed = listing.withColumn("page_key", link_key(F.col("link_url")))
     # Report texts are never a small table, so their size is not measured.

@@ -13,13 +13,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sightlake.session import BROADCAST_LIMIT, broadcast_if_small
+from sightlake.session import BROADCAST_LIMIT, broadcast_if_small, stage
 
 HOT_ROWS = 1_000_000  # a key with more left rows than this is spread
-MAX_HOT_KEYS = 10_000  # keys beyond these still join, only unspread
-SALTS = 64
 
-_RIGHT, _HOT, _SALT, _COUNT = "__right_", "__hot_", "__salt", "__rows"
+_RIGHT, _HOT, _SALT, _COUNT = "__right_", "__hot_", "__salt", "__salts"
 
 
 def _match(left: DataFrame, right: DataFrame, pairs, null_safe: bool):
@@ -33,22 +31,24 @@ def _renamed(df: DataFrame, on: Sequence[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({k: prefix + k for k in on})
 
 
-def hot_keys(left: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> list:
-    """Keys with more than hot_rows rows, heaviest first, at most MAX_HOT_KEYS of them.
+def hot_keys(left: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than hot_rows rows, and over how many parts to spread each of them.
 
-    Counts are combined before the shuffle, so a hot key costs one row per input task.
+    Counts are combined before the shuffle, so a hot key costs one row per input task. However
+    many rows there are, a part holds about hot_rows of them, and there are no more hot keys
+    than parts.
     """
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias(_COUNT))
-    top = counts.where(F.col(_COUNT) > hot_rows).orderBy(F.desc(_COUNT)).limit(MAX_HOT_KEYS)
-    return top.select(*on).collect()
+    return counts.where(F.col(_COUNT) > hot_rows).withColumn(
+        _COUNT, F.ceil(F.col(_COUNT) / hot_rows).cast("int"))
 
 
-def _flag_hot(df: DataFrame, on: Sequence[str], hot: DataFrame) -> DataFrame:
-    marked = _renamed(hot, on, _HOT).withColumn(_HOT, F.lit(True))
-    joined = df.join(
-        F.broadcast(marked), _match(df, marked, [(k, _HOT + k) for k in on], True), "left"
-    )
-    return joined.drop(*[_HOT + k for k in on])
+def _with_salts(df: DataFrame, on: Sequence[str], hot: DataFrame) -> DataFrame:
+    """The number of parts of each row's key; one where the key is not hot."""
+    marked, _ = broadcast_if_small(_renamed(hot, on, _HOT))
+    joined = df.join(marked, _match(df, marked, [(k, _HOT + k) for k in on], True), "left")
+    return joined.drop(*[_HOT + k for k in on]).withColumn(
+        _COUNT, F.coalesce(_COUNT, F.lit(1)))
 
 
 def lookup_join(
@@ -59,12 +59,13 @@ def lookup_join(
     null_safe: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Equi-join on columns both sides name alike; the key columns come out once.
 
     ``how`` is left, inner, left_semi or left_anti. ``broadcast_limit=0`` skips measuring
-    a right side that is known to be large.
+    a right side that is known to be large. ``salts`` sets one number of parts for all hot
+    keys, where their own rows would decide it.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"not a lookup join: {how}")
@@ -76,21 +77,20 @@ def lookup_join(
         return left.join(right, _match(left, right, pairs, null_safe), how).drop(*drop)
 
     hot = hot_keys(left, on, hot_rows)
-    if not hot:
+    if salts is not None:
+        hot = hot.withColumn(_COUNT, F.lit(salts))
+    hot = stage(hot, "hot_keys")
+    if hot.isEmpty():
         return left.join(right, _match(left, right, pairs, null_safe), how).drop(*drop)
 
-    hot = left.sparkSession.createDataFrame(hot, left.select(*on).schema)
     # The salt depends on the row and the input partition only, so a task that runs again
     # gives each row the same one, and even exact copies of a row are spread.
-    own_salt = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.lit(salts))
-    left = _flag_hot(left, on, hot)
-    left = left.withColumn(
-        _SALT, F.when(F.col(_HOT), own_salt.cast("int")).otherwise(F.lit(0))
-    ).drop(_HOT)
-    right = _flag_hot(right, drop, _renamed(hot, on, _RIGHT))
-    spread = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    right = right.withColumn(_RIGHT + _SALT, F.explode(spread)).drop(_HOT)
+    columns = left.columns
+    left = _with_salts(left, on, hot)
+    left = left.withColumn(_SALT, F.pmod(
+        F.xxhash64(*columns) + F.spark_partition_id(), F.col(_COUNT)).cast("int")).drop(_COUNT)
+    right = _with_salts(right, drop, _renamed(hot, on, _RIGHT))
+    right = right.withColumn(
+        _RIGHT + _SALT, F.explode(F.sequence(F.lit(0), F.col(_COUNT) - 1))).drop(_COUNT)
     condition = _match(left, right, pairs, null_safe) & (left[_SALT] == right[_RIGHT + _SALT])
     return left.join(right, condition, how).drop(*drop, _SALT, _RIGHT + _SALT)

@@ -97,7 +97,10 @@ def to_index_docs(
 
 
 def typed_documents(docs: DataFrame) -> DataFrame:
-    """The documents as the index types them; malformed dates are null."""
+    """The documents as the index types them; malformed dates are null.
+
+    Fields without a declared type are kept as they are.
+    """
     def column(name: str, kind: str) -> Column:
         c = F.col(f"_source.{name}")
         if kind == "date":
@@ -106,7 +109,7 @@ def typed_documents(docs: DataFrame) -> DataFrame:
             return c.try_cast("float").alias(name)
         return c.alias(name)
 
-    present = set(docs.schema["_source"].dataType.names)
-    return docs.select(
-        "_id", *[column(n, k) for n, k in DOCUMENT_TYPES.items() if n in present]
-    )
+    present = docs.schema["_source"].dataType.names
+    declared = [column(n, k) for n, k in DOCUMENT_TYPES.items() if n in present]
+    others = [F.col(f"_source.`{n}`").alias(n) for n in present if n not in DOCUMENT_TYPES]
+    return docs.select("_id", *declared, *others)

@@ -72,8 +72,9 @@ def record_count(reports: DataFrame) -> DataFrame:
 def sample_latest(
     reports: DataFrame, ts: str = "posted", tie_break: str = "report_link", n: int = 100
 ) -> DataFrame:
-    """The n rows with the latest timestamp."""
-    return reports.where(F.col(ts).isNotNull()).orderBy(F.desc(ts), tie_break).limit(n)
+    """The n rows with the latest timestamp; rows alike in both columns go by all the others."""
+    rest = F.xxhash64(*[F.col(f"`{c}`") for c in reports.columns])
+    return reports.where(F.col(ts).isNotNull()).orderBy(F.desc(ts), tie_break, rest).limit(n)
 
 
 def qa_report(

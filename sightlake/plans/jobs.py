@@ -38,7 +38,9 @@ def pull_reports(
     link to, are parsed. Links and listing rows are small next to the pages and are staged,
     so no page is parsed twice.
     """
-    pages = readers.read_pages(spark, pages_path)
+    # A page of another host is not one that a link of the site leads to.
+    pages = readers.read_pages(spark, pages_path).where(
+        host_allowed(F.col("url"), site.hosts) | (F.col("url") == index_url))
     keyed = pages.withColumn("page_key", link_key(F.col("url")))
 
     index = pages.where(F.col("url") == index_url)
@@ -49,15 +51,15 @@ def pull_reports(
         host_allowed(F.col("link_url"), site.hosts)
     )
     wanted = wanted.select(link_key(F.col("link_url")).alias("page_key")).distinct()
-    listing_pages = lookup_join(keyed, wanted, ["page_key"], "left_semi").select("url", "html")
+    # Only pages that matched are spread over the cores that parse them.
+    listing_pages = session.spread(
+        lookup_join(keyed, wanted, ["page_key"], "left_semi").select("url", "html"))
 
     rows = session.stage(extract.listing_rows(listing_pages, site), "listing")
     listing = extract.usable(rows).where(host_allowed(F.col("link_url"), site.hosts))
     linked = listing.select(link_key(F.col("link_url")).alias("page_key")).distinct()
-    linked, small = session.broadcast_if_small(linked, broadcast_limit)
-    # Links too many to broadcast lead to most pages anyway: parsing the rest costs less than
-    # shuffling every page's HTML to leave them out, and the join below drops them.
-    report_pages = keyed.join(linked, "page_key", "left_semi") if small else keyed
+    report_pages = session.spread(lookup_join(
+        keyed, linked, ["page_key"], "left_semi", broadcast_limit=broadcast_limit))
 
     reports = extract.assemble_reports(listing, extract.report_detail(report_pages))
     reports, seen = _counted(reports, "reports")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sightlake import schemas
 from sightlake.functions.text import blank_to_null, tokens_to_null
-from sightlake.session import spread
+
 
 # Cell values read as missing in the geolocation files (fixed values).
 NA_TOKENS = [
@@ -49,9 +49,11 @@ def read_string_csv(spark: SparkSession, path: str, multi_line: bool = True) ->
     ``multi_line`` lets quoted text hold line breaks, at the price that a file cannot be
     split; tables read more than once belong in Parquet.
     """
-    # Columns go by their header names. A user schema would go by position instead.
+    # Columns go by their header names. A user schema would go by position instead. Every file's
+    # header must be that of the first one, or the job fails: values never change columns.
     return (
         spark.read.option("header", True)
+        .option("enforceSchema", False)
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
@@ -107,7 +109,7 @@ def register_reports(reports: DataFrame, name: str = "reports") -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Stored pages: url and html, and no other column."""
-    return spread(spark.read.parquet(path).select("url", "html"))
+    return spark.read.parquet(path).select("url", "html")
 
 
 def read_placemarks(spark: SparkSession, path: str) -> DataFrame:
