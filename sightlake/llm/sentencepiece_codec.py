@@ -25,7 +25,7 @@ from sightlake.llm.frames import quoted, with_columns
 #: No piece holds a blank mark after another character, so no merge crosses the start of a run.
 _CHUNK = re.compile("▁*[^▁]+|▁+")
 #: Memory bounds of a worker; what falls out of them is computed again.
-CACHED_CHUNKS, CACHED_CHUNK_CHARS, CACHED_PAIRS = 300_000, 32, 500_000
+CACHED_CHUNKS, CACHED_CHUNK_CHARS, CACHED_PAIRS = 500_000, 32, 500_000
 
 
 class PrefixEncoder:
