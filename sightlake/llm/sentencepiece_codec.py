@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from sightlake.llm.frames import quoted, with_columns
 
-#: No piece holds a blank mark after another character, so no merge crosses the start of a run.
-_CHUNK = re.compile("▁*[^▁]+|▁+")
+#: Ways to cut a text into chunks, finest first: runs of letters and of others, each with the blank
+#: marks before it; runs between blank marks; the whole text.
+_CUTS = [re.compile(p) for p in (r"▁*[^\W\d_²³¹]+|▁*(?:[\d_²³¹]|[^\w▁])+|▁+", "▁*[^▁]+|▁+", r"(?s:.+)")]
 #: Memory bounds of a worker; what falls out of them is computed again.
 CACHED_CHUNKS, CACHED_CHUNK_CHARS, CACHED_PAIRS = 500_000, 32, 500_000
 
@@ -36,6 +37,7 @@ class PrefixEncoder:
         self.normalizer = sentencepiece.SentencePieceNormalizer(model_file=model_file)
         model = self.model
         self.pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+        self.lengths = [len(p) for p in self.pieces]
         byte_ids = {}
         ids: dict[str, int] = {}
         for i, piece in enumerate(self.pieces):
@@ -45,6 +47,8 @@ class PrefixEncoder:
                 ids[piece] = i
         self.fallback = [byte_ids.get(b) for b in range(256)] if byte_ids else None
         self.scores = {p: model.get_score(i) for p, i in ids.items()}
+        # No merge crosses a cut that no piece crosses.
+        self.cut = next(cut for cut in _CUTS if all(cut.fullmatch(p) for p in ids))
         self.automaton = ahocorasick.Automaton()
         for piece, i in ids.items():
             self.automaton.add_word(piece, (len(piece), i))
@@ -93,32 +97,33 @@ class PrefixEncoder:
 
         A character in no piece has -1 in the table: nothing merges with it.
         """
+        # By the last character's place; the one more slot, also at -1, is the empty prefix.
         last = [-1] * (len(chunk) + 1)
-        pairs = self.pairs
+        pairs, size = self.pairs, len(self.pieces)
         for end, (length, token) in self.automaton.iter(chunk):
-            end += 1
             if last[end] < 0:
                 before = last[end - length]
                 if before >= 0:
-                    pair = before << 32 | token
-                    fits = pairs.get(pair)
-                    if fits is None:
+                    try:
+                        if not pairs[before * size + token]:
+                            continue
+                    except KeyError:
                         if len(pairs) >= CACHED_PAIRS:
                             pairs.clear()
-                        fits = pairs[pair] = self._fits(before, token)
-                    if not fits:
-                        continue
+                        fits = pairs[before * size + token] = self._fits(before, token)
+                        if not fits:
+                            continue
                 last[end] = token
         ids: list[int] = []
-        place = len(chunk)
-        while place:
+        place, lengths = len(chunk) - 1, self.lengths
+        while place >= 0:
             token = last[place]
             if token < 0:
-                ids.extend(self._unknown(chunk[place - 1]))
+                ids.extend(self._unknown(chunk[place]))
                 place -= 1
             else:
                 ids.append(token)
-                place -= len(self.pieces[token])
+                place -= lengths[token]
         ids.reverse()
         return array("i", ids).tobytes()
 
@@ -128,6 +133,9 @@ class PrefixEncoder:
         return [self.fallback[b] for b in reversed(character.encode())]
 
     def _new(self, chunk: str) -> bytes:
+        found = self.chunks.get(chunk)
+        if found is not None:
+            return found
         found = self.older.get(chunk)
         if found is None:
             found = self._chunk(chunk)
@@ -139,7 +147,7 @@ class PrefixEncoder:
 
     def packed(self, text: str) -> bytes:
         """Ids of a text as 32-bit integers in the machine's order."""
-        chunks = _CHUNK.findall(self.normalizer.normalize(text))
+        chunks = self.cut.findall(self.normalizer.normalize(text))
         found = list(map(self.chunks.get, chunks))
         if None in found:
             found = [self._new(c) if f is None else f for c, f in zip(chunks, found, strict=True)]
