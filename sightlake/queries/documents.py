@@ -37,28 +37,57 @@ def index_docs(spark, sf_dir):
     return _docs(spark, sf_dir).select(
         "_op_type", "_index", "_type", "_id", "_source.location.lat", "_source.location.lon",
         "_source.report_link", "_source.city", "_source.posted", _number("city_latitude"),
-        _number("city_longitude"), F.substring_index("problem", ":", 1).alias("problem"))
+        _number("city_longitude"), "problem")
 
 
 def index_docs_typed(spark, sf_dir):
     typed = publish.typed_documents(_docs(spark, sf_dir))
     return typed.select(
         "_id", "report_link", "city", "posted",
+        F.col("city_latitude").cast("double").alias("city_latitude"),
         F.col("city_longitude").cast("double").alias("city_longitude"), "location.lat", "location.lon")
 
 
-def index_job(spark, sf_dir):
-    """The document job: enhanced reports in Parquet to a load file, read back."""
+def _indexed(spark, sf_dir):
+    """Paths of what the document job writes: documents, refused ones, and the bulk file."""
     source = table(spark, sf_dir, "customer").selectExpr(*[f"{e} AS {n}" for n, e in FIELDS.items()])
-    path, out, refused = (session.staging_path(spark, n) for n in ("reports", "docs", "refused"))
+    path, out, refused, bulk = (
+        session.staging_path(spark, n) for n in ("reports", "docs", "refused", "bulk"))
     source.write.parquet(path)
-    jobs.index_documents(spark, path, "reports", "report", out, refused)
-    fields = T.StructType([T.StructField(n, T.StringType()) for n in FIELDS])
+    jobs.index_documents(spark, path, "reports", "report", out, refused, bulk)
+    return out, refused, bulk
+
+
+_PLACE = T.StructField("location", T.StructType([
+    T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())]))
+_SOURCE = T.StructType([_PLACE, *[T.StructField(n, T.StringType()) for n in FIELDS]])
+_ENVELOPE = [T.StructField("_index", T.StringType()), T.StructField("_type", T.StringType()),
+             T.StructField("_id", T.LongType())]
+
+
+def index_job(spark, sf_dir):
+    """The document job: enhanced reports in Parquet to load files, accepted and refused, read back."""
+    out, refused, _ = _indexed(spark, sf_dir)
     doc = T.StructType([
-        T.StructField("_op_type", T.StringType()), T.StructField("_source", fields)])
-    docs = spark.read.schema(doc).json(out)
-    return docs.select("_op_type", "_source.report_link", "_source.city", "_source.posted",
-                       _number("city_latitude"), _number("city_longitude"))
+        T.StructField("_op_type", T.StringType()), *_ENVELOPE, T.StructField("_source", _SOURCE),
+        T.StructField("problem", T.StringType())])
+    docs = spark.read.schema(doc).json([out, refused])
+    return docs.select(
+        "_op_type", "_index", "_type", "_id", "_source.location.lat", "_source.location.lon",
+        "_source.report_link", "_source.city", "_source.posted", _number("city_latitude"),
+        _number("city_longitude"), "problem")
+
+
+def index_bulk(spark, sf_dir):
+    """The bulk file's lines by kind: what to do with which id, and the document."""
+    lines = spark.read.text(_indexed(spark, sf_dir)[2])
+    action = F.from_json("value", T.StructType([T.StructField("index", T.StructType(_ENVELOPE))]))["index"]
+    source = F.from_json("value", _SOURCE)
+    parsed = lines.select(action.alias("action"), source.alias("_source"))
+    return parsed.select(
+        "action._index", "action._type", "action._id", "_source.location.lat", "_source.location.lon",
+        "_source.report_link", "_source.city", "_source.posted", _number("city_latitude"),
+        _number("city_longitude"))
 
 
 _ROWS = (
@@ -66,20 +95,29 @@ _ROWS = (
     + ", ".join(f"{e} AS {n}" for n, e in FIELDS.items()) + " FROM customer")
 _BOTH = "city_latitude IS NOT NULL AND city_longitude IS NOT NULL"
 
+_FIELDS = (
+    f"CASE WHEN {_BOTH} THEN city_latitude END AS lat, CASE WHEN {_BOTH} THEN city_longitude END AS lon, "
+    "report_link, city, posted, city_latitude, city_longitude")
+_DOCS = (
+    f"SELECT 'index' AS _op_type, 'reports' AS _index, 'report' AS _type, _id, {_FIELDS}, "
+    "CASE WHEN city_latitude > 90 THEN concat('city_latitude: ', CAST(city_latitude AS VARCHAR)) END "
+    f"AS problem FROM ({_ROWS})")
+
 QUERIES = {
-    "index_docs": Query(
-        index_docs,
-        f"SELECT 'index' AS _op_type, 'reports' AS _index, 'report' AS _type, _id, "
-        f"CASE WHEN {_BOTH} THEN city_latitude END AS lat, CASE WHEN {_BOTH} THEN city_longitude END AS lon, "
-        "report_link, city, posted, city_latitude, city_longitude, "
-        f"CASE WHEN city_latitude > 90 THEN 'city_latitude' END AS problem FROM ({_ROWS})"),
+    "index_docs": Query(index_docs, _DOCS),
     "index_docs_typed": Query(
         index_docs_typed,
         "SELECT _id, report_link, city, CASE WHEN posted LIKE '2019%' THEN TIMESTAMP '2019-03-07 12:30:00' "
-        f"END AS posted, city_longitude, CASE WHEN {_BOTH} THEN city_latitude END AS lat, "
+        "END AS posted, CAST(CAST(city_latitude AS FLOAT) AS DOUBLE) AS city_latitude, city_longitude, "
+        f"CASE WHEN {_BOTH} THEN city_latitude END AS lat, "
         f"CASE WHEN {_BOTH} THEN city_longitude END AS lon FROM ({_ROWS})"),
-    "index_documents_job": Query(
-        index_job,
-        "SELECT 'index' AS _op_type, report_link, city, posted, city_latitude, city_longitude "
-        f"FROM ({_ROWS}) WHERE city_latitude IS NULL OR city_latitude <= 90"),
+    "index_documents_job": Query(index_job, _DOCS),
+    "index_documents_bulk": Query(
+        index_bulk,
+        f"WITH d AS (SELECT _id, {_FIELDS} FROM ({_ROWS}) WHERE city_latitude IS NULL OR city_latitude <= 90) "
+        "SELECT 'reports' AS _index, 'report' AS _type, _id, CAST(NULL AS DOUBLE) AS lat, "
+        "CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS VARCHAR) AS report_link, CAST(NULL AS VARCHAR) AS city, "
+        "CAST(NULL AS VARCHAR) AS posted, CAST(NULL AS DOUBLE) AS city_latitude, "
+        "CAST(NULL AS DOUBLE) AS city_longitude FROM d UNION ALL "
+        "SELECT NULL, NULL, NULL, lat, lon, report_link, city, posted, city_latitude, city_longitude FROM d"),
 }

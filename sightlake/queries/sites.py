@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from sightlake.functions.geodesy import ALPHA, BETA, DELTA, RECTIFYING_RADIUS, buffer_ring, ring_to_geojson
 from sightlake.operators import extract, sites
+from sightlake.plans import jobs
 from sightlake.queries import Query, table
-from sightlake.session import spread
-from sightlake.sources.readers import parse_placemark
+from sightlake.session import spread, staging_path
+from sightlake.sources.readers import parse_placemark, read_string_csv
 
 LON, LAT = "(c_custkey * 37) % 360 - 179.75", "(c_custkey * 13) % 160 - 79.5"
 SITE_LON, SITE_LAT = "(s_suppkey * 7) % 180 - 90.5", "s_suppkey % 80 + 0.25"
@@ -18,11 +19,15 @@ PLACEMARK = (
     f"<Point><coordinates>', {SITE_LON}, ',', {SITE_LAT}, "
     "CASE WHEN s_suppkey % 9 = 0 THEN ',0' ELSE '' END, '</coordinates></Point></Placemark>')"
 )
-VERTICES = {"east": 0, "southeast": 8, "southwest": 25, "north": 48}
+POLYGON = "type string, coordinates array<array<array<double>>>"
+
+
+def _marks(spark, sf_dir):
+    return spread(table(spark, sf_dir, "supplier")).selectExpr(f"{PLACEMARK} AS xml")
 
 
 def _parsed(spark, sf_dir):
-    marks = spread(table(spark, sf_dir, "supplier")).selectExpr(f"{PLACEMARK} AS xml")
+    marks = _marks(spark, sf_dir)
     return sites.parse_placemarks(marks.select(parse_placemark(F.col("xml")).alias("p")).select("p.*"))
 
 
@@ -41,34 +46,54 @@ def _rings(spark, sf_dir):
     return points.select("c_custkey", ring.alias("ring"))
 
 
+def _vertices(df, ring, lon, lat):
+    """A row for each vertex of a ring; its numbers go by six decimals."""
+    return df.select("*", F.posexplode(ring).alias("vertex", "point")).select(
+        *df.columns, "vertex", F.round(lon(F.col("point")), 6).alias("lon"),
+        F.round(lat(F.col("point")), 6).alias("lat"))
+
+
+def _polygon(df, text):
+    """A row for each vertex of a polygon in GeoJSON, under the ring it is in."""
+    parsed = df.withColumn("p", F.from_json(text, POLYGON)).drop(text)
+    rings = parsed.select(
+        *[c for c in parsed.columns if c != "p"], F.col("p.type").alias("type"),
+        F.posexplode("p.coordinates").alias("ring_no", "points"))
+    return _vertices(rings, F.col("points"), lambda v: v[0], lambda v: v[1]).drop("points")
+
+
 def site_buffer(spark, sf_dir):
-    # One filter over the ring, so that it is computed once per row.
-    picked = F.filter("ring", lambda p, k: k.isin(*VERTICES.values()))
-    rings = _rings(spark, sf_dir).select("c_custkey", picked.alias("v"))
-    columns = []
-    for i, name in enumerate(VERTICES):
-        for part in ("lon", "lat"):
-            columns.append(F.round(F.col("v")[i][part], 6).alias(f"{name}_{part}"))
-    return rings.select("c_custkey", *columns)
+    rings = _rings(spark, sf_dir)
+    return _vertices(rings, F.col("ring"), lambda v: v["lon"], lambda v: v["lat"]).drop("ring")
 
 
 def site_geojson(spark, sf_dir):
-    """Size, closure and type of each polygon, read back from its GeoJSON text."""
-    text = _rings(spark, sf_dir).select("c_custkey", ring_to_geojson(F.col("ring")).alias("g"))
-    parsed = text.select(
-        "c_custkey",
-        F.from_json("g", "type string, coordinates array<array<array<double>>>").alias("p"))
-    ring = F.col("p.coordinates")[0]
-    return parsed.select(
-        "c_custkey", F.col("p.type").alias("type"), F.size("p.coordinates").alias("rings"),
-        F.size(ring).alias("vertices"), (ring[0] == F.element_at(ring, -1)).alias("closed"))
+    """Every vertex of each polygon, read back from its GeoJSON text."""
+    return _polygon(_rings(spark, sf_dir).select(
+        "c_custkey", ring_to_geojson(F.col("ring")).alias("g")), "g")
 
 
 def site_table(spark, sf_dir):
-    """The site table but for the numbers in its polygons."""
-    table_ = sites.with_buffer(placemarks(spark, sf_dir))
-    return table_.withColumn(
-        "buffer_100km_geojson", F.substring("buffer_100km_geojson", 1, 35))
+    """The site table, its polygons vertex by vertex."""
+    return _polygon(sites.with_buffer(placemarks(spark, sf_dir)), "buffer_100km_geojson")
+
+
+def _made_sites(spark, sf_dir):
+    """Paths of the site job's CSV and of what it set aside, from placemarks in KML files."""
+    kml, out, bad = (staging_path(spark, n) for n in ("kml", "sites", "bad_sites"))
+    _marks(spark, sf_dir).write.text(kml)
+    jobs.make_sites(spark, kml, out, quarantine_path=bad)
+    return out, bad
+
+
+def make_sites(spark, sf_dir):
+    rows = read_string_csv(spark, _made_sites(spark, sf_dir)[0])
+    typed = rows.withColumns({c: F.col(c).cast("double") for c in ("latitude", "longitude")})
+    return _polygon(typed, "buffer_100km_geojson")
+
+
+def make_sites_quarantine(spark, sf_dir):
+    return spark.read.schema("name string, problem string").json(_made_sites(spark, sf_dir)[1])
 
 
 def _sum(coefficients, term):
@@ -77,55 +102,53 @@ def _sum(coefficients, term):
 
 _ECC = "sqrt((1 / 298.257223563) * (2 - 1 / 298.257223563))"
 _A = repr(RECTIFYING_RADIUS)
-_VALUES = ", ".join(f"('{n}', {k})" for n, k in VERTICES.items())
-# The published series, stage by stage, one row per point and vertex.
-BUFFER_SQL = f"""
-    WITH p AS (
-        SELECT c_custkey, CAST({LON} AS DOUBLE) AS lon, radians(CAST({LAT} AS DOUBLE)) AS phi FROM customer
+def _buffers(points, keys):
+    """The published series, stage by stage, one row per point and vertex."""
+    return f"""
+    WITH pt AS ({points}), p AS (
+        SELECT *, radians(latitude) AS phi FROM pt
     ), c AS (
         SELECT *, atanh({_ECC} * sin(phi)) * {_ECC} AS q FROM p
     ), x AS (
         SELECT *, atan(tan(phi) * sqrt(1 + sinh(q) * sinh(q)) - sinh(q) * sqrt(1 + tan(phi) * tan(phi))) AS chi0
         FROM c
     ), v AS (
-        SELECT c_custkey, lon, name,
-               chi0 + {_sum(ALPHA, 'sin({j} * chi0)')} - 100000 * sin(k * pi() / 32) / {_A} AS xi,
-               100000 * cos(k * pi() / 32) / {_A} AS eta
-        FROM x, (VALUES {_VALUES}) t(name, k)
+        SELECT *, chi0 + {_sum(ALPHA, 'sin({j} * chi0)')} - 100000 * sin(k * pi() / 32) / {_A} AS xi0,
+               100000 * cos(k * pi() / 32) / {_A} AS eta0
+        FROM x, unnest(range(0, 65)) AS r(k)
     ), s AS (
-        SELECT c_custkey, lon, name, xi - ({_sum(BETA, 'sin({j} * xi) * cosh({j} * eta)')}) AS xi,
-               eta - ({_sum(BETA, 'cos({j} * xi) * sinh({j} * eta)')}) AS eta
+        SELECT *, xi0 - ({_sum(BETA, 'sin({j} * xi0) * cosh({j} * eta0)')}) AS xi,
+               eta0 - ({_sum(BETA, 'cos({j} * xi0) * sinh({j} * eta0)')}) AS eta
         FROM v
     ), g AS (
-        SELECT c_custkey, name, lon + degrees(atan2(sinh(eta), cos(xi))) AS lon,
-               asin(sin(xi) / cosh(eta)) AS chi FROM s
-    ), o AS (
-        SELECT c_custkey, name,
-               round(CASE WHEN lon > 180 THEN lon - 360 WHEN lon < -180 THEN lon + 360 ELSE lon END, 6) AS lon,
-               round(degrees(chi + {_sum(DELTA, 'sin({j} * chi)')}), 6) AS lat
-        FROM g
+        SELECT *, longitude + degrees(atan2(sinh(eta), cos(xi))) AS east, asin(sin(xi) / cosh(eta)) AS chi
+        FROM s
     )
-    SELECT c_custkey, {', '.join(
-        f"max({part}) FILTER (name = '{n}') AS {n}_{part}" for n in VERTICES for part in ('lon', 'lat'))}
-    FROM o GROUP BY c_custkey
-"""
+    SELECT {keys}, CAST(k AS INTEGER) AS vertex,
+           round(CASE WHEN east > 180 THEN east - 360 WHEN east < -180 THEN east + 360 ELSE east END, 6) AS lon,
+           round(degrees(chi + {_sum(DELTA, 'sin({j} * chi)')}), 6) AS lat
+    FROM g"""
+
+
+_CIRCLED = f"SELECT c_custkey, CAST({LON} AS DOUBLE) AS longitude, CAST({LAT} AS DOUBLE) AS latitude FROM customer"
+_POLYGON = "'Polygon' AS type, 0 AS ring_no"
 _GOOD = "s_suppkey % 9 <> 0 AND s_suppkey % 11 <> 0"
 _SITES = (
     "SELECT s_name AS name, concat('Branch ', s_nationkey) AS branch, concat('http://l/', s_suppkey) AS link, "
     f"CAST({SITE_LAT} AS DOUBLE) AS latitude, CAST({SITE_LON} AS DOUBLE) AS longitude{{more}} "
     f"FROM supplier WHERE {_GOOD}")
+_SITE_TABLE = _buffers(
+    _SITES.format(more=""), f"name, branch, link, latitude, longitude, {_POLYGON}")
+_BAD_SITES = (
+    "SELECT s_name AS name, CASE WHEN s_suppkey % 9 = 0 THEN 'bad coordinates' ELSE 'no link' END AS problem "
+    f"FROM supplier WHERE NOT ({_GOOD})")
 
 QUERIES = {
     "placemarks": Query(placemarks, _SITES.format(more="")),
-    "placemark_quarantine": Query(
-        placemark_quarantine,
-        "SELECT s_name AS name, CASE WHEN s_suppkey % 9 = 0 THEN 'bad coordinates' ELSE 'no link' END AS problem "
-        f"FROM supplier WHERE NOT ({_GOOD})"),
-    "site_buffer": Query(site_buffer, BUFFER_SQL),
-    "site_geojson": Query(
-        site_geojson,
-        "SELECT c_custkey, 'Polygon' AS type, 1 AS rings, 65 AS vertices, TRUE AS closed FROM customer"),
-    "site_table": Query(
-        site_table,
-        _SITES.format(more=", '{\"type\":\"Polygon\",\"coordinates\":[[[' AS buffer_100km_geojson")),
+    "placemark_quarantine": Query(placemark_quarantine, _BAD_SITES),
+    "site_buffer": Query(site_buffer, _buffers(_CIRCLED, "c_custkey")),
+    "site_geojson": Query(site_geojson, _buffers(_CIRCLED, f"c_custkey, {_POLYGON}")),
+    "site_table": Query(site_table, _SITE_TABLE),
+    "make_sites": Query(make_sites, _SITE_TABLE),
+    "make_sites_quarantine": Query(make_sites_quarantine, _BAD_SITES),
 }
