@@ -28,19 +28,41 @@ def number_rows(table: DataFrame, name: str = "_id") -> DataFrame:
     its rows alike. Row counts come from the file footers. The running total goes over one
     row per file, which the driver's file listing holds anyway.
     """
-    file = F.col("_metadata.file_path").alias("__file")
+    file, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    counts = table.groupBy(file.alias("__file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(0).alias("first"))
+    return _numbered(
+        table.select("*", file.alias("__file"), place.alias("__place")), counts, name)
+
+
+def with_places(table: DataFrame) -> DataFrame:
+    """A scan of files that are read from start to end, with what ``number_placed`` needs.
+
+    Tasks take files by size, so their order says nothing: a row keeps the name of its file.
+    What comes out must be written before it is numbered.
+    """
+    return table.select(
+        "*", F.col("_metadata.file_path").alias("__file"),
+        F.monotonically_increasing_id().alias("__place"))
+
+
+def number_placed(placed: DataFrame, name: str = "_id") -> DataFrame:
+    """Running number from 0, without gaps, of written rows, in the order of their first files."""
+    counts = placed.groupBy("__file").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("__place").alias("first"))
+    return _numbered(placed, counts, name)
+
+
+def _numbered(placed: DataFrame, counts: DataFrame, name: str) -> DataFrame:
     # Part files by number first: names are padded to five digits only.
     part = F.regexp_extract("__file", r"part-(\d+)[^/]*\z", 1).try_cast("int")
     folder = F.regexp_extract("__file", r"^.*/", 0)
     before = Window.orderBy(folder, part, "__file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        table.groupBy(file)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select("__file", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("__start"))
-    )
-    placed = table.select("*", file, F.col("_metadata.row_index").alias("__place"))
+    starts = counts.select(
+        "__file", (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first")).alias("__start"))
+    columns = [c for c in placed.columns if c not in ("__file", "__place")]
     return lookup_join(placed, starts, ["__file"], "inner").select(
-        (F.col("__start") + F.col("__place")).alias(name), *table.columns
+        (F.col("__start") + F.col("__place")).alias(name), *columns
     )
 
 

@@ -86,14 +86,14 @@ def merge_pull(
     """Merge a pull (``value``, ``report_link``) into the versioned raw table at root.
 
     The result becomes a new version; the one before stays readable. A pull already
-    committed under its name is not merged again. Versions hold the raw lines with their
+    committed under its name is not merged again; of two merges at once one fails. Versions hold the raw lines with their
     links in Parquet, so a merge parses the new lines only.
     """
     done = versions.committed_pull(spark, root, pull) if pull is not None else None
     if done is not None:
         return done
-    number, path = versions.next_path(spark, root)
     held = versions.current_version(spark, root)
+    number, path = versions.next_path(root, held)
     staged = []
     merged = new_lines.select("report_link", "value")
     if held is not None:
@@ -187,14 +187,16 @@ def index_documents(
 ) -> dict[str, int]:
     """Enhanced reports to index actions, a load file that replaces the one before.
 
-    Parquet reports are numbered where they lie; a CSV is written as Parquet first, which
-    fixes the order of its rows. Rows the index would refuse are set aside.
+    Parquet reports are numbered where they lie; a CSV is written as Parquet first, with the
+    place each row had in its files. Rows the index would refuse are set aside.
     """
     if from_csv:
-        reports = session.stage(readers.read_string_csv(spark, reports_path), "documents")
+        reports = session.stage(
+            publish.with_places(readers.read_string_csv(spark, reports_path)), "documents")
+        numbered = publish.number_placed(reports)
     else:
-        reports = spark.read.parquet(reports_path)
-    numbered = publish.as_text(publish.number_rows(reports), keep=["_id"])
+        numbered = publish.number_rows(spark.read.parquet(reports_path))
+    numbered = publish.as_text(numbered, keep=["_id"])
     docs = publish.to_index_docs(numbered, index, doc_type)
     accepted = docs.where(F.col("problem").isNull()).drop("problem")
     good, indexed = _counted(accepted, "indexed")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from functools import reduce
 
@@ -57,6 +58,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
+def full_path(spark: SparkSession, path: str) -> str:
+    """A path as a URI, the way file names of a scan begin."""
+    files, hadoop_path = _file_system(spark, path)
+    return re.sub("^file:/+", "file:/", files.makeQualified(hadoop_path).toUri().toString()).rstrip("/")
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not exist yet; fails if it does."""
+    files, hadoop_path = _file_system(spark, path)
+    out = files.create(hadoop_path, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def drop_staged(spark: SparkSession, *tables: DataFrame) -> None:
     """Remove the files behind staged tables once nothing reads them any more."""
     for folder in {os.path.dirname(f) for t in tables for f in t.inputFiles()}:

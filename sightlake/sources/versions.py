@@ -8,12 +8,14 @@ writes it again.
 
 from __future__ import annotations
 
+import json
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightlake.session import path_exists
+from sightlake.session import create_file, path_exists
 
 LOG_SCHEMA = "version long, pull string, path string, num_rows long"
 
@@ -43,18 +45,20 @@ def committed_pull(spark: SparkSession, root: str, pull: str) -> Version | None:
     return Version(**row.asDict()) if row else None
 
 
-def next_path(spark: SparkSession, root: str) -> tuple[int, str]:
-    current = current_version(spark, root)
+def next_path(root: str, current: Version | None) -> tuple[int, str]:
+    """The number after the current version's, and a folder that no other attempt writes."""
     number = current.version + 1 if current else 1
-    return number, f"{root}/v{number:08d}"
+    return number, f"{root}/v{number:08d}-{uuid.uuid4().hex}"
 
 
 def commit_version(
     spark: SparkSession, root: str, number: int, pull: str | None, path: str, num_rows: int
 ) -> Version:
-    """Make a written folder the current version."""
+    """Make a written folder the current version.
+
+    Its number is a file that only one merge can create; of two at once the later one fails here,
+    and nothing reads its folder.
+    """
     version = Version(number, pull, path, num_rows)
-    spark.createDataFrame([version], LOG_SCHEMA).coalesce(1).write.mode("append").json(
-        f"{root}/log"
-    )
+    create_file(spark, f"{root}/log/{number:08d}.json", json.dumps(version._asdict()) + "\n")
     return version

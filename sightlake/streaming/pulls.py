@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sightlake import session
 from sightlake.plans import jobs
 from sightlake.sources.readers import with_report_link
 
@@ -12,17 +14,27 @@ from sightlake.sources.readers import with_report_link
 def merge_landed_pulls(
     spark: SparkSession, landing_path: str, root: str, checkpoint_path: str, name: str = "pulls"
 ) -> StreamingQuery:
-    """Merge all NDJSON files that landed since the last run into the versioned table.
+    """Merge all pulls of NDJSON that landed since the last run into the versioned table.
 
-    Each micro-batch is one pull. Its name goes into the version log with the merge, so a
-    batch Spark runs again after a failure is recognised and not merged twice.
+    A pull is a file in the landing folder, or a folder there with all its files, which must
+    land at once. Pulls that landed together are merged one after the other, by name. A pull's
+    path goes into the version log with the merge, so what Spark hands over again, after a
+    failure or under a new checkpoint, is recognised and not merged twice.
     """
+    landing = session.full_path(spark, landing_path)
+    prefix_end = len(landing) + 2
+
     def merge(batch: DataFrame, batch_id: int) -> None:
-        lines = with_report_link(batch)
-        jobs.merge_pull(batch.sparkSession, lines, root, pull=f"{name}-{batch_id}")
+        inside = F.substring(F.col("file"), prefix_end, 1 << 30)
+        pulls = batch.withColumn("pull", F.substring_index(inside, "/", 1))
+        # One row per pull: no more than the files the driver has just listed.
+        for row in pulls.select("pull").distinct().orderBy("pull").collect():
+            lines = with_report_link(pulls.where(F.col("pull") == row.pull))
+            jobs.merge_pull(batch.sparkSession, lines, root, pull=f"{landing}/{row.pull}")
 
     return (
-        spark.readStream.text(landing_path)
+        spark.readStream.option("recursiveFileLookup", True).text(landing_path)
+        .select("value", F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("file"))
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint_path)
         .queryName(name)

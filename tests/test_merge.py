@@ -149,6 +149,29 @@ def test_streamed_pulls(spark, tmp_path):
     assert current(spark, root) == ['{"report_link": "a", "n": 2}', '{"report_link": "b"}']
 
 
+def test_pulls_that_land_together(spark, tmp_path):
+    root, landing = str(tmp_path / "raw"), tmp_path / "landing pulls"
+    write_pull(landing, "1.json", [{"report_link": "a", "n": 1}, {"report_link": "b"}])
+    write_pull(landing / "2", "part-1.json", [{"report_link": "a", "n": 2}])
+    write_pull(landing / "2", "part-0.json", [{"report_link": "a", "n": 3}])
+    for checkpoint in ("first", "fresh"):
+        merge_landed_pulls(spark, str(landing), root, str(tmp_path / checkpoint)).awaitTermination()
+        assert current(spark, root) == [
+            '{"report_link": "a", "n": 2}', '{"report_link": "a", "n": 3}', '{"report_link": "b"}']
+    other = tmp_path / "other"
+    write_pull(other, "1.json", [{"report_link": "c"}])
+    merge_landed_pulls(spark, str(other), root, str(tmp_path / "third")).awaitTermination()
+    assert '{"report_link": "c"}' in current(spark, root) and len(current(spark, root)) == 4
+
+
+def test_of_two_merges_at_once_one_fails(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    versions.commit_version(spark, root, 1, "x", f"{root}/x", 0)
+    with pytest.raises(Exception, match="(?i)exist"):
+        versions.commit_version(spark, root, 1, "y", f"{root}/y", 0)
+    assert versions.current_version(spark, root) == (1, "x", f"{root}/x", 0)
+
+
 def test_ndjson_round_trip_keeps_null_fields(spark, tmp_path):
     raw = spark.createDataFrame(
         [("line\none \"q\"", None, "é ☃", "", *[None] * 7)], readers.schemas.RAW_REPORT)

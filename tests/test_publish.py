@@ -71,6 +71,23 @@ def test_index_from_csv(spark, tmp_path):
     assert all(d["_source"]["text"] == "two\nlines, \"q\"" for d in docs)
 
 
+def test_csv_parts_are_numbered_by_name(spark, tmp_path):
+    path, number = tmp_path / "csv", 0
+    for part, rows in enumerate([2, 40, 9]):
+        out = str(tmp_path / f"one-{part}")
+        writers.write_enhanced_csv(spark.createDataFrame(
+            [report(f"/{number + i}", 1.0, 1.0, text="x" * 50) for i in range(rows)], TYPES).coalesce(1), out)
+        path.mkdir(exist_ok=True)
+        source = next((tmp_path / f"one-{part}").glob("part-*"))
+        (path / f"part-0000{part}.csv").write_text(source.read_text())
+        number += rows
+    docs = str(tmp_path / "docs")
+    jobs.index_documents(spark, str(path), "r", "r", docs, str(tmp_path / "no"), from_csv=True)
+    read = [json.loads(r.value) for r in spark.read.text(docs).collect()]
+    assert sorted((d["_id"], d["_source"]["report_link"]) for d in read) == [
+        (i, f"/{i}") for i in range(number)]
+
+
 def test_typed_view(spark):
     df = spark.createDataFrame(
         [(0, "2019-03-07T00:00:00", "3/5/19", "1.5", "x", "Waco")],
