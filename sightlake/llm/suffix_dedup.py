@@ -392,14 +392,13 @@ def remove_repeats(df: DataFrame, column: str = "text", window: int = WINDOW, gr
     A byte goes if a window that covers it starts at another place as well, in the same text or
     another; all is judged on the input. Null texts are empty, texts below a window's length stay
     whole, and of repeated rows of that length nothing stays. Ranges are put together by the row
-    they are for; texts move only if those are too many to broadcast.
+    they are for, and meet the texts in a merge join at every size, since they grow with the texts.
     """
     place, ranges = fresh(df, "place"), fresh(df, "ranges")
     found = find_repeats(df, column, window, gram, crowd).groupBy(F.col("place").alias(place)).agg(
         F.array_sort(F.collect_set(F.struct("first", "past"))).alias(ranges))
-    small, _ = broadcast_if_small(
-        stage(found, "ranges"), SENT)
-    joined = df.withColumn(place, F.monotonically_increasing_id()).join(small, place, "left")
+    joined = df.withColumn(place, F.monotonically_increasing_id()).join(
+        stage(found, "ranges").hint("merge"), place, "left")
 
     @F.arrow_udf("n_bytes long, n_removed long, n_spans long, kept binary")
     def cleaned(texts: pa.Array, gone: pa.Array) -> pa.Array:
