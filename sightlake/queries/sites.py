@@ -81,7 +81,8 @@ def site_table(spark, sf_dir):
 def _made_sites(spark, sf_dir):
     """Paths of the site job's CSV and of what it set aside, from placemarks in KML files."""
     kml, out, bad = (staging_path(spark, n) for n in ("kml", "sites", "bad_sites"))
-    _marks(spark, sf_dir).write.text(kml)
+    marks = _marks(spark, sf_dir).select(parse_placemark(F.col("xml")).alias("p")).select("p.*")
+    marks.write.format("xml").option("rootTag", "kml").option("rowTag", "Placemark").save(kml)
     jobs.make_sites(spark, kml, out, quarantine_path=bad)
     return out, bad
 
