@@ -230,6 +230,18 @@ def test_line_templates(spark):
     assert line_templates.drop_recurring(docs.limit(0)).count() == 0
 
 
+def dropped(spark, texts):
+    rows = line_templates.drop_recurring(table(spark, texts)).where("doc_id is not null").collect()
+    return {r["doc_id"]: (r["text"], r["n_dropped"]) for r in rows}
+
+
+def test_lines_alike_in_their_opening_only(spark):
+    draw = random.Random(7)
+    other = lambda n: " ".join("".join(draw.choices("abcdefgh", k=6)) for _ in range(n))
+    texts = ["start"] + [f"Was seen that {other(n)}" for n in (1, 2, 9) for _ in range(12)]
+    assert dropped(spark, texts) == {i: (t, 0) for i, t in enumerate(texts)}
+
+
 def test_quality_ledger(spark):
     docs = table(spark)
     written = quality_rules.ledger(docs)
