@@ -242,6 +242,19 @@ def test_lines_alike_in_their_opening_only(spark):
     assert dropped(spark, texts) == {i: (t, 0) for i, t in enumerate(texts)}
 
 
+def test_templates_that_share_a_leaf(spark):
+    hot = "Sent to the office by a clerk of this county"
+    rare = "Sent to the paper with love from our old readers"
+    names = ["".join(random.Random(i).choices("abcdefgh", k=6)) for i in range(16)]
+    texts = ["start"] + [hot] * 30 + [rare] * 7
+    texts += [f"Sent to the archive where {n} keeps all such letters" for n in names[:8]]
+    texts += [f"Sent to the museum under {n} for many more years" for n in names[8:]]
+    rows = dropped(spark, texts)
+    # The first line of each of the four stays, and no other.
+    assert [i for i, (t, n) in sorted(rows.items()) if t and not n] == [0, 1, 31, 38, 46]
+    assert sum(n for _, n in rows.values()) == len(texts) - 5
+
+
 def test_quality_ledger(spark):
     docs = table(spark)
     written = quality_rules.ledger(docs)
