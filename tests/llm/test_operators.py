@@ -255,6 +255,14 @@ def test_templates_that_share_a_leaf(spark):
     assert sum(n for _, n in rows.values()) == len(texts) - 5
 
 
+def test_long_lines_recur_from_two_documents(spark):
+    long = " ".join(f"word{chr(97 + i)}" for i in range(25))
+    texts = ["start", long, f"own\n  {long} ", f"{long} 1", f"{long} 2", "short line", "short line"]
+    rows = dropped(spark, texts)
+    assert rows[2] == ("own", 1)
+    assert all(rows[i] == (t, 0) for i, t in enumerate(texts) if i != 2)
+
+
 def test_quality_ledger(spark):
     docs = table(spark)
     written = quality_rules.ledger(docs)
