@@ -40,7 +40,8 @@ class Rule(NamedTuple):
     confidence: float
 
 
-#: Label, how the license is named in words, and one word that is always there.
+#: Label, how the license is named in words, and one word that is always there:
+#: a spelling without it is a rule of its own.
 _NAMES = (
     ("gpl-1.0", "gnu general public license(?: version| v)? 1(?: 0)?", "general"),
     ("gpl-2.0", "gnu general public license(?: version| v)? 2(?: 0)?", "general"),
@@ -78,15 +79,38 @@ _NAMES = (
     ("ofl-1.1", "sil open font license(?: version| v)?(?: 1 [01])?", "font"),
     ("odbl", "open database license(?: version| v)?(?: 1 0)?", "database"),
     ("psf-2.0", "python software foundation license(?: version| v)?(?: 2)?", "python"),
-    ("cc0", "(?:cc0|cc zero|creative commons zero)(?: 1 0)?", "cc"),
-    ("cc-by-nc-nd", "(?:cc by nc nd|creative commons attribution noncommercial noderivatives)(?: [1-4] [05])?", "nd"),
-    ("cc-by-nc-sa", "(?:cc by nc sa|creative commons attribution noncommercial sharealike)(?: [1-4] [05])?", "sa"),
-    ("cc-by-nc", "(?:cc by nc|creative commons attribution noncommercial)(?: [1-4] [05])?", "nc"),
-    ("cc-by-nd", "(?:cc by nd|creative commons attribution noderivatives)(?: [1-4] [05])?", "nd"),
-    ("cc-by-sa", "(?:cc by sa|creative commons attribution sharealike)(?: [1-4] [05])?", "sa"),
-    ("cc-by", "(?:cc by|creative commons attribution)(?: [1-4] [05])?", "by"),
+    ("cc0", "(?:cc0|cc zero)(?: 1 0)?", "cc"),
+    ("cc0", "creative commons zero(?: 1 0)?", "commons"),
+    ("cc-by-nc-nd", "cc by nc nd(?: [1-4] [05])?", "nd"),
+    ("cc-by-nc-nd", "creative commons attribution noncommercial noderivatives(?: [1-4] [05])?", "noderivatives"),
+    ("cc-by-nc-sa", "cc by nc sa(?: [1-4] [05])?", "sa"),
+    ("cc-by-nc-sa", "creative commons attribution noncommercial sharealike(?: [1-4] [05])?", "sharealike"),
+    ("cc-by-nc", "cc by nc(?: [1-4] [05])?", "nc"),
+    ("cc-by-nc", "creative commons attribution noncommercial(?: [1-4] [05])?", "noncommercial"),
+    ("cc-by-nd", "cc by nd(?: [1-4] [05])?", "nd"),
+    ("cc-by-nd", "creative commons attribution noderivatives(?: [1-4] [05])?", "noderivatives"),
+    ("cc-by-sa", "cc by sa(?: [1-4] [05])?", "sa"),
+    ("cc-by-sa", "creative commons attribution sharealike(?: [1-4] [05])?", "sharealike"),
+    ("cc-by", "cc by(?: [1-4] [05])?", "by"),
+    ("cc-by", "creative commons attribution(?: [1-4] [05])?", "commons"),
     ("proprietary", "(?:proprietary|commercial) license", "license"),
 )
+#: Label, and the words of its SPDX ids.
+_SPDX = (
+    ("gpl-1.0", "gpl 1 0"), ("gpl-2.0", "gpl 2 0"), ("gpl-3.0", "gpl 3 0"),
+    ("lgpl-2.1", "lgpl 2 [01]"), ("lgpl-3.0", "lgpl 3 0"), ("agpl-3.0", "agpl 3 0"),
+    ("agpl", "agpl 1 0"), ("gfdl", "gfdl 1 [123]"), ("apache-1.1", "apache 1 [01]"),
+    ("apache-2.0", "apache 2 0"), ("mit", "(?:mit|x11)"), ("bsd-0", "0bsd"),
+    ("bsd-2", "bsd 2 clause"), ("bsd-3", "bsd 3 clause"), ("bsd-4", "bsd 4 clause"),
+    ("isc", "isc"), ("zlib", "zlib"), ("boost-1.0", "bsl 1 0"), ("mpl-1.1", "mpl 1 1"),
+    ("mpl-2.0", "mpl 2 0"), ("mpl", "mpl 1 0"), ("epl-1.0", "epl 1 0"), ("epl-2.0", "epl 2 0"),
+    ("cddl", "cddl 1 [01]"), ("eupl", "eupl 1 [0-2]"), ("artistic", "artistic [12] 0"),
+    ("unlicense", "unlicense"), ("wtfpl", "wtfpl"), ("ofl-1.1", "ofl 1 [01]"), ("odbl", "odbl 1 0"),
+    ("psf-2.0", "(?:psf|python) 2 0"), ("cc0", "cc0 1 0"), ("cc-by-nc-nd", "cc by nc nd [1-4] [05]"),
+    ("cc-by-nc-sa", "cc by nc sa [1-4] [05]"), ("cc-by-nc", "cc by nc [1-4] [05]"),
+    ("cc-by-nd", "cc by nd [1-4] [05]"), ("cc-by-sa", "cc by sa [1-4] [05]"),
+    ("cc-by", "cc by [1-4] [05]"),
+)
 #: Priority, the words around a name, and how far they are believed.
 _FORMS = (
     (0, "spdx license identifier {}(?: or later| only)?", 1.0),
@@ -99,7 +123,7 @@ _FORMS = (
 _STATEMENTS = (
     Rule("all-rights-reserved", 2, "all rights reserved", "reserved", 0.7),
     Rule("copyright-notice", 2, "copyright(?: c)? (?:19|20)[0-9][0-9]", "copyright", 0.6),
-    Rule("public-domain", 2, "(?:dedicated|released|placed)(?: in)?to the public domain", "domain", 0.8),
+    Rule("public-domain", 2, "(?:dedicated|released|placed) (?:in)?to the public domain", "domain", 0.8),
     Rule("public-domain", 3, "public domain", "domain", 0.4),
     Rule("no-warranty", 2, "without warranty of any kind(?: express or implied)?", "warranty", 0.5),
     Rule("mit", 0, "permission is hereby granted free of charge to any person obtaining a copy", "hereby", 1.0),
@@ -109,7 +133,9 @@ _STATEMENTS = (
 #: Names in all forms, in order: earlier rules win ties.
 RULES = tuple(
     Rule(label, priority, form.format(f"(?:{name})"), keyword, confidence)
-    for priority, form, confidence in _FORMS for label, name, keyword in _NAMES) + _STATEMENTS
+    for priority, form, confidence in _FORMS for label, name, keyword in _NAMES) + tuple(
+    Rule(label, 0, f"spdx license identifier {name}(?: or later| only)?", "spdx", 1.0)
+    for label, name in _SPDX) + _STATEMENTS
 #: A text with none of these holds no base phrase and nothing for a rule to find.
 KEYWORDS = ("license", "licence", "unlicense", "spdx", "rights reserved", "copyright",
             "public domain", "warranty", "hereby", "redistribution", "creative commons", "cc0",

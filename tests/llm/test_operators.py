@@ -144,6 +144,60 @@ def test_license_scan(spark):
         (0, 8, "apache-2.0"), (8, 11, "all-rights-reserved")]
 
 
+def spelled(parsed, whole):
+    """Texts a pattern matches: every alternative, with all optional parts or none."""
+    texts = [""]
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            more = [chr(value)]
+        elif name == "IN":
+            more = [chr(value[0][1] if str(value[0][0]) == "LITERAL" else value[0][1][0])]
+        elif name == "BRANCH":
+            more = [t for branch in value[1] for t in spelled(branch, whole)]
+        elif name == "SUBPATTERN":
+            more = spelled(value[-1], whole)
+        else:
+            assert name == "MAX_REPEAT" and value[:2] == (0, 1)
+            more = spelled(value[2], whole) if whole else [""]
+        texts = [a + b for a in texts for b in more]
+    return texts
+
+
+def plain_detections(text):
+    """What all rules find with no keyword asked for, without what lies in others as good."""
+    words, found = f" {text} ", []
+    for rank, r in enumerate(licenses.RULES):
+        for m in re.finditer(f" {r.pattern}(?= )", words):
+            start = words[:m.start()].count(" ")
+            found.append((start, -start - m[0].count(" "), r.priority, rank, r.label))
+    found, kept = sorted(found), []
+    for start, before, priority, _, label in found:
+        if not any(p <= priority and b <= before for p, b, _ in kept):
+            kept.append((priority, before, label))
+    return [label for _, _, label in kept]
+
+
+def test_every_license_rule_fires(spark):
+    texts = []
+    for r in licenses.RULES:
+        own = [t for whole in (False, True) for t in spelled(re._parser.parse(r.pattern), whole)]
+        assert all(r.keyword in t for t in own), r
+        texts += own
+    texts = sorted(set(texts))
+    rows = licenses.scan(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    assert len(rows) == len(texts) > len(licenses.RULES)
+    for row in rows:
+        assert [x["label"] for x in row["detections"]] == plain_detections(row["text"]) != [], row["text"]
+    cases = {
+        "Licensed under Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License":
+            "cc-by-nc-sa", "Creative Commons Zero": "cc0", "SPDX-License-Identifier: MIT": "mit",
+        "// SPDX-License-Identifier: Apache-2.0": "apache-2.0", "dedicated to the public domain": "public-domain",
+        "SPDX-License-Identifier: GPL-3.0-only": "gpl-3.0", "spdx-license-identifier: BSD-3-Clause": "bsd-3"}
+    for row in licenses.scan(spark.createDataFrame([(t,) for t in cases], "text string")).collect():
+        assert [x["label"] for x in row["detections"]] == [cases[row["text"]]]
+
+
 def test_token_files(spark):
     docs, folder = table(spark), staging_path(spark, "tokens")
     manifest = token_files.write_files(docs, folder, WORDS, end_id=1, length=16)
