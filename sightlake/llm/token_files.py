@@ -150,7 +150,8 @@ class _ShardWriter:
         self.n_tokens += len(ids)
         self.n_docs += 1
         if self.held >= self.length * BATCH_SEQUENCES:
-            self._write(self.held // self.length)
+            # Whole batches only, so a sequence's number tells its batch.
+            self._write(self.held // (self.length * BATCH_SEQUENCES) * BATCH_SEQUENCES)
 
     def _write(self, sequences: int) -> None:
         """The first so many sequences; the last one is filled up if ids run out."""

@@ -215,6 +215,22 @@ def test_token_files(spark):
     assert len(ids) == len(mask) == 16
 
 
+def test_every_sequence_of_a_shard(tmp_path):
+    length, dtype, path = 4, np.dtype("<u2"), str(tmp_path / "shard.arrow")
+    sizes = [4 * 65 + 1, 3, 4 * 200, 1, 4 * 64, 5]
+    with open(path, "wb") as sink:
+        writer = token_files._ShardWriter(sink, length, dtype)
+        stream = np.arange(sum(sizes), dtype=dtype)
+        for i, stop in enumerate(np.cumsum(sizes)):
+            writer.add(i, stream[stop - sizes[i]:stop])
+        writer.close()
+    for number in range(-(-len(stream) // length)):
+        ids, mask = token_files.read_sequence(path, number)
+        assert ids[mask].tolist() == stream[number * length:(number + 1) * length].tolist()
+    found = list(token_files._documents(*token_files.open_store(path)))
+    assert [(n, sum(map(len, parts))) for n, parts in found] == list(enumerate(sizes))
+
+
 def test_word_encoder_on_random_texts():
     coder, draw = token_files.WordEncoder(WORDS), random.Random(3)
     letters = ["a", "B", " ", "\n", "\x1c", "\x85", "\xa0", "é", "ß", "İ", "ı", "Σ", "1", "½", "漢", "́",
