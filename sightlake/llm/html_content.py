@@ -4,7 +4,11 @@ Every text of a page has a path of block tags from the root. Its length and punc
 what stands in links, are summed for each path and divided by the path's number of texts; both
 ratios are fused. A path is smoothed with the others in the same container, so a heading or a
 short paragraph among long ones passes, and a lone box does not. Containers whose smoothed ratio
-comes near the best one's are content, with all blocks inside them but what is marked otherwise.
+comes near the best one's are content, with all blocks inside them but what is marked otherwise;
+one inside an article makes all of the article content.
+
+Class words mark what is not the article. They do not mark a container that holds the article, or
+most of the page's text, so marks count only once the whole page has been read.
 """
 
 from __future__ import annotations
@@ -32,6 +36,11 @@ _MARKED = re.compile(
     r"sidebar|side|widget|footer|header|masthead|comments?|respond|reply|replies|disqus|cookies?|"
     r"consent|notice|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|"
     r"related|recommend\w*|pagination|pager|toolbar|search|skip|hidden)(?:$|[^a-z])")
+#: What only says that a page has such parts, and words of what readers or others add,
+#: which may be most of a page's text and have articles of their own.
+_LAYOUT = re.compile(r"(?:^|(?<=\s))(?:has|with|no|without)[-_][\w-]*")
+_OTHERS = re.compile(
+    r"(?:^|[^a-z])(?:comments?|respond|reply|replies|disqus|related|recommend\w*)(?:$|[^a-z])")
 #: An open element that a start tag ends, and what shields it.
 _ENDS = {
     "p": frozenset(
@@ -52,11 +61,14 @@ class _Blocks(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        #: Open elements: tag, whether it or one around it is marked, and its block path.
-        self.open: list[tuple[str, bool, tuple[str, ...]]] = []
-        self.blocks: list[tuple[tuple[str, ...], str, int]] = []
-        self.text: list[str] = []
-        self.linked = self.links = 0
+        #: Open elements: tag, whether it or one around it is never content, its block path, and
+        #: the numbers of the articles and elements with class words around it.
+        self.open: list[tuple[str, bool, tuple[str, ...], tuple[int, ...]]] = []
+        self.raw: list[tuple[tuple[str, ...], list[tuple[str, tuple[int, ...], bool]]]] = []
+        #: By number: the class words that mark it, or none for an article; numbers around it.
+        self.noted: list[tuple[str | None, tuple[int, ...]]] = []
+        self.text: list[tuple[str, tuple[int, ...], bool]] = []
+        self.links = 0
 
     def parse_marked_section(self, i, report=1):
         return self.parse_bogus_comment(i)
@@ -64,21 +76,23 @@ class _Blocks(HTMLParser):
     def _path(self) -> tuple[str, ...]:
         return self.open[-1][2] if self.open else ()
 
+    def _around(self) -> tuple[int, ...]:
+        return self.open[-1][3] if self.open else ()
+
     def _end_block(self) -> None:
-        text = " ".join("".join(self.text).split())
-        if text:
-            self.blocks.append((self._path(), text, self.linked))
-        self.text, self.linked = [], 0
+        if self.text:
+            self.raw.append((self._path(), self.text))
+        self.text = []
 
     def _pop(self, place: int) -> None:
-        if any(tag not in _INLINE for tag, _, _ in self.open[place:]):
+        if any(tag not in _INLINE for tag, *_ in self.open[place:]):
             self._end_block()
-        self.links -= sum(tag == "a" for tag, _, _ in self.open[place:])
+        self.links -= sum(tag == "a" for tag, *_ in self.open[place:])
         del self.open[place:]
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
-            self.text.append(" ")
+            self.text.append((" ", (), False))
         if tag not in _INLINE and tag != "br":
             for place in range(len(self.open) - 1, -1, -1):
                 other = self.open[place][0]
@@ -92,12 +106,20 @@ class _Blocks(HTMLParser):
             return
         about = {k: v or "" for k, v in attrs}
         words = " ".join((about.get("class", ""), about.get("id", ""), about.get("role", ""))).lower()
-        out = (tag in _NEVER or "hidden" in about or bool(words.strip() and _MARKED.search(words))
+        words = _LAYOUT.sub(" ", words)
+        out = (tag in _NEVER or "hidden" in about
                or "display:none" in about.get("style", "").replace(" ", ""))
+        around = self._around()
         if tag in ("html", "body", *_MAIN):
             out = False
+        elif words.strip() and _MARKED.search(words):
+            self.noted.append((words, around))
+            around = (*around, len(self.noted) - 1)
+        if tag in _MAIN:
+            self.noted.append((None, around))
+            around = (*around, len(self.noted) - 1)
         path = self._path() if tag in _INLINE else (*self._path(), tag)
-        self.open.append((tag, out or bool(self.open and self.open[-1][1]), path))
+        self.open.append((tag, out or bool(self.open and self.open[-1][1]), path, around))
         self.links += tag == "a"
 
     def handle_endtag(self, tag):
@@ -109,14 +131,44 @@ class _Blocks(HTMLParser):
     def handle_data(self, data):
         if self.open and self.open[-1][1]:
             return
-        self.text.append(data)
-        if self.links:
-            self.linked += len(data)
+        self.text.append((data, self._around(), self.links > 0))
+
+    def _marking(self) -> set[int]:
+        """Numbers of the elements whose class words count."""
+        marks = {i for i, (words, _) in enumerate(self.noted) if words is not None}
+        sizes, whole, plain = [0] * len(self.noted), 0, 0
+        for _, pieces in self.raw:
+            for data, around, linked in pieces:
+                size = 0 if linked else len(data.strip())
+                whole += size
+                plain += size if marks.isdisjoint(around) else 0
+                for number in around:
+                    sizes[number] += size
+        others = {i for i in marks if _OTHERS.search(self.noted[i][0])}
+        articles = [i for i in range(len(self.noted)) if i not in marks and sizes[i]
+                    and others.isdisjoint(self.noted[i][1])]
+        # Articles in no marked element, if there are any, are what the page is about.
+        article = max(articles, default=None, key=lambda i: (
+            marks.isdisjoint(self.noted[i][1]), sizes[i]))
+        freed = {i for i in marks - others if 2 * sizes[i] > whole}
+        # A box with an article beside a longer plain text is a box.
+        if article is not None and sizes[article] > plain:
+            freed |= set(self.noted[article][1])
+        for i, (words, around) in enumerate(self.noted):
+            if words is None and 2 * sizes[i] > whole:
+                freed |= set(around)
+        return marks - freed
 
     def finish(self):
         self.close()
         self._end_block()
-        return self.blocks
+        marking, blocks = self._marking(), []
+        for path, pieces in self.raw:
+            own = [(data, linked) for data, around, linked in pieces if marking.isdisjoint(around)]
+            text = " ".join("".join(data for data, _ in own).split())
+            if text:
+                blocks.append((path, text, sum(len(data) for data, linked in own if linked)))
+        return blocks
 
 
 def content_paths(blocks: list[tuple[tuple[str, ...], str, int]]) -> set[tuple[str, ...]]:
@@ -139,6 +191,8 @@ def content_paths(blocks: list[tuple[tuple[str, ...], str, int]]) -> set[tuple[s
     smoothed = {path: total / texts for path, (total, texts) in container.items()}
     best = max(smoothed.values(), default=0.0)
     content = {path for path, ratio in smoothed.items() if ratio > 0 and ratio >= NEAR_BEST * best}
+    # An article is content as a whole, however its blocks are boxed.
+    content |= {path[:n] for path in content for n in range(len(path), 0, -1) if path[n - 1] in _MAIN}
     return {path for path in fused if any(path[:n] in content for n in range(len(path)))}
 
 

@@ -360,6 +360,22 @@ def test_main_text(spark):
     assert rows[1]["n_chars"] == len(rows[1]["text"]) and html.unescape("&copy;") == "©"
 
 
+def test_whole_articles():
+    long = "".join(f"<p>Paragraph {i}, long and dull, goes on. {'And on, it says. ' * 20}</p>" for i in range(9))
+    boxed = html_content.main_text(f"<article><h1>Head</h1><p>Short lead.</p><div>{long}</div></article>")
+    assert boxed.startswith("Head\nShort lead.\nParagraph 0") and boxed.count("\n") == 10
+    inner = "<h1>Head</h1><p>One, two. Three.</p><div class=ad>Buy, now.</div>"
+    side = "<div class=sidebar>Some box, it says.</div><div id=comments><article><p>Nice, I say.</article></div>"
+    for wrapper in ("page has-sidebar", "with-nav", "content-sidebar", "page widget"):
+        for tag in ("article", "main"):
+            page = f"<body><div class='{wrapper}'><{tag}>{inner}</{tag}>{side}</div>"
+            assert html_content.main_text(page) == "Head\nOne, two. Three."
+    assert html_content.main_text(f"<div class='search page'>{long}</div>{side}").startswith("Paragraph 0")
+    assert html_content.main_text(f"<div><p>Own, text. Here.</div>{side * 9}") == "Own, text. Here."
+    teaser = "<div class=sidebar><article><p>Read more, now.</article></div>"
+    assert html_content.main_text(f"<div><p>Own, text. Here it is.</div>{teaser}") == "Own, text. Here it is."
+
+
 def plain_repeats(texts, window):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[i:i + window] for d in data for i in range(len(d) - window + 1))
