@@ -64,6 +64,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: SQL can state neither the fingerprints' hash nor the encoder; tests/llm compares all stages
-#: with plain Python instead.
+#: SQL can state neither the fingerprints' hash nor the encoder. tests/llm tests the operators, but
+#: compares no run of all stages with anything.
 ORACLE_SQL = None
