@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from sightlake.llm import (
-    decontaminate, html_content, licenses, line_templates, quality_model, quality_rules,
-    sentencepiece_codec, simhash, suffix_dedup, token_files,
+    block_names, decontaminate, grid_codes, html_content, importance, licenses, line_templates,
+    quality_model, quality_rules, sentencepiece_codec, simhash, suffix_dedup, token_files,
 )
 from sightlake.queries import Query, table
 from sightlake.session import staging_path
@@ -167,6 +167,124 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   failed % 4 <> 0 AS base_failed, failed = 0 AS kept, CAST(failed AS BIGINT) AS failed FROM f
 """
 
+def op11_importance(spark, sf_dir):
+    """Documents drawn to look like the benchmark."""
+    found = importance.resample(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"),
+        percent=10, seed="2024")
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+#: CRC-32 is stated bit by bit (its polynomial is a fixed value), for each distinct word.
+OP11_SQL = """
+WITH entry AS (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(i)),
+crc AS (SELECT list(c ORDER BY i) AS t FROM entry),
+doc AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+item AS (
+  SELECT regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+dw AS (SELECT doc_id, unnest(ws) AS w FROM doc), tw AS (SELECT unnest(ws) AS w FROM item),
+hashed AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(
+      range(CAST(length(hex(w)) / 2 AS BIGINT)),
+      lambda i: CAST('0x' || substr(hex(w), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT w FROM dw UNION SELECT w FROM tw), crc),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN hashed USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM tw JOIN hashed USING (w) GROUP BY bucket),
+gain AS (
+  SELECT b AS bucket, floor(1000 * ln(
+    (CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * (SELECT coalesce(sum(n), 0) + 10000 FROM s))
+    / (CAST(coalesce(s.n, 0) + 1 AS DOUBLE) * (SELECT coalesce(sum(n), 0) + 10000 FROM t)))) AS g
+  FROM range(10000) AS r(b) LEFT JOIN s ON s.bucket = b LEFT JOIN t ON t.bucket = b),
+weighed AS (
+  SELECT doc_id, CAST(sum(g) AS BIGINT) AS weight
+  FROM dw JOIN hashed USING (w) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc.doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST(
+      '0x' || substr(sha256('2024:' || CAST(doc.doc_id AS VARCHAR)), 1, 8) AS BIGINT) AS DOUBLE)
+      + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM doc LEFT JOIN weighed USING (doc_id)),
+drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank
+  FROM scored WHERE n_features >= 20
+  QUALIFY rank <= (SELECT count(*) * 10 // 100 FROM scored WHERE n_features >= 20))
+SELECT scored.doc_id, n_features, weight, score, rank FROM scored LEFT JOIN drawn USING (doc_id)
+"""
+
+
+def op12_exact_dedup(spark, sf_dir):
+    """Every document with the one that stays of those equal to it."""
+    return block_names.exact_copies(table(spark, sf_dir, "documents")).drop("place")
+
+
+OP12_SQL = """
+WITH doc AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n,
+    regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS solid FROM documents),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY solid ORDER BY n DESC, doc_id) AS place,
+    first_value(doc_id) OVER (PARTITION BY solid ORDER BY n DESC, doc_id) AS keep_id,
+    count(*) OVER (PARTITION BY solid) AS group_size FROM doc)
+SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, place = 1 AS kept,
+  sha256(solid) AS text_sha256 FROM ranked
+"""
+
+
+def op13_vector_codes(spark, sf_dir):
+    """Every usable vector as a code of sixteen parts, with its error and its label's."""
+    return grid_codes.compress(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _codes_sql(parts, entries, rounds):
+    def nearest(book):
+        return (
+            "SELECT vec_id, part, q, entry, d FROM (SELECT vec_id, part, q, entry, list_sum("
+            "list_transform(range(1, len(q) + 1), lambda i: (q[i] - e[i]) * (q[i] - e[i]))) AS d "
+            f"FROM p JOIN {book} USING (part)) "
+            "QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY d, entry) = 1")
+
+    steps = []
+    for i in range(rounds):
+        steps += [
+            f"a{i} AS ({nearest(f'b{i}')})",
+            f"m{i} AS (SELECT part, entry, list(total ORDER BY i) AS e FROM (SELECT part, entry, i, "
+            f"CAST(floor(sum(q[i]) / count(*)) AS BIGINT) AS total FROM a{i}, unnest(range(1, len(q) + 1)) "
+            "AS r(i) GROUP BY part, entry, i) GROUP BY part, entry)",
+            f"b{i + 1} AS (SELECT b{i}.part, b{i}.entry, coalesce(m{i}.e, b{i}.e) AS e FROM b{i} "
+            f"LEFT JOIN m{i} ON m{i}.part = b{i}.part AND m{i}.entry = b{i}.entry)"]
+    return f"""
+WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x:
+    CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS z FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT vec_id, part, list_slice(z, part * (len(z) // {parts}) + 1, (part + 1) * (len(z) // {parts})) AS q
+  FROM v, unnest(range({parts})) AS r(part)),
+b0 AS (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, q AS e
+  FROM p WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT {entries})),
+{', '.join(steps)},
+f AS ({nearest(f'b{rounds}')}),
+coded AS (
+  SELECT vec_id, string_agg(lpad(lower(hex(entry)), 2, '0'), '' ORDER BY part) AS code,
+    CAST(sum(d) AS BIGINT) AS error FROM f GROUP BY vec_id),
+book AS (
+  SELECT string_agg(array_to_string(e, ','), ',' ORDER BY part, entry) AS numbers FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  sha256(numbers) AS codebooks_sha256 FROM coded JOIN v USING (vec_id), book
+"""
+
+
 QUERIES = {
     "op1_sentencepiece": Query(op1_sentencepiece),
     "op2_simhash": Query(op2_simhash),
@@ -178,4 +296,8 @@ QUERIES = {
     "op8_quality_rules": Query(op8_quality_rules, OP8_SQL),
     "op9_html_content": Query(op9_html_content),
     "op10_suffix_dedup": Query(op10_suffix_dedup),
+    "op11_importance": Query(op11_importance, OP11_SQL),
+    "op12_exact_dedup": Query(op12_exact_dedup, OP12_SQL),
+    "op13_vector_codes": Query(op13_vector_codes, _codes_sql(
+        grid_codes.PARTS, grid_codes.ENTRIES, grid_codes.ROUNDS)),
 }
