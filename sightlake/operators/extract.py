@@ -118,8 +118,8 @@ def quarantined(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("problem").isNotNull())
 
 
-def report_detail(pages: DataFrame) -> DataFrame:
-    """Text, duration and stats of each report page."""
+def report_detail(pages: DataFrame, *others: str) -> DataFrame:
+    """Text, duration and stats of each report page, with its URL and other columns."""
     nodes = F.col("nodes")
     texts = F.transform(nodes["texts"], strip_ws)
     labels = F.transform(nodes["labels"], lambda label: F.substring_index(label, ":", 1))
@@ -132,12 +132,13 @@ def report_detail(pages: DataFrame) -> DataFrame:
     )
     durations = F.filter("pairs", lambda p: p["k"] == "Duration")
     return (
-        pages.select("url", html_nodes.detail_texts(F.col("html"), DETAIL_CLASS).alias("nodes"))
-        .select("url", texts.alias("texts"), labels.alias("labels"))
+        pages.select(
+            "url", *others, html_nodes.detail_texts(F.col("html"), DETAIL_CLASS).alias("nodes"))
+        .select("url", *others, texts.alias("texts"), labels.alias("labels"))
         .withColumn("values", values)
         .withColumn("pairs", pairs)
         .select(
-            "url",
+            "url", *others,
             F.array_join(
                 F.slice("texts", SKIPPED_TEXTS + 1, F.greatest(F.size("texts"), F.lit(1))), " "
             ).alias("text"),
@@ -149,25 +150,32 @@ def report_detail(pages: DataFrame) -> DataFrame:
     )
 
 
-def assemble_reports(listing: DataFrame, detail: DataFrame, **join_options) -> DataFrame:
-    """Listing rows with the report page each one links to.
+def holds_report(html: Column) -> Column:
+    """Whether a page can hold a report: others give an empty one."""
+    return html.contains(DETAIL_CLASS)
 
-    Hosts differ between recorded and fetched links, so the two meet on path and query.
-    Of several copies of a page one counts, since a link leads to one page and a link that many
-    rows share must not meet many copies: a copy that holds a report before a blank one, and of
-    several the one whose text comes first.
+
+def with_pages(listing: DataFrame, chosen: DataFrame, **join_options) -> DataFrame:
+    """Listing rows with the key of the page each one links to; ``problem`` marks those without.
+
+    ``chosen`` has one row per stored page (``page_key``) and no page text. Hosts differ between
+    recorded and fetched links, so the two meet on path and query.
     """
-    one_page = (
-        detail.select(link_key(F.col("url")).alias("page_key"), "text", "duration", "stats")
-        .groupBy("page_key")
-        .agg(F.min(F.struct(
-            (F.col("text") == "").alias("blank"), "text", "duration", "stats")).alias("page"))
-        .select("page_key", "page.text", "page.duration", "page.stats")
-    )
     keyed = listing.withColumn("page_key", link_key(F.col("link_url")))
+    stored = chosen.select("page_key", F.lit(True).alias("stored"))
+    return lookup_join(keyed, stored, ["page_key"], "left", **join_options).withColumn(
+        "problem", F.when(F.col("stored").isNull(), "no page")).drop("stored")
+
+
+def assemble_reports(paged: DataFrame, detail: DataFrame, **join_options) -> DataFrame:
+    """Usable listing rows, by ``page_key``, with what their pages hold.
+
+    ``detail`` has one row for each page: copies are chosen before they are parsed.
+    """
+    pages = detail.select("page_key", "text", "duration", "stats")
     # Report texts are never a small table, so their size is not measured.
     options = {"broadcast_limit": 0, **join_options}
-    return lookup_join(keyed, one_page, ["page_key"], "inner", **options).select(
+    return lookup_join(paged, pages, ["page_key"], "inner", **options).select(
         "text", "duration", "stats", "date_time", "report_link", "city", "state", "country",
         "shape", "summary", "posted",
     )

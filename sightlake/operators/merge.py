@@ -13,8 +13,23 @@ def distinct_links(updated: DataFrame, key: str = "report_link") -> DataFrame:
     return updated.select(key).distinct()
 
 
+def last_pulls(lines: DataFrame, key: str = "report_link", turn: str = "turn") -> DataFrame:
+    """One row per key: the last of several pulls, by turn, that has it."""
+    return lines.groupBy(key).agg(F.max(turn).alias(turn))
+
+
+def of_last_pull(
+    lines: DataFrame, last: DataFrame, key: str = "report_link", turn: str = "turn", **join_options
+) -> DataFrame:
+    """The lines of several pulls that merging them one by one, by turn, would leave.
+
+    Each pull replaces what earlier ones have of its keys; a null key equals a null key.
+    """
+    return lookup_join(lines, last, [key, turn], "left_semi", null_safe=True, **join_options)
+
+
 def surviving_reports(
-    updated: DataFrame,
+    updated: DataFrame | None,
     orig: DataFrame,
     key: str = "report_link",
     dedupe_orig: bool = False,
@@ -23,17 +38,21 @@ def surviving_reports(
 ) -> DataFrame:
     """Old reports whose key the new pull lacks; a null key equals a null key.
 
-    ``links`` are the pull's distinct keys, if the caller has them at hand already.
+    ``links`` are the pull's distinct keys, if the caller has them at hand already; the pull
+    itself is not needed then.
     """
     if links is None:
         links = distinct_links(updated, key)
     kept = lookup_join(orig, links, [key], "left_anti", null_safe=True, **join_options)
-    if not dedupe_orig:
-        return kept
-    rest = [c for c in orig.columns if c != key]
+    return one_per_key(kept, key) if dedupe_orig else kept
+
+
+def one_per_key(reports: DataFrame, key: str = "report_link") -> DataFrame:
+    """One report per key, the smallest by its other columns."""
+    rest = [c for c in reports.columns if c != key]
     first = F.min(F.struct(*rest)) if rest else F.count(F.lit(1))
-    return kept.groupBy(key).agg(first.alias("r")).select(
-        *[F.col(key) if c == key else F.col(f"r.`{c}`").alias(c) for c in orig.columns]
+    return reports.groupBy(key).agg(first.alias("r")).select(
+        *[F.col(key) if c == key else F.col(f"r.`{c}`").alias(c) for c in reports.columns]
     )
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightlake.functions.dates import parse_iso_ts
 from sightlake.functions.text import blank_to_null
 from sightlake.operators.joins import lookup_join
+from sightlake.operators.ordering import totals_before
 
 # Declared field types of the index (fixed values).
 DOCUMENT_TYPES = {
@@ -24,9 +25,9 @@ def number_rows(table: DataFrame, name: str = "_id") -> DataFrame:
     """Running number from 0, without gaps, in file order.
 
     ``table`` reads Parquet files. A row's number is its place in its file plus the rows of
-    all files before, so no row moves, nothing is sorted, and a task that runs again numbers
-    its rows alike. Row counts come from the file footers. The running total goes over one
-    row per file, which the driver's file listing holds anyway.
+    all files before, so no row moves, no rows are sorted, and a task that runs again numbers
+    its rows alike. Row counts come from the file footers, one row per file, and are summed up
+    in ranges of the files' order.
     """
     file, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     counts = table.groupBy(file.alias("__file")).agg(
@@ -57,9 +58,8 @@ def _numbered(placed: DataFrame, counts: DataFrame, name: str) -> DataFrame:
     # Part files by number first: names are padded to five digits only.
     part = F.regexp_extract("__file", r"part-(\d+)[^/]*\z", 1).try_cast("int")
     folder = F.regexp_extract("__file", r"^.*/", 0)
-    before = Window.orderBy(folder, part, "__file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        "__file", (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first")).alias("__start"))
+    starts = totals_before(counts, [folder, part, F.col("__file")], F.col("rows")).select(
+        "__file", (F.col("start") - F.col("first")).alias("__start"))
     columns = [c for c in placed.columns if c not in ("__file", "__place")]
     return lookup_join(placed, starts, ["__file"], "inner").select(
         (F.col("__start") + F.col("__place")).alias(name), *columns

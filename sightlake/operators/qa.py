@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sightlake.session import stage
+
 REPORT_COLUMNS = [
     "date_time", "posted", "shape", "country", "state", "city_latitude", "city_longitude",
 ]
@@ -72,9 +74,55 @@ def record_count(reports: DataFrame) -> DataFrame:
 def sample_latest(
     reports: DataFrame, ts: str = "posted", tie_break: str = "report_link", n: int = 100
 ) -> DataFrame:
-    """The n rows with the latest timestamp; rows alike in both columns go by all the others."""
+    """The n rows with the latest timestamp; rows alike in both columns go by all the others.
+
+    Two columns tell where the n-th row lies, so whole rows are read and ordered only from there on.
+    """
+    order = [F.desc(ts), F.asc(tie_break)]
+    known = reports.where(F.col(ts).isNotNull())
+    top = known.select(
+        F.col(ts).cast("string").alias("at"), F.col(tie_break).cast("string").alias("tie"), ts, tie_break
+    ).orderBy(*order).limit(n).select("at", "tie").collect()
+    if len(top) == n and n:
+        types = dict(reports.dtypes)
+        at = F.lit(top[-1]["at"]).cast(types[ts])
+        tie = F.lit(top[-1]["tie"]).cast(types[tie_break])
+        # Nulls come first among equal timestamps.
+        before = F.col(tie_break).isNull() | F.coalesce(F.col(tie_break) <= tie, F.lit(False))
+        known = known.where(F.col(ts) >= at).where((F.col(ts) > at) | before)
     rest = F.xxhash64(*[F.col(f"`{c}`") for c in reports.columns])
-    return reports.where(F.col(ts).isNotNull()).orderBy(F.desc(ts), tie_break, rest).limit(n)
+    return known.orderBy(*order, rest).limit(n)
+
+
+def shared_counts(
+    reports: DataFrame, days: int = 100, as_of: date | str | Column | None = None
+) -> DataFrame:
+    """(kind, day, item, num_reports, num_recent) from one scan: reports per day and category.
+
+    Kinds are ``date_time`` and ``posted`` (by day; recent by that column itself), ``shape``,
+    ``country`` and ``state`` (recent by ``date_time``), and ``all``, a row that an empty table lacks.
+    Each row counts once for each kind before anything is shuffled.
+    """
+    categories = ["shape", "country", "state"]
+    recent = {ts: is_recent(F.col(ts), days, as_of) for ts in ("date_time", "posted")}
+    rows = reports.select(
+        *[F.to_date(ts).alias(ts) for ts in recent],
+        *[F.coalesce(F.col(c), F.lit("none")).alias(c) for c in categories],
+        *[F.coalesce(r, F.lit(False)).alias(f"recent_{ts}") for ts, r in recent.items()])
+    kinds = [*recent, *categories, "all"]
+    columns = [c for c in kinds if c != "all"]
+    counts = rows.groupingSets([[c] for c in columns] + [[]], *columns).agg(
+        F.grouping_id(*columns).alias("g"), F.count(F.lit(1)).alias("num_reports"),
+        F.count_if("recent_date_time").alias("recent_date_time"),
+        F.count_if("recent_posted").alias("recent_posted"))
+    # The set with one column has the bits of all the others.
+    every = (1 << len(columns)) - 1
+    kind = F.element_at(F.create_map(*[F.lit(x) for i, c in enumerate(kinds) for x in (
+        every if c == "all" else every ^ (1 << (len(columns) - 1 - i)), c)]), F.col("g").cast("int"))
+    return counts.select(
+        kind.alias("kind"), F.coalesce("date_time", "posted").alias("day"),
+        F.coalesce(*categories).alias("item"), "num_reports",
+        F.when(kind == "posted", F.col("recent_posted")).otherwise(F.col("recent_date_time")).alias("num_recent"))
 
 
 def qa_report(
@@ -82,22 +130,28 @@ def qa_report(
 ) -> dict[str, DataFrame]:
     """All queries of the quality page, by name.
 
-    Over Parquet each one scans just the one or two columns it needs, which is less work
-    than caching a wide table; cache ``reports`` beforehand if it comes from CSV.
+    Everything but the sample and the distinct coordinates comes from one set of counts, which is
+    staged: over Parquet the whole page takes four scans of a few columns each.
     """
-    by_time = {"recent_by": "date_time", "days": days, "as_of": as_of}
-    return {
-        "sample": sample_latest(reports),
-        "num_records": record_count(reports),
-        "date_time_counts": daily_counts(reports, "date_time"),
-        "recent_date_time_counts": daily_counts(reports, "date_time", days, as_of),
-        "posted_counts": daily_counts(reports, "posted"),
-        "recent_posted_counts": daily_counts(reports, "posted", days, as_of),
-        "shape_counts": category_counts(reports, "shape"),
-        "recent_shape_counts": category_counts(reports, "shape", **by_time),
-        "country_counts": category_counts(reports, "country", more_than=1),
-        "recent_country_counts": category_counts(reports, "country", more_than=1, **by_time),
-        "state_counts": category_counts(reports, "state", more_than=1),
-        "recent_state_counts": category_counts(reports, "state", more_than=1, **by_time),
-        "geos": distinct_geos(reports),
-    }
+    counts = stage(shared_counts(reports, days, as_of), "counts")
+
+    def per_day(ts: str, num: str) -> DataFrame:
+        return counts.where((F.col("kind") == ts) & F.col("day").isNotNull() & (F.col(num) > 0)).select(
+            "day", F.col(num).alias("num_reports"))
+
+    def per_category(category: str, num: str, more_than: int = 0) -> DataFrame:
+        return counts.where((F.col("kind") == category) & (F.col(num) > more_than)).select(
+            F.col("item").alias(category), F.col(num).alias("num_reports"))
+
+    total = counts.where(F.col("kind") == "all").agg(
+        F.coalesce(F.sum("num_reports"), F.lit(0)).alias("num_records"))
+    results = {"sample": sample_latest(reports), "num_records": total}
+    for prefix, num in (("", "num_reports"), ("recent_", "num_recent")):
+        results |= {
+            f"{prefix}date_time_counts": per_day("date_time", num),
+            f"{prefix}posted_counts": per_day("posted", num),
+            f"{prefix}shape_counts": per_category("shape", num),
+            f"{prefix}country_counts": per_category("country", num, 1),
+            f"{prefix}state_counts": per_category("state", num, 1),
+        }
+    return {**results, "geos": distinct_geos(reports)}

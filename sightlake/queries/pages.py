@@ -1,10 +1,13 @@
 """Page extraction: the given pages, and pages built from orders and customers."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightlake import schemas, session
 from sightlake.functions.urls import host_allowed
-from sightlake.operators import extract
+from sightlake.operators import extract, pages
 from sightlake.plans import jobs
 from sightlake.queries import Query, table
 from sightlake.sources import readers
@@ -50,13 +53,13 @@ def _shown(spark, sf_dir, name, *columns):
 
 
 def nav_links(spark, sf_dir):
-    pages = readers.read_pages(spark, f"{sf_dir}/pages.parquet")
-    return extract.index_rows(pages, ("nav", "ul", "li", "a"))
+    stored = session.spread(readers.read_pages(spark, f"{sf_dir}/pages.parquet"))
+    return extract.index_rows(stored, ("nav", "ul", "li", "a"))
 
 
 def host_filter(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
-    return pages.where(host_allowed(F.col("url"), HOSTS)).select("page_id", "url")
+    stored = table(spark, sf_dir, "pages")
+    return stored.where(host_allowed(F.col("url"), HOSTS)).select("page_id", "url")
 
 
 def index_pages(spark, sf_dir):
@@ -107,26 +110,79 @@ def report_detail(spark, sf_dir):
     return extract.report_detail(_details(spark, sf_dir))
 
 
-def assemble_reports(spark, sf_dir):
-    # Written once, as in the pull job: its links are counted before the join.
+def _paged(spark, sf_dir, details):
+    """Listing rows with the pages they link to, and what the chosen copies of the pages hold."""
+    path = session.staging_path(spark, "pages")
+    details.write.parquet(path)
     listing = session.stage(extract.usable(_listing(spark, sf_dir)), "listing")
-    return extract.assemble_reports(listing, extract.report_detail(_details(spark, sf_dir)))
+    places = session.stage(pages.page_places(spark, path), "places")
+    chosen = pages.one_copy(spark, path, places, extract.holds_report(F.col("html")))
+    paged = session.stage(extract.with_pages(listing, chosen), "paged")
+    return paged, extract.report_detail(pages.read_places(spark, path, chosen), "page_key")
+
+
+def assemble_reports(spark, sf_dir):
+    paged, detail = _paged(spark, sf_dir, _details(spark, sf_dir))
+    return extract.assemble_reports(extract.usable(paged), detail)
+
+
+def _copies(spark, sf_dir):
+    """By customer: no page, a blank copy before one with the report, two reports, or blanks alone."""
+    blank = "concat('<p>Page ', c_custkey, ' has moved.</p>')"
+    customers = session.spread(table(spark, sf_dir, "customer")).where("c_custkey % 4 <> 0")
+    report = DETAIL_HTML.format(key="c_custkey", name="c_name", extra="copy")
+    return customers.selectExpr("*", "explode(array('b', 'a')) AS copy").selectExpr(
+        "concat(CASE copy WHEN 'a' THEN 'http://' ELSE 'https://www.' END, 'reports.example/s?id=', "
+        "c_custkey) AS url",
+        f"CASE WHEN c_custkey % 4 = 3 OR (c_custkey % 4 = 1 AND copy = 'a') THEN {blank} "
+        f"ELSE {report} END AS html")
+
+
+def assemble_copies(spark, sf_dir):
+    paged, detail = _paged(spark, sf_dir, _copies(spark, sf_dir))
+    return extract.assemble_reports(extract.usable(paged), detail)
+
+
+def missing_pages(spark, sf_dir):
+    """The listing rows whose page is not stored."""
+    paged, _ = _paged(spark, sf_dir, _copies(spark, sf_dir))
+    return extract.quarantined(paged).select("report_link", "link_url", "summary", "problem")
+
+
+def _store(path, *tables):
+    """Index, listing and report pages built from tables with the columns of orders."""
+    detail = DETAIL_HTML.format(key="o_orderkey", name="o_orderstatus", extra="o_orderpriority")
+    shapes = (
+        (f"'{INDEX_URL}' AS url", f"{INDEX_HTML} AS html"),
+        (f"concat('https://reports.example/day?d=', {DAY}, '&n=1') AS url",
+         f"{LISTING_HTML.format(link="concat('/s?id=', o_orderkey)")} AS html"),
+        ("concat('https://reports.example/s?id=', o_orderkey) AS url", f"{detail} AS html"))
+    first, *rest = (t.selectExpr(*shape) for t, shape in zip(tables, shapes, strict=True))
+    reduce(DataFrame.unionByName, rest, first).write.parquet(path)
 
 
 def pull_reports(spark, sf_dir):
     """The whole pull from a stored page table: index, listing and report pages."""
-    detail = DETAIL_HTML.format(key="o_orderkey", name="o_orderstatus", extra="o_orderpriority")
-    pages = index_pages(spark, sf_dir).unionByName(
-        listing_pages(spark, sf_dir, "concat('/s?id=', o_orderkey)")
-    ).unionByName(_shown(
-        spark, sf_dir, "orders",
-        "concat('https://reports.example/s?id=', o_orderkey) AS url", f"{detail} AS html"))
     path, out = session.staging_path(spark, "pages"), session.staging_path(spark, "raw")
-    pages.write.parquet(path)
+    orders = session.spread(table(spark, sf_dir, "orders"))
+    _store(path, orders, orders, orders)
     jobs.pull_reports(spark, path, SITE, INDEX_URL, out, START, STOP)
     return readers.read_raw_reports(spark, out)
 
 
+def pulled_customers(spark, sf_dir, counts_path):
+    """Path of what is pulled from a page for each customer; a third of the report pages are absent."""
+    path, out, bad = (session.staging_path(spark, n) for n in ("pages", "raw", "bad"))
+    customers = session.spread(table(spark, sf_dir, "customer")).selectExpr(
+        "c_custkey AS o_orderkey", "c_custkey AS o_custkey", "'O' AS o_orderstatus",
+        "c_mktsegment AS o_orderpriority",
+        "cast(date_add(DATE '1995-01-01', cast(c_custkey % 2000 AS int)) AS timestamp_ntz) AS o_orderdate")
+    _store(path, customers, customers, customers.where("o_custkey % 3 <> 0"))
+    jobs.pull_reports(
+        spark, path, SITE, INDEX_URL, out, quarantine_path=bad, counts_path=counts_path)
+    return out
+
+
 _LISTED = {
     "date_time": "concat(month(o_orderdate), '/', day(o_orderdate), '/19 21:30')",
     "city": "concat('City & ', o_custkey)",
@@ -188,6 +244,21 @@ QUERIES = {
         + _STATS.format(key="c_custkey", name="c_name", extra="'a'")
         + ", concat('http://www.reports.example/s?id=', o_custkey) AS report_link, "
         f"{_LISTED_SQL} FROM orders JOIN customer ON c_custkey = o_custkey)"),
+    "assemble_copies": Query(
+        assemble_copies,
+        f"SELECT {_RAW} FROM (SELECT CASE WHEN blank THEN '' ELSE concat(extra, ' more end') END AS text, "
+        "CASE WHEN NOT blank THEN duration END AS duration, CASE WHEN blank THEN '' ELSE stats END AS stats, "
+        f"report_link, {_LISTED_SQL} FROM (SELECT *, "
+        + _STATS.format(key="c_custkey", name="c_name", extra="extra")
+        + ", concat('http://www.reports.example/s?id=', o_custkey) AS report_link FROM (SELECT *, "
+        "CASE WHEN c_custkey % 4 = 1 THEN 'b' ELSE 'a' END AS extra, c_custkey % 4 = 3 AS blank "
+        "FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_custkey % 4 <> 0)))"),
+    "missing_pages": Query(
+        missing_pages,
+        "SELECT concat('http://www.reports.example/s?id=', o_custkey) AS report_link, "
+        "concat('https://reports.example/s?id=', o_custkey) AS link_url, o_orderpriority AS summary, "
+        "'no page' AS problem FROM orders WHERE o_custkey % 4 = 0 "
+        "OR o_custkey NOT IN (SELECT c_custkey FROM customer)"),
     "pull_reports": Query(
         pull_reports,
         f"SELECT {_RAW} FROM (SELECT " + _TEXT.format(extra="o_orderpriority") + ", "

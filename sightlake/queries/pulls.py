@@ -6,7 +6,8 @@ from sightlake import schemas, session
 from sightlake.operators.merge import merge_reports
 from sightlake.plans import jobs
 from sightlake.queries import Query, cleaning, table
-from sightlake.sources import readers, writers
+from sightlake.sources import readers, versions, writers
+from sightlake.streaming.pulls import merge_landed_pulls
 
 # Links repeat on both sides; some are null.
 NEW = (
@@ -54,6 +55,48 @@ def versioned_merge(spark, sf_dir):
     return jobs.held_reports(spark, root).select("report_link", "text", "shape")
 
 
+# Three pulls whose links overlap: line items first, then orders by their priority.
+_LATER = "CASE WHEN o_orderpriority IN ('1-URGENT', '5-LOW') THEN 2 ELSE 1 END"
+
+
+def _landed(spark, sf_dir, *pulls):
+    """A landing folder with a folder of raw lines for each of some pulls, and where it is."""
+    landing = session.staging_path(spark, "landing")
+    for pull in pulls:
+        _land(spark, sf_dir, landing, pull)
+    return landing
+
+
+def _land(spark, sf_dir, landing, pull):
+    rows = held(spark, sf_dir) if pull == 0 else table(spark, sf_dir, "orders").where(
+        f"{_LATER} = {pull}").selectExpr(*NEW)
+    writers.write_lines(_lines(rows), f"{landing}/pull-{pull}")
+
+
+def _merged_landing(spark, landing, root):
+    checkpoint = session.staging_path(spark, "checkpoint")
+    query = merge_landed_pulls(spark, landing, root, checkpoint, name=checkpoint.rsplit("/", 1)[1])
+    query.awaitTermination()
+    return jobs.held_reports(spark, root).select("report_link", "text", "shape")
+
+
+def pulls_together(spark, sf_dir):
+    """Three pulls that land at once, merged by the stream in one pass."""
+    root = session.staging_path(spark, "versions")
+    return _merged_landing(spark, _landed(spark, sf_dir, 0, 1, 2), root)
+
+
+def pulls_apart(spark, sf_dir):
+    """The same pulls, each merged by the stream before the next one lands; the first version expires."""
+    root, landing = session.staging_path(spark, "versions"), _landed(spark, sf_dir, 0)
+    for pull in (1, 2):
+        _merged_landing(spark, landing, root)
+        _land(spark, sf_dir, landing, pull)
+    merged = _merged_landing(spark, landing, root)
+    versions.expire_versions(spark, root)
+    return merged
+
+
 def ndjson_round_trip(spark, sf_dir):
     path = session.staging_path(spark, "ndjson")
     writers.write_ndjson(cleaning.raw_reports(spark, sf_dir), path)
@@ -67,7 +110,15 @@ _BOTH = (
 )
 _MERGED = f"{_BOTH} SELECT report_link, text, CAST(NULL AS VARCHAR) AS shape FROM n UNION ALL SELECT * FROM kept"
 
+_LAST = (
+    f"WITH p AS (SELECT {', '.join(OLD)}, 0 AS turn FROM lineitem UNION ALL "
+    f"SELECT {', '.join(NEW)}, NULL, {_LATER} FROM orders) "
+    "SELECT report_link, text, shape FROM p "
+    "QUALIFY turn = max(turn) OVER (PARTITION BY report_link)")
+
 QUERIES = {
+    "pulls_together": Query(pulls_together, _LAST),
+    "pulls_apart": Query(pulls_apart, _LAST),
     "merge_reports": Query(merge, _MERGED),
     "merge_hot_links": Query(merge_hot_links, _MERGED),
     "merge_reports_dedupe": Query(

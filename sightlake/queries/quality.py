@@ -5,7 +5,9 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from sightlake.operators import qa
+from sightlake.plans import jobs
 from sightlake.queries import Query, table
+from sightlake.session import staging_path
 
 AS_OF, DAYS = "2024-01-31", 10
 KIND = "nullif(event_type, 'error') AS kind"
@@ -80,11 +82,8 @@ def sample_latest(spark, sf_dir):
     return qa.sample_latest(table(spark, sf_dir, "orders"), "o_orderdate", "o_orderkey")
 
 
-def qa_report(spark, sf_dir):
+def _long(results):
     """All quality queries in one long table of (query, item, num)."""
-    table(spark, sf_dir, "events").createOrReplaceTempView("report_events")
-    reports = spark.sql(REPORTS.format(events="report_events"))
-    results = qa.qa_report(reports, DAYS, AS_OF)
     parts = []
     for name, df in results.items():
         if name == "sample":
@@ -101,6 +100,22 @@ def qa_report(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _reports(spark, sf_dir):
+    table(spark, sf_dir, "events").createOrReplaceTempView("report_events")
+    return spark.sql(REPORTS.format(events="report_events"))
+
+
+def qa_report(spark, sf_dir):
+    return _long(qa.qa_report(_reports(spark, sf_dir), DAYS, AS_OF))
+
+
+def report_quality(spark, sf_dir):
+    """The quality job: reports in Parquet to a table for each query, read back."""
+    path, out = staging_path(spark, "reports"), staging_path(spark, "quality")
+    _reports(spark, sf_dir).write.parquet(path)
+    return _long(jobs.report_quality(spark, path, out, DAYS, AS_OF))
+
+
 RECENT = f"DATE '{AS_OF}' - CAST({{0}} AS DATE) < {DAYS}"
 
 
@@ -162,4 +177,5 @@ QUERIES = {
         sample_latest,
         "SELECT * FROM orders WHERE o_orderdate IS NOT NULL ORDER BY o_orderdate DESC, o_orderkey LIMIT 100"),
     "qa_report": Query(qa_report, QA_SQL),
+    "report_quality": Query(report_quality, QA_SQL),
 }

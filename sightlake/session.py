@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,15 +37,38 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/sightlake/{application}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+_temporary: ContextVar[list[str] | None] = ContextVar("temporary", default=None)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Whatever is staged inside the block goes when it ends, with a result or an error.
+
+    For jobs, which write what they return; a table that is still to be read must stay.
+    """
+    paths: list[str] = []
+    token = _temporary.set(paths)
+    try:
+        yield
+    finally:
+        _temporary.reset(token)
+        for path in paths:
+            delete_path(spark, path)
+
+
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write df once as Parquet in the shared folder and go on from the written table.
 
+    A column of few values may split it into folders, so that who wants one reads no other.
+
     Used where a costly result (parsed pages, an aggregate whose size is checked) is
     read more than once: lineage ends at the files, so a lost executor costs a re-read
-    only. The job functions drop what they staged; see ``drop_staged``.
+    only. See ``temporary`` for how it goes again.
     """
     path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
+    if (held := _temporary.get()) is not None:
+        held.append(path)
+    df.write.parquet(path, partitionBy=by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -64,6 +89,12 @@ def full_path(spark: SparkSession, path: str) -> str:
     return re.sub("^file:/+", "file:/", files.makeQualified(hadoop_path).toUri().toString()).rstrip("/")
 
 
+def path_of_uri(spark: SparkSession, uri: str) -> str:
+    """The path a reader takes for a file's URI, as scans name it."""
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
+
+
 def create_file(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file that must not exist yet; fails if it does."""
     files, hadoop_path = _file_system(spark, path)
@@ -74,18 +105,28 @@ def create_file(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Full paths of the files and folders that a pattern with ``*`` names."""
+    files, hadoop_path = _file_system(spark, pattern)
+    found = [str(f.getPath().toUri()) for f in files.globStatus(hadoop_path) or ()]
+    return [full_path(spark, f) for f in found]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, hadoop_path = _file_system(spark, path)
+    files.delete(hadoop_path, True)
+
+
 def drop_staged(spark: SparkSession, *tables: DataFrame) -> None:
     """Remove the files behind staged tables once nothing reads them any more."""
-    for folder in {os.path.dirname(f) for t in tables for f in t.inputFiles()}:
-        files, hadoop_path = _file_system(spark, folder)
-        files.delete(hadoop_path, True)
+    for folder in {re.sub(r"(/[^/=]+=[^/]*)?/[^/]*$", "", f) for t in tables for f in t.inputFiles()}:
+        delete_path(spark, folder)
 
 
 def drop_all_staged(spark: SparkSession) -> None:
     """Remove whatever this application has staged, once its results have been taken."""
-    folder = f"{shared_dir(spark).rstrip('/')}/sightlake/{spark.sparkContext.applicationId}"
-    files, hadoop_path = _file_system(spark, folder)
-    files.delete(hadoop_path, True)
+    delete_path(
+        spark, f"{shared_dir(spark).rstrip('/')}/sightlake/{spark.sparkContext.applicationId}")
 
 
 def spread(scan: DataFrame, tasks_per_core: int = 3) -> DataFrame:

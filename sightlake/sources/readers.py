@@ -32,9 +32,10 @@ def read_report_lines(spark: SparkSession, path: str) -> DataFrame:
     return with_report_link(spark.read.text(path))
 
 
-def with_report_link(lines: DataFrame) -> DataFrame:
+def with_report_link(lines: DataFrame, *others: str) -> DataFrame:
+    """Lines with their link, and other columns as they are."""
     parsed = F.from_json("value", "report_link string", {"mode": "FAILFAST"})
-    return lines.select("value", parsed["report_link"].alias("report_link"))
+    return lines.select("value", parsed["report_link"].alias("report_link"), *others)
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sightlake import session
 from sightlake.plans import jobs
+from sightlake.sources import versions
 from sightlake.sources.readers import with_report_link
 
 
@@ -17,20 +18,26 @@ def merge_landed_pulls(
     """Merge all pulls of NDJSON that landed since the last run into the versioned table.
 
     A pull is a file in the landing folder, or a folder there with all its files, which must
-    land at once. Pulls that landed together are merged one after the other, by name. A pull's
-    path goes into the version log with the merge, so what Spark hands over again, after a
+    land at once. Pulls that landed together are merged at once, as if one after the other, by name.
+    A pull's path goes into the version log with the merge, so what Spark hands over again, after a
     failure or under a new checkpoint, is recognised and not merged twice.
     """
     landing = session.full_path(spark, landing_path)
     prefix_end = len(landing) + 2
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        inside = F.substring(F.col("file"), prefix_end, 1 << 30)
-        pulls = batch.withColumn("pull", F.substring_index(inside, "/", 1))
+        own = batch.sparkSession
+        inside = F.substring_index(F.substring(F.col("file"), prefix_end, 1 << 30), "/", 1)
+        lines = batch.withColumn("pull", F.concat(F.lit(f"{landing}/"), inside))
         # One row per pull: no more than the files the driver has just listed.
-        for row in pulls.select("pull").distinct().orderBy("pull").collect():
-            lines = with_report_link(pulls.where(F.col("pull") == row.pull))
-            jobs.merge_pull(batch.sparkSession, lines, root, pull=f"{landing}/{row.pull}")
+        landed = lines.select("pull").distinct().join(
+            versions.committed_pulls(own, root), "pull", "left_anti")
+        names = [row.pull for row in landed.orderBy("pull").collect()]
+        if not names:
+            return
+        turns = own.createDataFrame(list(enumerate(names)), "turn int, pull string")
+        lines = lines.join(F.broadcast(turns), "pull")
+        jobs.merge_pulls(own, with_report_link(lines, "turn"), root, names)
 
     return (
         spark.readStream.option("recursiveFileLookup", True).text(landing_path)

@@ -2,9 +2,10 @@ import json
 
 from pyspark.sql import functions as F
 
+from sightlake import session
 from sightlake.functions import html_nodes
 from sightlake.functions.urls import host_allowed, link_key, resolve_link
-from sightlake.operators import extract
+from sightlake.operators import extract, pages
 from sightlake.plans import jobs
 from sightlake.sources import readers
 
@@ -154,17 +155,44 @@ def test_links(spark):
     assert [tuple(r) for r in rows.collect()] == list(urls.values())
 
 
-def test_assemble_takes_one_copy_of_a_page(spark):
+def test_one_copy_of_a_page_is_chosen_and_no_row_lost(spark, tmp_path):
     rows = extract.usable(listing(spark, row_of(CELLS), row_of(CELLS), row_of(["<a href='/r/9'>", *CELLS[1:]])))
-    detail = spark.createDataFrame(
-        [("http://site.test/r/1", "b", None, "s"), ("https://www.site.test/r/1", "a", "d", "s"),
-         ("http://site.test/r/2", "other", None, "")],
-        "url string, text string, duration string, stats string")
-    for options in ({}, {"broadcast_limit": 1 << 20}, {"hot_rows": 1, "salts": 3}):
-        out = extract.assemble_reports(rows, detail, **options)
+    path = str(tmp_path / "my pages")
+    pages_of(
+        spark, ("https://www.site.test/r/1", detail_page("<b>Duration:</b>z")),
+        ("https://site.test/r/1", detail_page("<b>Duration:</b>d")), ("http://site.test/r/1", "moved"),
+        ("http://site.test/r/1", None), ("https://site.test/r/1", detail_page("<b>Duration:</b>e")),
+        ("http://site.test/r/2", detail_page())).coalesce(1).write.parquet(path)
+    places = session.stage(pages.page_places(spark, path), "places")
+    chosen = pages.one_copy(spark, path, places, extract.holds_report(F.col("html")))
+    assert sorted((r.page_key, r.url) for r in chosen.collect()) == [
+        ("/r/1", "https://site.test/r/1"), ("/r/2", "http://site.test/r/2")]
+    for options in ({}, {"broadcast_limit": 1 << 20}, {"broadcast_limit": 0, "hot_rows": 1, "salts": 3}):
+        paged = session.stage(extract.with_pages(rows, chosen, **options), "paged")
+        assert [(r.link_url, r.problem) for r in extract.quarantined(paged).collect()] == [
+            ("https://www.site.test/r/9", "no page")]
+        detail = extract.report_detail(pages.read_places(spark, path, chosen), "page_key")
+        out = extract.assemble_reports(extract.usable(paged), detail, **options)
         assert out.columns == readers.schemas.RAW_REPORT.names
-        assert [(r.text, r.duration, r.report_link) for r in out.collect()] == [
-            ("a", "d", "http://www.site.test/r/1")] * 2
+        assert [(r.duration, r.report_link) for r in out.collect()] == [
+            ("d", "http://www.site.test/r/1")] * 2
+
+
+def test_pages_are_read_late(spark, tmp_path):
+    path = str(tmp_path / "pages {1}")
+    spark.range(100).selectExpr("concat('http://site.test/p?id=', id) AS url", "repeat('x', 10 + id) AS html"
+                                ).repartitionByRange(5, "url").write.parquet(path.replace("{1}", "1"))
+    path = path.replace("{1}", "1")
+    places = pages.page_places(spark, path)
+    assert "html" not in places._jdf.queryExecution().executedPlan().toString()
+    keys = spark.range(0, 100, 7).selectExpr("concat('/p?id=', id) AS page_key")
+    found = session.stage(pages.linked_places(places, keys), "found")
+    for at_once in (1, 4, 1000):
+        read = pages.read_places(spark, path, found, at_once)
+        assert sorted(len(r.html) - 10 for r in read.collect()) == list(range(0, 100, 7))
+    assert "Exchange hashpartitioning" not in read._jdf.queryExecution().executedPlan().toString()
+    none = pages.read_places(spark, path, session.stage(places.limit(0), "none"))
+    assert none.columns == read.columns and none.count() == 0
 
 
 def test_pull_job(spark, tmp_path):
@@ -177,14 +205,16 @@ def test_pull_job(spark, tmp_path):
     offsite = f'<table><tbody>{row_of(["<a href=http://other.test/s?id=5>", *CELLS[1:]])}</table>'
     pages = pages_of(
         spark, ("https://www.site.test/ndx/?id=post", index),
-        ("https://site.test/day?d=1", listing_page(1, 2)), ("https://site.test/day?d=2", listing_page(3)),
+        ("https://site.test/day?d=1", listing_page(1, 2, 77)), ("https://site.test/day?d=2", listing_page(3)),
         ("https://site.test/day?d=3", listing_page(4)), ("https://site.test/day?d=1", offsite),
         *[(f"https://site.test/s?id={i}", detail_page("<b>Duration:</b>" + f"{i} min")) for i in range(6)])
     pages.write.parquet(str(tmp_path / "pages"))
     args = (spark, str(tmp_path / "pages"), SITE, "https://www.site.test/ndx/?id=post")
     result = jobs.pull_reports(
         *args, str(tmp_path / "raw"), stop="03/06/2019", quarantine_path=str(tmp_path / "bad"))
-    assert result == {"reports": 2, "quarantined": 2}
+    assert result == {"reports": 2, "quarantined": 3}
+    bad = spark.read.json(str(tmp_path / "bad")).collect()
+    assert sorted(r.problem for r in bad) == ["bad date", "no page", "short row"]
     reports = readers.read_raw_reports(spark, str(tmp_path / "raw")).collect()
     assert sorted((r.report_link, r.duration) for r in reports) == [
         ("http://www.site.test/s?id=1", "1 min"), ("http://www.site.test/s?id=2", "2 min")]

@@ -92,8 +92,11 @@ def write_pull(folder, name, records):
 
 
 def current(spark, root):
-    path = versions.current_version(spark, root).path
-    return sorted(json.dumps(json.loads(r.value)) for r in spark.read.parquet(path).collect())
+    return lines_of(spark, versions.current_version(spark, root))
+
+
+def lines_of(spark, version):
+    return sorted(json.dumps(json.loads(r.value)) for r in versions.read_version(spark, version).collect())
 
 
 def test_versioned_merge(spark, tmp_path):
@@ -111,7 +114,7 @@ def test_versioned_merge(spark, tmp_path):
     want = sorted(map(json.dumps, [first[0], *second]))
     assert current(spark, root) == want
     assert jobs.merge_pull_file(spark, path, root, "two") == v2
-    assert spark.read.parquet(v1.path).count() == 2
+    assert len(lines_of(spark, v1)) == 2
     # Pulling the same thing again under no name is harmless, too.
     assert jobs.merge_pull_file(spark, path, root).num_rows == 3
     assert current(spark, root) == want
@@ -125,7 +128,8 @@ def test_versioned_merge(spark, tmp_path):
 def test_uncommitted_version_is_written_again(spark, tmp_path):
     root = str(tmp_path / "raw")
     path = write_pull(tmp_path / "in", "1.json", [{"report_link": "a"}])
-    spark.createDataFrame([("half",)], "value string").write.parquet(f"{root}/v00000001")
+    spark.createDataFrame([("half", 3)], "value string, bucket int").write.partitionBy("bucket").parquet(
+        f"{root}/data/v00000001-x")
     assert jobs.merge_pull_file(spark, path, root, "one").version == 1
     assert current(spark, root) == ['{"report_link": "a"}']
 
@@ -166,10 +170,71 @@ def test_pulls_that_land_together(spark, tmp_path):
 
 def test_of_two_merges_at_once_one_fails(spark, tmp_path):
     root = str(tmp_path / "raw")
-    versions.commit_version(spark, root, 1, "x", f"{root}/x", 0)
+    first = versions.Version(1, ["x"], f"{root}/parts/x", 0, 4)
+    versions.commit_version(spark, root, first)
     with pytest.raises(Exception, match="(?i)exist"):
-        versions.commit_version(spark, root, 1, "y", f"{root}/y", 0)
-    assert versions.current_version(spark, root) == (1, "x", f"{root}/x", 0)
+        versions.commit_version(spark, root, first._replace(pulls=["y"]))
+    assert versions.current_version(spark, root) == first
+    assert versions.version_with(spark, root, "x") == first
+    assert versions.version_with(spark, root, "y") is None
+
+
+def folders(spark, version):
+    return {(p.bucket, p.folder) for p in versions.parts_of(spark, version)}
+
+
+def test_versions_share_what_a_pull_does_not_touch(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    many = spark.range(300).selectExpr(
+        "concat('/r/', id) AS report_link", "concat('{\"report_link\": \"/r/', id, '\"}') AS value")
+    one = many.where("report_link = '/r/7'")
+    v1 = jobs.merge_pull(spark, many, root, "all", buckets=16)
+    v2 = jobs.merge_pull(spark, one, root, "one")
+    before, after = folders(spark, v1), folders(spark, v2)
+    assert len(before) == len(after) == 16 and len(before & after) == 15 and v2.num_rows == 300
+    # What is only added leaves the held files of its bucket, too.
+    new = spark.createDataFrame([("/r/new", '{"report_link": "/r/new"}')], "report_link string, value string")
+    v3 = jobs.merge_pull(spark, new, root, "new")
+    assert after < folders(spark, v3) and v3.num_rows == 301 and len(lines_of(spark, v3)) == 301
+    # Nothing of an old version is left but what the last one reads; its pulls stay known.
+    (tmp_path / "raw/data/v00000004-next/bucket=1").mkdir(parents=True)
+    versions.expire_versions(spark, root, keep=2)
+    assert len(lines_of(spark, v2)) == 300 and len(lines_of(spark, v3)) == 301
+    versions.expire_versions(spark, root)
+    assert len(lines_of(spark, v3)) == 301 and (tmp_path / "raw/data/v00000004-next/bucket=1").exists()
+    with pytest.raises(Exception):
+        lines_of(spark, v1)
+    assert jobs.merge_pull(spark, one, root, "one") == v2
+    empty = jobs.merge_pull(spark, one.limit(0), root, "none")
+    assert empty.num_rows == 301 and folders(spark, empty) == folders(spark, v3)
+
+
+def test_a_bucket_of_many_folders_is_written_anew(spark, tmp_path):
+    root, schema = str(tmp_path / "raw"), "report_link string, value string"
+    for i in range(versions.MAX_FOLDERS + 2):
+        line = f'{{"report_link": "/r/{i}"}}'
+        last = jobs.merge_pull(spark, spark.createDataFrame([(f"/r/{i}", line)], schema), root, str(i), buckets=1)
+    assert last.num_rows == len(lines_of(spark, last)) == versions.MAX_FOLDERS + 2
+    assert len(folders(spark, last)) < versions.MAX_FOLDERS
+
+
+@pytest.mark.parametrize("dedupe", [False, True])
+def test_pulls_at_once_and_one_by_one(spark, tmp_path, dedupe):
+    pulls = [["a", "b", "b", None], ["b", "c", "c", None, None], ["c", "d", "d", "a"], ["d"]]
+    rows = [(k, f'{{"report_link": {json.dumps(k)}, "n": {i}}}', t)
+            for t, keys in enumerate(pulls) for i, k in enumerate(keys)]
+    lines = spark.createDataFrame(rows, "report_link string, value string, turn int")
+    old = spark.createDataFrame([("z", '{"z": 1}'), ("z", '{"z": 2}'), ("d", '{"d": 0}')],
+                                "report_link string, value string")
+    found = []
+    for name, steps in (("apart", [[0], [1], [2], [3]]), ("some", [[0], [1, 2, 3]]), ("once", [[0, 1, 2, 3]])):
+        root = str(tmp_path / f"{name}-{dedupe}")
+        jobs.merge_pull(spark, old, root, "old", buckets=3)
+        for turns in steps:
+            own = lines.where(f"turn in ({', '.join(map(str, turns))})").withColumn("turn", F.col("turn") - turns[0])
+            jobs.merge_pulls(spark, own, root, [str(t) for t in turns], dedupe_orig=dedupe)
+        found.append(current(spark, root))
+    assert found[0] == found[1] == found[2] and len(found[0]) == (6 if dedupe else 8)
 
 
 def test_ndjson_round_trip_keeps_null_fields(spark, tmp_path):
