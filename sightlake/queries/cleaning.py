@@ -104,6 +104,14 @@ def clean_shape(spark, sf_dir):
         places.clean_shape(shape, merges).alias("shape_merged"))
 
 
+def clean_text_places(spark, sf_dir):
+    """Every line of the documents as a city, with what the tables hold as its state and shape."""
+    lines = table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("source").alias("shape"), F.col("lang").alias("state"),
+        F.posexplode(F.split("text", "\n")).alias("line", "city"))
+    return clean_places(lines)
+
+
 def raw_reports(spark, sf_dir):
     """Orders as raw reports: dirty dates, places and shapes by order key."""
     index = f"o_orderkey % {len(CITIES)}"
@@ -138,7 +146,41 @@ def _moved(c):
     return f"CASE WHEN {c} > TIMESTAMP '{AS_OF}' THEN {c} - INTERVAL 100 YEAR ELSE {c} END"
 
 
+# White space as text processing counts it (fixed values), for RE2.
+_WS = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+
+
+def _stripped(text):
+    return f"regexp_replace(regexp_replace({text}, '^[{_WS}]+', ''), '[{_WS}]+$', '')"
+
+
+def _first_word(text, short, full):
+    return f"regexp_replace({text}, '^(?i:{short})[{_WS}]*?( |$)', '{full}\\1')"
+
+
+def _lines_sql():
+    """The rules one after the other, each line by all of them."""
+    steps = [
+        "SELECT doc_id, source, lang, generate_subscripts(ls, 1) - 1 AS line, unnest(ls) AS city FROM "
+        "(SELECT doc_id, source, lang, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)",
+        f"SELECT *, {_stripped("regexp_replace(city, '[(].*[)]', '')")} AS a FROM s0",
+        f"SELECT *, {_stripped("split_part(a, '/', 1)")} AS b FROM s1"]
+    for i, (short, full) in enumerate((("st[.]", "Saint"), ("ft[.]", "Fort"), ("mt[.]", "Mount"))):
+        steps.append(f"SELECT * EXCLUDE (b), {_first_word('b', short, full)} AS b FROM s{i + 2}")
+    fixes = " ".join(
+        f"WHEN lower(b) = '{name}'{f" AND state = '{only}'" if only else ''} THEN '{full}'"
+        for name, only, full in places.CITY_FIXES)
+    ctes = ", ".join(f"s{i} AS ({text})" for i, text in enumerate(steps))
+    return (
+        f"WITH {ctes}, r AS (SELECT *, CASE upper(lang) WHEN 'NF' THEN 'NL' WHEN 'PQ' THEN 'QC' WHEN 'SA' "
+        "THEN 'SK' WHEN 'YK' THEN 'YT' ELSE upper(lang) END AS state FROM s5) "
+        "SELECT doc_id, CASE lower(source) WHEN 'triangular' THEN 'triangle' ELSE lower(source) END AS shape, "
+        "state, CAST(line AS INTEGER) AS line, CASE WHEN city = '' OR state IS NULL OR state = '' THEN city "
+        f"ELSE CASE {fixes} ELSE b END END AS city FROM r")
+
+
 QUERIES = {
+    "clean_text_places": Query(clean_text_places, _lines_sql()),
     "clean_ts": Query(
         clean_ts,
         f"SELECT o_orderkey, CASE WHEN {COUPLED} THEN p END AS posted, "

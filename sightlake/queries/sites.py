@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sightlake.functions.geodesy import ALPHA, BETA, DELTA, RECTIFYING_RADIUS, buffer_ring, ring_to_geojson
+from sightlake.functions.geodesy import buffer_ring, ring_to_geojson, with_distance
 from sightlake.operators import extract, sites
 from sightlake.plans import jobs
 from sightlake.queries import Query, table
@@ -48,7 +48,8 @@ def _rings(spark, sf_dir):
 
 def _vertices(df, ring, lon, lat):
     """A row for each vertex of a ring; its numbers go by six decimals."""
-    return df.select("*", F.posexplode(ring).alias("vertex", "point")).select(
+    # Outer: else a filter on the ring, which cannot be empty, would work it out twice more.
+    return df.select("*", F.posexplode_outer(ring).alias("vertex", "point")).select(
         *df.columns, "vertex", F.round(lon(F.col("point")), 6).alias("lon"),
         F.round(lat(F.col("point")), 6).alias("lat"))
 
@@ -78,6 +79,24 @@ def site_table(spark, sf_dir):
     return _polygon(sites.with_buffer(placemarks(spark, sf_dir)), "buffer_100km_geojson")
 
 
+# Every degree from pole to pole and across the date line.
+ROUND_LON, ROUND_LAT = "(c_custkey * 37) % 360 - 179.75", "c_custkey % 180 - 89.95"
+
+
+def buffer_distances(spark, sf_dir):
+    """How far the vertices of each buffer lie from its centre at least and at most, in decimetres."""
+    points = spread(table(spark, sf_dir, "customer")).selectExpr(
+        "c_custkey", f"cast({ROUND_LON} AS double) AS lon", f"cast({ROUND_LAT} AS double) AS lat")
+    vertices = points.select(
+        "*", F.explode_outer(buffer_ring("lon", "lat")).alias("v")).select("*", "v.lon", "v.lat").toDF(
+        "c_custkey", "lon", "lat", "v", "to_lon", "to_lat").drop("v")
+    apart = with_distance(vertices, "lon", "lat", "to_lon", "to_lat")
+    return apart.groupBy("c_custkey").agg(
+        F.count("*").alias("vertices"), F.round(10 * F.min("metres")).cast("long").alias("nearest"),
+        F.round(10 * F.max("metres")).cast("long").alias("farthest"),
+        F.every(F.abs(F.col("metres") - 100_000) < 5).alias("within_5_m"))
+
+
 def _made_sites(spark, sf_dir):
     """Paths of the site job's CSV and of what it set aside, from placemarks in KML files."""
     kml, out, bad = (staging_path(spark, n) for n in ("kml", "sites", "bad_sites"))
@@ -97,13 +116,30 @@ def make_sites_quarantine(spark, sf_dir):
     return spark.read.schema("name string, problem string").json(_made_sites(spark, sf_dir)[1])
 
 
+# The ellipsoid and the published series, stated here again: flattening, third flattening, radius.
+_F = 1 / 298.257223563
+_T = 1 / 595.514447126
+_A = repr(6378137 / (1 + _T) * (1 + _T * _T / 4 + _T * _T * _T * _T / 64))
+_ECC = "sqrt((1 / 298.257223563) * (2 - 1 / 298.257223563))"
+_TO_GRID = [
+    _T * (1 / 2 + _T * (-2 / 3 + _T * (5 / 16 + _T * 41 / 180))),
+    _T**2 * (13 / 48 + _T * (-3 / 5 + _T * 557 / 1440)),
+    _T**3 * (61 / 240 - _T * 103 / 140), _T**4 * 49561 / 161280]
+_FROM_GRID = [
+    _T * (1 / 2 + _T * (-2 / 3 + _T * (37 / 96 - _T / 360))),
+    _T**2 * (1 / 48 + _T * (1 / 15 - _T * 437 / 1440)),
+    _T**3 * (17 / 480 - _T * 37 / 840), _T**4 * 4397 / 161280]
+_TO_LATITUDE = [
+    _T * (2 + _T * (-2 / 3 + _T * (-2 + _T * 116 / 45))),
+    _T**2 * (7 / 3 + _T * (-8 / 5 - _T * 227 / 45)),
+    _T**3 * (56 / 15 - _T * 136 / 35), _T**4 * 4279 / 630]
+
+
 def _sum(coefficients, term):
     return " + ".join(f"{k!r} * {term.format(j=2 * j)}" for j, k in enumerate(coefficients, 1))
 
 
-_ECC = "sqrt((1 / 298.257223563) * (2 - 1 / 298.257223563))"
-_A = repr(RECTIFYING_RADIUS)
-def _buffers(points, keys):
+def _buffers(points, keys, digits=6):
     """The published series, stage by stage, one row per point and vertex."""
     return f"""
     WITH pt AS ({points}), p AS (
@@ -114,23 +150,65 @@ def _buffers(points, keys):
         SELECT *, atan(tan(phi) * sqrt(1 + sinh(q) * sinh(q)) - sinh(q) * sqrt(1 + tan(phi) * tan(phi))) AS chi0
         FROM c
     ), v AS (
-        SELECT *, chi0 + {_sum(ALPHA, 'sin({j} * chi0)')} - 100000 * sin(k * pi() / 32) / {_A} AS xi0,
+        SELECT *, chi0 + {_sum(_TO_GRID, 'sin({j} * chi0)')} - 100000 * sin(k * pi() / 32) / {_A} AS xi0,
                100000 * cos(k * pi() / 32) / {_A} AS eta0
         FROM x, unnest(range(0, 65)) AS r(k)
     ), s AS (
-        SELECT *, xi0 - ({_sum(BETA, 'sin({j} * xi0) * cosh({j} * eta0)')}) AS xi,
-               eta0 - ({_sum(BETA, 'cos({j} * xi0) * sinh({j} * eta0)')}) AS eta
+        SELECT *, xi0 - ({_sum(_FROM_GRID, 'sin({j} * xi0) * cosh({j} * eta0)')}) AS xi,
+               eta0 - ({_sum(_FROM_GRID, 'cos({j} * xi0) * sinh({j} * eta0)')}) AS eta
         FROM v
     ), g AS (
         SELECT *, longitude + degrees(atan2(sinh(eta), cos(xi))) AS east, asin(sin(xi) / cosh(eta)) AS chi
         FROM s
     )
     SELECT {keys}, CAST(k AS INTEGER) AS vertex,
-           round(CASE WHEN east > 180 THEN east - 360 WHEN east < -180 THEN east + 360 ELSE east END, 6) AS lon,
-           round(degrees(chi + {_sum(DELTA, 'sin({j} * chi)')}), 6) AS lat
+           round(CASE WHEN east > 180 THEN east - 360 WHEN east < -180 THEN east + 360 ELSE east END, {digits}) AS lon,
+           round(degrees(chi + {_sum(_TO_LATITUDE, 'sin({j} * chi)')}), {digits}) AS lat
     FROM g"""
 
 
+def _distances():
+    """The published inverse solution over the buffers' vertices, its rounds written out."""
+    points = (f"SELECT c_custkey, CAST({ROUND_LON} AS DOUBLE) AS longitude, "
+              f"CAST({ROUND_LAT} AS DOUBLE) AS latitude FROM customer")
+    first = (
+        f"SELECT c_custkey, atan({1 - _F!r} * tan(radians(latitude))) AS u, "
+        f"atan({1 - _F!r} * tan(radians(lat))) AS w, radians(lon - longitude) AS l, "
+        "radians(lon - longitude) AS x FROM ring")
+    sphere = (
+        "SELECT c_custkey, u, w, l, x, sqrt(pow(cos(w) * sin(x), 2) "
+        "+ pow(cos(u) * sin(w) - sin(u) * cos(w) * cos(x), 2)) AS si, "
+        "sin(u) * sin(w) + cos(u) * cos(w) * cos(x) AS co FROM {0}")
+    bent = "SELECT *, cos(u) * cos(w) * sin(x) / si AS sa FROM {0}"
+    middle = (
+        "SELECT *, 1 - sa * sa AS ca, co - 2 * sin(u) * sin(w) / (1 - sa * sa) AS m, "
+        f"{_F / 16!r} * (1 - sa * sa) * (4 + {_F!r} * (4 - 3 * (1 - sa * sa))) AS k FROM {{0}}")
+    again = (
+        f"SELECT *, l + (1 - k) * {_F!r} * sa * (atan2(si, co) + k * si * (m + k * co "
+        "* (2 * m * m - 1))) AS y FROM {0}")
+    steps, last = [f"ring AS ({_buffers(points, 'c_custkey, longitude, latitude', 15)})", f"s0 AS ({first})"], "s0"
+    for i in range(6):
+        for j, text in enumerate((sphere, bent, middle, again)):
+            steps.append(f"s{i}{j} AS ({text.format(last)})")
+            last = f"s{i}{j}"
+        steps.append(f"s{i + 1} AS (SELECT c_custkey, u, w, l, y AS x, si, co, ca, m FROM {last})")
+        last = f"s{i + 1}"
+    minor = 6378137 * (1 - _F)
+    return f"""
+    WITH {', '.join(steps)}, q AS (
+        SELECT *, ca * {6378137**2 / minor**2 - 1!r} AS q FROM {last}
+    ), ab AS (
+        SELECT *, 1 + q / 16384 * (4096 + q * (-768 + q * (320 - 175 * q))) AS a,
+               q / 1024 * (256 + q * (-128 + q * (74 - 47 * q))) AS b FROM q
+    ), d AS (
+        SELECT c_custkey, {minor!r} * a * (atan2(si, co) - b * si * (m + b / 4 * (co * (2 * m * m - 1)
+            - b / 6 * m * (4 * si * si - 3) * (4 * m * m - 3)))) AS metres FROM ab
+    )
+    SELECT c_custkey, count(*) AS vertices, CAST(round(10 * min(metres)) AS BIGINT) AS nearest,
+           CAST(round(10 * max(metres)) AS BIGINT) AS farthest, TRUE AS within_5_m
+    FROM d GROUP BY c_custkey"""
+
+
 _CIRCLED = f"SELECT c_custkey, CAST({LON} AS DOUBLE) AS longitude, CAST({LAT} AS DOUBLE) AS latitude FROM customer"
 _POLYGON = "'Polygon' AS type, 0 AS ring_no"
 _GOOD = "s_suppkey % 9 <> 0 AND s_suppkey % 11 <> 0"
@@ -148,6 +226,7 @@ QUERIES = {
     "placemarks": Query(placemarks, _SITES.format(more="")),
     "placemark_quarantine": Query(placemark_quarantine, _BAD_SITES),
     "site_buffer": Query(site_buffer, _buffers(_CIRCLED, "c_custkey")),
+    "buffer_distances": Query(buffer_distances, _distances()),
     "site_geojson": Query(site_geojson, _buffers(_CIRCLED, f"c_custkey, {_POLYGON}")),
     "site_table": Query(site_table, _SITE_TABLE),
     "make_sites": Query(make_sites, _SITE_TABLE),
