@@ -180,8 +180,8 @@ def exact_copies(df: DataFrame, column: str = "text", key: str = "doc_id", block
     held = df.select(
         F.monotonically_increasing_id().alias("place"), F.col(quoted(key)).alias("key"),
         F.col(quoted(column)).cast("string").cast("binary").alias("text"))
-    numbered = _numbered(
-        held, T.StructType([_PLACE, held.schema["key"], *_ABOUT, *_NUMBERED]), _text(block))
+    named = T.StructField("key", held.schema["key"].dataType)
+    numbered = _numbered(held, T.StructType([_PLACE, named, *_ABOUT, *_NUMBERED]), _text(block))
     rows = numbered.where("place is not null").select("place", "key", "n_chars", "digest")
     rows = stage(rows.join(_identities(numbered), "place"), "identities")
     first = F.min(F.struct(
