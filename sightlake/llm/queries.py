@@ -131,7 +131,9 @@ def op10_suffix_dedup(spark, sf_dir):
     """Every document without the bytes of strings of 400 that stand elsewhere, too."""
     left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        F.octet_length("kept").cast("long").alias("n_kept"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 OP8_SQL = """

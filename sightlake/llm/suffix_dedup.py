@@ -8,8 +8,11 @@ compared. For those, what follows the mark and (backwards) what precedes it are
 multikey sort as far as a shallow depth, then by blind tries where prefixes stay equal beyond it.
 The common prefixes in both orders tell, for every window, whether another run has it.
 
-A mark with more runs than a task should hold is dealt out by its windows instead, by their
-hashes, which are summed where they are before they are moved.
+A mark that more runs share than a task should sort is split: windows that are equal have their mark
+at equal offsets, so its runs are cut into slots of a few offsets, and all windows of a slot share
+a longer gram, which deals the pieces out. Equal pieces are counted before they are moved, as runs
+are, and the rest is sorted in the same way. Texts move once to give the bytes of the runs that are
+compared, and once to meet what goes, however large the table is.
 """
 
 from __future__ import annotations
@@ -23,17 +26,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightlake.llm.frames import fresh, quoted, with_fields
+from sightlake.operators.joins import lookup_join
 from sightlake.session import broadcast_if_small, stage
 
 WINDOW, GRAM = 400, 128
 SHALLOW = 192
-#: Bytes of documents hashed at once; runs of one mark that one task compares.
-BLOCK, CROWD = 1 << 20, 20_000
-#: Measured bytes of a table that may be broadcast; hashed relations take several times that.
+#: Bytes of documents hashed at once; runs of a mark that are sorted together; offsets in a slot.
+BLOCK, CROWD, SLOT = 1 << 20, 1_000, 16
+#: Measured bytes of a table of marks that may be broadcast; hashed relations take several times that.
 SENT = 12 << 20
 #: Enough for a place in a block; the same in all blocks, so that equal windows choose alike.
 PLACE_BITS = 23
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_WORD = (1 << 64) - 1
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
@@ -323,22 +328,60 @@ def _compared(window: int, gram: int):
     return run
 
 
-def _hashed_windows(window: int):
+_PIECE = "mark long, content long, at long, n long, data binary, run_mark long, run_content long, skip long"
+
+
+def _pieces(window: int):
+    """Runs cut by the offsets of their windows; the new mark is that of what a slot's windows share."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             rows = []
-            for mark, content, n, data in zip(
-                    *(batch.column(i).to_pylist() for i in (0, 1, 3, 4)), strict=True):
-                for start in range(n):
-                    digest = xxhash.xxh3_128_digest(data[start:start + window])
-                    rows.append((mark, content, start, digest))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 4
+            for mark, content, at, n, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                # Window j starts so many bytes before the mark as its offset, at - j, says.
+                for slot in range((at - n + 1) // SLOT, at // SLOT + 1):
+                    first, past = max(0, at - slot * SLOT - SLOT + 1), min(n, at - slot * SLOT + 1)
+                    # What any window of the slot holds, so it lies inside the run.
+                    low, high = at - slot * SLOT, at - slot * SLOT - SLOT + 1 + window
+                    piece = data[first:past - 1 + window]
+                    rows.append((
+                        digest(data[low:high], slot) ^ mark & _WORD, digest(piece, at - first), at - first,
+                        past - first, piece, mark, content, first))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 8
+            signed = [np.array(columns[i], np.uint64).view(np.int64) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[i], pa.int64()) for i in range(3)]
-                + [pa.array(columns[3], pa.binary())], ["mark", "content", "first", "window"])
+                [pa.array(c, pa.binary() if i == 4 else pa.int64())
+                 for i, c in enumerate([*signed, *columns[2:]])],
+                ["mark", "content", "at", "n", "data", "run_mark", "run_content", "skip"])
     return run
 
 
+def _sorted_hits(runs: DataFrame, window: int, gram: int) -> DataFrame:
+    """Hits among distinct runs (mark, content, at, n, data), each mark's sorted together."""
+    return runs.select("mark", "content", "at", "n", "data").repartition("mark").sortWithinPartitions(
+        "mark").mapInArrow(_compared(window, gram), _HIT)
+
+
+def _split_hits(runs: DataFrame, window: int, gram: int) -> DataFrame:
+    """The same for runs of marks that many share, piece by piece."""
+    pieces = stage(runs.select("mark", "content", "at", "n", "data").mapInArrow(
+        _pieces(window), _PIECE), "pieces")
+    own = ["run_mark", "run_content", "skip"]
+    held = pieces.select("mark", "content", "n", *own)
+    distinct = stage(held.groupBy("mark", "content").agg(
+        F.count("*").alias("copies"), F.min(F.struct(*own)).alias("one"), F.first("n").alias("n")), "pieces")
+    whole = distinct.where("copies > 1").select(
+        "mark", "content", F.lit(0).cast("long").alias("first"), F.col("n").alias("past"))
+    several = distinct.groupBy("mark").agg(F.count("*").alias("contents")).where("contents > 1")
+    asked = lookup_join(distinct, several, ["mark"], "left_semi", broadcast_limit=SENT, hot_rows=CROWD)
+    compared = pieces.join(asked.select("one.*"), own, "left_semi")
+    hits = stage(whole.unionByName(_sorted_hits(compared, window, gram)), "piece_hits")
+    found = lookup_join(held, hits, ["mark", "content"], "inner", broadcast_limit=SENT)
+    return found.select(
+        F.col("run_mark").alias("mark"), F.col("run_content").alias("content"),
+        (F.col("skip") + F.col("first")).alias("first"), (F.col("skip") + F.col("past")).alias("past"))
+
+
 def find_repeats(df: DataFrame, column: str, window: int = WINDOW, gram: int = GRAM,
                  crowd: int = CROWD) -> DataFrame:
     """(place, first, past): ranges of starts of windows of df's texts that start elsewhere, too.
@@ -361,25 +404,22 @@ def find_repeats(df: DataFrame, column: str, window: int = WINDOW, gram: int = G
     whole = distinct.where("copies > 1").select(
         "mark", "content", F.lit(0).cast("long").alias("first"), F.col("one.n").alias("past"))
 
-    asked = distinct.join(sizes, "mark").select(
-        "one.place", F.struct("mark", "content", "one.low", "one.n", "one.at",
-                              (F.col("contents") > crowd).alias("crowded")).alias("run"))
+    asked = lookup_join(
+        distinct, stage(sizes, "sizes"), ["mark"], "inner", broadcast_limit=SENT, hot_rows=crowd,
+    ).select("one.place", F.struct("mark", "content", "one.low", "one.n", "one.at",
+                                   (F.col("contents") > crowd).alias("crowded")).alias("run"))
     asked = stage(asked.groupBy("place").agg(F.collect_list("run").alias("asked")), "asked")
-    small, _ = broadcast_if_small(asked, SENT)
-    cut = placed.join(small, "place").select("text", F.explode("asked").alias("run")).select(
+    # A merge at every size: what is asked for grows with the texts.
+    cut = placed.join(asked.hint("merge"), "place").select("text", F.explode("asked").alias("run")).select(
         "run.mark", "run.content", "run.at", "run.n",
         F.substring("text", F.col("run.low").cast("int") + 1,
                     (F.col("run.n") + window - 1).cast("int")).alias("data"), "run.crowded")
-    cut = stage(cut, "cut_runs")
-    compared = (cut.where(~F.col("crowded")).drop("crowded").repartition("mark")
-                .sortWithinPartitions("mark").mapInArrow(_compared(window, gram), _HIT))
-    hashed = cut.where("crowded").drop("crowded").mapInArrow(
-        _hashed_windows(window), "mark long, content long, first long, window binary")
-    twice = hashed.groupBy("mark", "window").agg(F.count("*").alias("rows")).where("rows > 1")
-    crowded = hashed.join(twice, ["mark", "window"], "left_semi").select(
-        "mark", "content", "first", (F.col("first") + 1).alias("past"))
-    hits = stage(whole.unionByName(compared).unionByName(crowded), "hits")
-    small, _ = broadcast_if_small(hits, SENT)
+    cut = stage(cut, "cut_runs", by="crowded")
+    hits = whole.unionByName(_sorted_hits(cut.where(~F.col("crowded")), window, gram))
+    crowded = cut.where("crowded")
+    if not crowded.isEmpty():
+        hits = hits.unionByName(_split_hits(crowded, window, gram))
+    small, _ = broadcast_if_small(stage(hits, "hits"), SENT)
     return again.join(small, ["mark", "content"]).select(
         "place", (F.col("low") + F.col("first")).alias("first"),
         (F.col("low") + F.col("past")).alias("past"))
