@@ -140,13 +140,21 @@ def draw(df: DataFrame, may: Column, percent: int, key: str = "doc_id", score: s
         F.when(F.col(can) & (number <= drawn), number).alias(rank))
 
 
+def scored(df: DataFrame, target: DataFrame, seed: str, key: str = "doc_id", column: str = "text",
+           target_column: str = "text", max_n: int = MAX_N, buckets: int = BUCKETS) -> DataFrame:
+    """df with n_words, n_features, weight and score, by which ``draw`` draws."""
+    weighed = weigh(df, target, column, target_column, max_n, buckets)
+    names = [F.col(quoted(c)) for c in weighed.columns if c.lower() != "score"]
+    return weighed.select(*names, noisy(F.col("weight"), F.col(quoted(key)), seed).alias("score"))
+
+
 def resample(df: DataFrame, target: DataFrame, percent: int, seed: str, least_words: int = 20,
-             key: str = "doc_id", column: str = "text", target_column: str = "text",
-             max_n: int = MAX_N, buckets: int = BUCKETS) -> DataFrame:
-    """df with n_features, weight, score and rank: which rows are drawn to look like the target.
+             key: str = "doc_id", column: str = "text", **options) -> DataFrame:
+    """df without its texts, with n_features, weight, score and rank: which rows look like the target.
 
     A row may be drawn from some number of words on. See ``weigh`` and ``draw`` for nulls and ties.
+    Texts are left out before rows move; whoever wants those drawn joins them on the key.
     """
-    weighed = weigh(df, target, column, target_column, max_n, buckets)
-    scored = weighed.withColumn("score", noisy(F.col("weight"), F.col(quoted(key)), seed))
-    return draw(scored, F.col("n_words") >= least_words, percent, key)
+    found = scored(df, target, seed, key, column, **options)
+    narrow = found.select(*[F.col(quoted(c)) for c in found.columns if c.lower() != column.lower()])
+    return draw(narrow, F.col("n_words") >= least_words, percent, key)
