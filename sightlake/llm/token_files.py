@@ -18,6 +18,7 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 from sightlake.llm.frames import quoted
-from sightlake.session import stage
+from sightlake.session import full_path, stage
 
 LENGTH = 2048
 BATCH_SEQUENCES = 64
-CACHED_PIECES, CACHED_PIECE_CHARS = 400_000, 32
+CACHED_WORDS, CACHED_PIECES = 400_000, 200_000
+#: Characters of texts that are encoded together.
+TOGETHER = 4 << 20
 #: Fixed value: how the word tokenizer takes lower-case text apart.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: What only the library itself should take apart: letters and marks beyond Latin ones, special
@@ -49,10 +52,41 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Memo:
+    """What was found for strings, in two generations: the older one goes when the younger is full."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def found(self, keys: list[str], find: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """Bytes for every string; new ones, each once, are found together."""
+        found = list(map(self.young.get, keys))
+        if None not in found:
+            return found
+        places = [i for i, value in enumerate(found) if value is None]
+        missing = dict.fromkeys([keys[i] for i in places])
+        new = []
+        for key in missing:
+            held = missing[key] = self.old.get(key)
+            if held is None:
+                new.append(key)
+        if new:
+            missing.update(zip(new, find(new), strict=True))
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young.update(missing)
+        for i in places:
+            found[i] = missing[keys[i]]
+        return found
+
+
 class WordEncoder:
-    """Ids of the library, piece by piece: a piece met before is not encoded again.
+    """Ids of the library, word by word: what stands between blanks is taken apart once.
 
-    Pieces end with a token of their own kind, so many new ones are encoded as one text.
+    White space is in no piece, so a word's ids depend on nothing else. Pieces end with a token of
+    their own kind, so many new ones are encoded as one text.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -69,43 +103,58 @@ class WordEncoder:
         for token, i in self.tokenizer.get_vocab().items():
             self.final[i] = token.endswith(suffix)
         self.letters = _byte_letters()
-        self.held: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.of_word, self.of_piece = _Memo(CACHED_WORDS), _Memo(CACHED_PIECES)
 
     def _packed(self, ids) -> bytes:
         return np.asarray(ids, self.dtype).tobytes()
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
         joined = " ".join(p.encode().decode("latin-1").translate(self.letters) for p in pieces)
         ids = np.array(self.pieces.encode(joined, add_special_tokens=False).ids, np.int64)
-        ends = np.flatnonzero(self.final[ids]) + 1
         data, width = self._packed(ids), self.dtype.itemsize
-        cuts = [0, *(ends * width).tolist()]
-        return {p: data[a:b] for p, a, b in zip(pieces, cuts[:-1], cuts[1:], strict=True)}
-
-    def _found(self, pieces: list[str]) -> bytes:
-        found = list(map(self.held.get, pieces))
-        if None in found:
-            missing = [p for p, f in zip(pieces, found, strict=True) if f is None]
-            known = {p: self.older[p] for p in missing if p in self.older}
-            new = [p for p in dict.fromkeys(missing) if p not in known]
-            if new:
-                known |= self._learn(new)
-            if len(self.held) >= CACHED_PIECES:
-                self.older, self.held = self.held, {}
-            self.held.update((p, x) for p, x in known.items() if len(p) <= CACHED_PIECE_CHARS)
-            found = [known[p] if f is None else f for p, f in zip(pieces, found, strict=True)]
-        return b"".join(found)
-
-    def packed(self, text: str) -> bytes:
-        """Ids of a whole text, little-endian."""
-        if not _OTHER.search(text):
-            return self._found(_PIECE.findall(text.lower()))
-        # White space is in no piece, so what stands between it is encoded by itself.
-        return b"".join(
-            self._packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
-            if _OTHER.search(chunk) else self._found(_PIECE.findall(chunk.lower()))
-            for chunk in _BLANKS.split(text))
+        cuts = [0, *((np.flatnonzero(self.final[ids]) + 1) * width).tolist()]
+        return [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        # Numbers of pieces; none for what only the library takes apart.
+        pieces: list[str] = []
+        sizes: list[int | None] = []
+        for word in words:
+            if word.isalpha() and (word.isascii() or not _OTHER.search(word)):
+                pieces.append(word)
+                sizes.append(1)
+            elif _plain(word):
+                own = _PIECE.findall(word)
+                pieces += own
+                sizes.append(len(own))
+            else:
+                sizes.append(None)
+        found = iter(self.of_piece.found(pieces, self._pieces))
+        return [
+            next(found) if n == 1 else b"".join(islice(found, n)) if n is not None
+            else self._packed(self.tokenizer.encode(w, add_special_tokens=False).ids)
+            for w, n in zip(words, sizes, strict=True)]
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts, little-endian; what is new in them is looked up together."""
+        words: list[str] = []
+        ends = []
+        for text in texts:
+            if _plain(text):
+                words += text.lower().split()
+            else:
+                words += [w.lower() if _plain(w) else w for w in _BLANKS.split(text)]
+            ends.append(len(words))
+        found = self.of_word.found(words, self._words)
+        return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
+
+
+def _plain(text: str) -> bool:
+    """Whether a text holds nothing that only the library should take apart."""
+    if text.isascii():
+        return "<|" not in text and not (
+            "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text)
+    return not _OTHER.search(text)
 
 
 @lru_cache(2)
@@ -187,6 +236,19 @@ class _ShardWriter:
         self.writer.close()
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of a batch, some millions of characters at a time."""
+    names, texts, size = [], [], 0
+    for name, text in zip(batch.column(0), batch.column(1), strict=True):
+        names.append(name.as_py())
+        texts.append(text.as_py() or "")
+        size += len(texts[-1])
+        if size > TOGETHER:
+            yield names, texts
+            names, texts, size = [], [], 0
+    yield names, texts
+
+
 def _written(folder: str, tokenizer_file: str, end_id: int, length: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = open_store(folder)
@@ -199,9 +261,9 @@ def _written(folder: str, tokenizer_file: str, end_id: int, length: int) -> Call
         with store.open_output_stream(part) as sink:
             shards = _ShardWriter(sink, length, coder.dtype)
             for batch in batches:
-                for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                    shards.add(doc_id.as_py(), np.frombuffer(
-                        coder.packed(text.as_py() or "") + tail, coder.dtype))
+                for keys, texts in _slices(batch):
+                    for key, ids in zip(keys, coder.packed(texts), strict=True):
+                        shards.add(key, np.frombuffer(ids + tail, coder.dtype))
             shards.close()
         if shards.n_docs:
             store.move(part, name)
@@ -225,6 +287,8 @@ def write_files(
     alone. ``start`` counts the ids in all shards before. Ranges go by key and place, so rows that
     share a key may go to several shards. Other columns are not written.
     """
+    # Executors take the folder for what the driver's default file system makes of it.
+    folder = full_path(df.sparkSession, folder)
     held = df.select(
         F.col(quoted(key)).cast("long").alias("doc_id"),
         F.col(quoted(column)).cast("string").alias("text"),
@@ -298,7 +362,7 @@ def read_documents(spark: SparkSession, manifest: DataFrame, folder: str) -> Dat
     shards = manifest.select("file", "start", "shard").repartition(tasks, "shard").select(
         "file", "start")
     return shards.mapInArrow(
-        _read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
+        _read(full_path(spark, folder)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_sequence(path: str, number: int) -> tuple[np.ndarray, np.ndarray]:
