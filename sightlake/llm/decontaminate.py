@@ -12,9 +12,11 @@ neither shuffled nor joined.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,9 @@ from sightlake.llm.frames import kept_rows, over_texts, quoted
 from sightlake.llm.words import alnum_words
 
 WINDOW = 13
-#: Bytes of benchmark text in one block, and so in one broadcast.
-BLOCK_BYTES = 8 << 20
+#: Bytes of benchmark text in one block, and so in one broadcast; built blocks a worker keeps; and
+#: bytes of documents that meet a block together, where there are more blocks than that.
+BLOCK_BYTES, BUILT, TOGETHER = 4 << 20, 6, 64 << 20
 FOUND = (
     "n_words long, n_hit long, n_items long, items array<string>, longest_words long, "
     "longest_start long, longest_item string")
@@ -176,6 +179,20 @@ def find_in_shard(texts: list[bytes], blocks: Iterable[_Block]) -> list[tuple]:
         for first, own, named, top in zip(firsts.tolist(), split, items, best, strict=False)]
 
 
+_built: OrderedDict[tuple[int, int], _Block] = OrderedDict()
+
+
+def _block(number: int, sent: Broadcast, window: int) -> _Block:
+    """A block of the benchmark, built once in a worker while there is room for it."""
+    key = number, window
+    if key not in _built:
+        while len(_built) >= BUILT:
+            _built.popitem(last=False)
+        _built[key] = _Block(sent.value, window)
+    _built.move_to_end(key)
+    return _built[key]
+
+
 def _blocks(rows: Iterator, limit: int) -> Iterator[list[tuple[str, bytes]]]:
     held, size = [], 0
     for name, text in rows:
@@ -199,17 +216,21 @@ def find_benchmark(
     item from an occurrence; among equals the first place and the least item count. Null texts
     have no words and are hit by nothing, an item without words hits nothing, items of equal ids
     count once, a null item id stands as the empty string. Rows are neither dropped nor moved.
+
+    The benchmark is the query set: a worker holds all of its text, and what is built of it for some
+    blocks. With more blocks, documents are gathered, so that a block is built once for many.
     """
     context = documents.sparkSession.sparkContext
     named = benchmark.select(
         F.coalesce(F.col(quoted(item)).cast("string"), F.lit("")),
         F.coalesce(F.col(quoted(item_column)).cast("string").cast("binary"), F.lit(b"")))
     sent = [context.broadcast(b) for b in _blocks(named.toLocalIterator(), block_bytes)]
+    numbered = [(s._jbroadcast.id(), s) for s in sent]
 
     def rows(texts: list[bytes]) -> list[tuple]:
-        return find_in_shard(texts, (_Block(s.value, window) for s in sent))
+        return find_in_shard(texts, (_block(n, s, window) for n, s in numbered))
 
-    return over_texts(documents, column, FOUND, rows)
+    return over_texts(documents, column, FOUND, rows, TOGETHER if len(sent) > BUILT else 0)
 
 
 def contaminated(found: str = "n_hit", words: str = "n_words", share: int = 20):

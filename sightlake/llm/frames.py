@@ -7,7 +7,7 @@ names that the table does not have.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -47,28 +47,38 @@ def with_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 def over_texts(
     df: DataFrame, column: str, fields: str,
-    rows: Callable[[list[bytes]], list[tuple]],
+    rows: Callable[[list[bytes]], list[tuple]], together: int = 0,
 ) -> DataFrame:
     """Columns (in DDL), made by a function that takes the UTF-8 texts of one Arrow batch.
 
     A null text is the empty one. Spark bounds a batch by rows and by bytes, nothing is
-    shuffled, and a batch depends on nothing else, so a lost task runs again alike.
+    shuffled, and a row depends on nothing else, so a lost task runs again alike. For a function
+    that is costly to begin, batches may be put together up to so many bytes.
     """
     schema = T.StructType.fromDDL(fields)
 
-    @F.arrow_udf(schema)
-    def made(texts: pa.Array) -> pa.Array:
-        found = rows([t or b"" for t in texts.to_pylist()])
+    def packed(texts: list[pa.Array]) -> pa.Array:
+        found = rows([t or b"" for own in texts for t in own.to_pylist()])
         columns = list(zip(*found, strict=True)) if found else [()] * len(schema)
         return pa.StructArray.from_arrays(
             [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, schema, strict=True)],
             schema.names)
 
+    @F.arrow_udf(schema)
+    def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held: list[pa.Array] = []
+        for texts in batches:
+            held.append(texts)
+            if sum(t.nbytes for t in held) >= together:
+                yield packed(held)
+                held = []
+        if held:
+            yield packed(held)
+
     text = F.col(quoted(column)).cast("string").cast("binary")
     return with_fields(df, made(text), schema.names)
 
 
-
 def kept_rows(
     df: DataFrame, column: str, judged: Callable[[DataFrame], DataFrame], keep: Column,
 ) -> DataFrame:
