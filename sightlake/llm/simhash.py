@@ -6,14 +6,16 @@ variant, and whatever meets is verified. An odd distance joins fingerprints of u
 then those with an even number of bits reach the smaller half, the others the larger half.
 
 A variant travels as its leading bits: all variants of a fingerprint that share them are one
-row, and the task that gets the row makes the rest of the bits. Fingerprints that share a
-variant are linked to one of them near it, never pair by pair: every link implied that way is
+row, and the task that gets the row makes the rest of the bits. How many bits lead goes by the number
+of fingerprints, and where many share them all the same, some more are made before rows move. So a
+task gets so many rows of one value and no more. Fingerprints that share a variant are linked to one of them near it, never pair by pair: every link implied that way is
 within the distance, and a chain of them holds together whatever a pair of them would.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -26,9 +28,12 @@ from pyspark.sql import functions as F
 from sightlake.llm.components import components
 from sightlake.llm.frames import fresh, over_texts, quoted
 from sightlake.llm.words import blank_words
-from sightlake.session import stage
+from sightlake.session import broadcast_if_small, stage
 
-LEADING, STEP = 20, 8
+#: Bits that lead at least and at most, and bits made at once beyond them.
+LEADING, WIDEST, STEP = 20, 40, 8
+#: Rows of one value that a task is given; about so many a value has on average at most.
+CROWD, USUAL = 100_000, 10_000
 #: Variants held by a task at once.
 HELD = 1 << 20
 
@@ -156,9 +161,9 @@ def _forest(pairs: list[np.ndarray]) -> np.ndarray:
     return np.array(kept, np.uint64).reshape(-1, 2)
 
 
-def _met_in_task(distance: int):
+def _met_in_task(distance: int, free: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        meeting, free = _Meeting(distance), 64 - LEADING
+        meeting = _Meeting(distance)
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flushed(prints, leading):
@@ -168,7 +173,7 @@ def _met_in_task(distance: int):
 
         for batch in batches:
             held.append((batch.column(1).to_numpy().view(np.uint64),
-                         batch.column(0).to_numpy().astype(np.uint64)))
+                         batch.column(0).to_numpy().astype(np.int64).view(np.uint64)))
             if sum(len(p) for p, _ in held) >= HELD >> 5:
                 prints, leading = (np.concatenate(x) for x in zip(*held, strict=True))
                 # Rows come sorted, so all groups but the last one are whole.
@@ -182,23 +187,59 @@ def _met_in_task(distance: int):
     return run
 
 
-def near_links(prints: DataFrame, name: str, distance: int = 3) -> DataFrame:
+def _width(count: int, distance: int) -> int:
+    """Bits that lead, so that a value has few rows unless fingerprints lie close together."""
+    most = distance // 2 + (distance & 1)
+    bits = LEADING
+    while bits < WIDEST and count * sum(comb(bits, k) for k in range(most + 1)) >> bits > USUAL:
+        bits += 1
+    return bits
+
+
+def _varied(rows: DataFrame, bits: int, shift: int, distance: int) -> DataFrame:
+    """Rows (variant, print) with all variants in so many bits from a place on, within reach.
+
+    What is not made yet of a variant is the fingerprint's own.
+    """
+    mark = F.col("print")
+    left = F.lit(distance // 2) + F.lit(distance & 1) * (F.bit_count(mark) % 2) - F.bit_count(
+        F.col("variant").bitwiseXOR(mark))
+    masks = F.when(left == 0, F.array(F.lit(0).cast("long")))
+    for n in range(1, distance // 2 + (distance & 1) + 1):
+        shifted = (_masks(bits, n) << np.uint64(shift)).view(np.int64).tolist()
+        masks = masks.when(left == n, F.array(*[F.lit(m).cast("long") for m in shifted]))
+    return rows.select(
+        F.explode(F.transform(masks, lambda m: F.col("variant").bitwiseXOR(m))).alias("variant"), mark)
+
+
+def near_links(prints: DataFrame, name: str, distance: int = 3, crowd: int = CROWD) -> DataFrame:
     """Links (a, b) between distinct fingerprints that hold each component together.
 
     Every link is verified to be within the distance, and two fingerprints within it are always
-    joined by a chain of links. ``prints`` has each fingerprint once.
+    joined by a chain of links. ``prints`` is staged and has each fingerprint once.
     """
-    free = 64 - LEADING
-    mark = F.col(quoted(name))
-    reach = [distance // 2, distance // 2 + (distance & 1)]
-    arms = [F.array(*[F.lit(int(m)) for m in _masks(LEADING, r)]) for r in reach]
-    leading = F.shiftrightunsigned(mark, free).cast("int")
-    masks = F.when(F.bit_count(mark) % 2 == 0, arms[0]).otherwise(arms[1])
-    emitted = prints.select(
-        F.explode(F.transform(masks, lambda m: leading.bitwiseXOR(m))).alias("leading"),
-        mark.alias("print"))
-    dealt = emitted.repartition("leading").sortWithinPartitions("leading")
-    return dealt.mapInArrow(_met_in_task(distance), "a long, b long").distinct()
+    marks = prints.select(F.col(quoted(name)).alias("variant"), F.col(quoted(name)).alias("print"))
+    bits = _width(prints.count(), distance)
+    free = 64 - bits
+    rows = _varied(marks, bits, free, distance)
+    # A value has no more rows than what is near it: one look at the fingerprints may do.
+    near = sum(comb(bits, k) for k in range(distance // 2 + (distance & 1) + 1))
+    densest = marks.groupBy(F.shiftrightunsigned("variant", free)).count().agg(F.max("count")).first()[0]
+    crowded, parts = (densest or 0) * near > crowd, []
+    while True:
+        keyed = rows.select(F.shiftrightunsigned("variant", free).alias("key"), "variant", "print")
+        hot = None
+        if crowded and free >= STEP:
+            hot = stage(keyed.groupBy("key").count().where(F.col("count") > crowd).select("key"), "hot")
+            hot = None if hot.isEmpty() else broadcast_if_small(hot)[0]
+        dealt = keyed if hot is None else keyed.join(hot, "key", "left_anti")
+        dealt = dealt.select("key", "print").repartition("key").sortWithinPartitions("key")
+        parts.append(dealt.mapInArrow(_met_in_task(distance, free), "a long, b long"))
+        if hot is None:
+            return reduce(DataFrame.unionByName, parts).distinct()
+        free -= STEP
+        rows = stage(_varied(
+            keyed.join(hot, "key", "left_semi").select("variant", "print"), STEP, free, distance), "variants")
 
 
 def classes(prints: DataFrame, name: str, key: str, distance: int = 3) -> DataFrame:
