@@ -82,19 +82,110 @@ _NAMES = (
     ("cc0", "(?:cc0|cc zero)(?: 1 0)?", "cc"),
     ("cc0", "creative commons zero(?: 1 0)?", "commons"),
     ("cc-by-nc-nd", "cc by nc nd(?: [1-4] [05])?", "nd"),
-    ("cc-by-nc-nd", "creative commons attribution noncommercial noderivatives(?: [1-4] [05])?", "noderivatives"),
+    ("cc-by-nc-nd", "creative commons attribution non ?commercial no ?deriv(?:s|atives)(?: works)?(?: [1-4] [05])?", "deriv"),
     ("cc-by-nc-sa", "cc by nc sa(?: [1-4] [05])?", "sa"),
-    ("cc-by-nc-sa", "creative commons attribution noncommercial sharealike(?: [1-4] [05])?", "sharealike"),
+    ("cc-by-nc-sa", "creative commons attribution non ?commercial share ?alike(?: [1-4] [05])?", "alike"),
     ("cc-by-nc", "cc by nc(?: [1-4] [05])?", "nc"),
-    ("cc-by-nc", "creative commons attribution noncommercial(?: [1-4] [05])?", "noncommercial"),
+    ("cc-by-nc", "creative commons attribution non ?commercial(?: [1-4] [05])?", "commercial"),
     ("cc-by-nd", "cc by nd(?: [1-4] [05])?", "nd"),
-    ("cc-by-nd", "creative commons attribution noderivatives(?: [1-4] [05])?", "noderivatives"),
+    ("cc-by-nd", "creative commons attribution no ?deriv(?:s|atives)(?: works)?(?: [1-4] [05])?", "deriv"),
     ("cc-by-sa", "cc by sa(?: [1-4] [05])?", "sa"),
-    ("cc-by-sa", "creative commons attribution sharealike(?: [1-4] [05])?", "sharealike"),
+    ("cc-by-sa", "creative commons attribution share ?alike(?: [1-4] [05])?", "alike"),
     ("cc-by", "cc by(?: [1-4] [05])?", "by"),
     ("cc-by", "creative commons attribution(?: [1-4] [05])?", "commons"),
     ("proprietary", "(?:proprietary|commercial) license", "license"),
 )
+#: What people write for short, by label.
+_SHORT = (
+    ("gpl-1.0", "(?:gnu )?(?:gplv1|gpl (?:v1|version 1|1 0))(?: licen[cs]e)?", "gpl"),
+    ("gpl-2.0", "(?:gnu )?(?:gplv2|gpl (?:v2|version 2|2))(?: 0)?(?: only| or later)?(?: licen[cs]e)?", "gpl"),
+    ("gpl-3.0", "(?:gnu )?(?:gplv3|gpl (?:v3|version 3|3))(?: 0)?(?: only| or later)?(?: licen[cs]e)?", "gpl"),
+    ("lgpl-2.1", "(?:gnu )?(?:lgplv2|lgpl (?:v2|version 2|2))(?: 1)?(?: only| or later)?(?: licen[cs]e)?", "lgpl"),
+    ("lgpl-3.0", "(?:gnu )?(?:lgplv3|lgpl (?:v3|version 3|3))(?: 0)?(?: only| or later)?(?: licen[cs]e)?", "lgpl"),
+    ("agpl-3.0", "(?:gnu )?(?:agplv3|agpl (?:v3|version 3|3))(?: 0)?(?: only| or later)?(?: licen[cs]e)?", "agpl"),
+    ("gpl", "gpl licen[cs]e", "gpl"), ("gpl", "general public licen[cs]e", "general"),
+    ("lgpl", "lgpl licen[cs]e", "lgpl"), ("agpl", "agpl licen[cs]e", "agpl"),
+    ("apache-2.0", "apache (?:v2|version 2|2)(?: 0)?(?: licen[cs]e)?", "apache"),
+    ("apache-2.0", "apachev2", "apachev2"), ("apache-2.0", "apache licen[cs]e (?:v2|v 2|version 2)(?: 0)?", "apache"),
+    ("apache", "apache licen[cs]e", "apache"),
+    ("mit", "(?:mit|expat|x11) licen[cs]e", "licen"), ("mit", "mit licensed", "licensed"),
+    ("bsd-2", "bsd 2 clause(?: licen[cs]e)?", "bsd"), ("bsd-2", "simplified bsd", "bsd"),
+    ("bsd-3", "bsd 3 clause(?: licen[cs]e)?", "bsd"), ("bsd-3", "(?:new|modified|revised) bsd", "bsd"),
+    ("bsd-4", "bsd 4 clause(?: licen[cs]e)?", "bsd"), ("bsd", "bsd licen[cs]e", "bsd"), ("bsd", "bsd licensed", "bsd"),
+    ("isc", "isc licen[cs]e", "isc"), ("zlib", "zlib licen[cs]e", "zlib"),
+    ("mpl-1.1", "(?:mpl|mplv1) (?:v1 |version 1 |1 )?1", "mpl"),
+    ("mpl-2.0", "mpl (?:v2|version 2|2)(?: 0)?", "mpl"), ("mpl-2.0", "mplv2(?: 0)?", "mplv2"),
+    ("cddl", "cddl (?:v1|version 1|1)(?: [01])?", "cddl"), ("eupl", "eupl (?:v1|version 1|1)(?: [0-2])?", "eupl"),
+    ("gfdl", "(?:gnu )?(?:gfdl|fdl) (?:v1|version 1|1)(?: [123])?", "fdl"),
+    ("boost-1.0", "boost (?:software )?licen[cs]e", "boost"), ("ofl-1.1", "open font licen[cs]e", "font"),
+    ("sspl-1.0", "server side public licen[cs]e(?: version 1| v1)?", "server"),
+    ("busl-1.1", "business source licen[cs]e(?: 1 1)?", "business"),
+    ("elastic-2.0", "elastic licen[cs]e(?: 2 0| v2)?", "elastic"),
+    ("ms-pl", "microsoft public licen[cs]e", "microsoft"), ("ms-rl", "microsoft reciprocal licen[cs]e", "microsoft"),
+    ("mulan-2.0", "mulan (?:psl|permissive software licen[cs]e)(?: v2)?", "mulan"),
+    ("openssl", "openssl licen[cs]e", "openssl"), ("php", "php licen[cs]e(?: 3 01)?", "php"),
+    ("ruby", "ruby licen[cs]e", "ruby"), ("beerware", "beerware licen[cs]e", "beerware"),
+    ("afl-3.0", "academic free licen[cs]e(?: 3 0| v 3 0)?", "academic"),
+    ("osl-3.0", "open software licen[cs]e(?: 3 0| v 3 0)?", "open"),
+    ("cpal-1.0", "common public attribution licen[cs]e", "attribution"),
+    ("cecill", "cecill (?:b |c )?licen[cs]e", "cecill"), ("vim", "vim licen[cs]e", "vim"),
+    ("ncsa", "(?:university of illinois )?ncsa open source licen[cs]e", "ncsa"),
+    ("cc-by-nc-nd", "attribution non ?commercial no ?deriv(?:s|atives)(?: works)?(?: [1-4] [05])?", "deriv"),
+    ("cc-by-nc-sa", "attribution non ?commercial share ?alike(?: [1-4] [05])?", "alike"),
+    ("cc-by-nc", "attribution non ?commercial(?: [1-4] [05])?", "commercial"),
+    ("cc-by-nd", "attribution no ?deriv(?:s|atives)(?: works)?(?: [1-4] [05])?", "deriv"),
+    ("cc-by-sa", "attribution share ?alike(?: [1-4] [05])?", "alike"),
+    ("cc-by", "attribution [1-4] [05] international", "attribution"),
+)
+#: Sentences of the licenses' own texts and of the notices they ask for, by label.
+_SENTENCES = (
+    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", "apache"),
+    ("apache-2.0", "you may obtain a copy of the license at https? www apache org licenses license 2 0", "apache"),
+    ("apache-1.1", "this product includes software developed by the apache software foundation", "apache"),
+    ("gpl-2.0", "gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version", "foundation"),
+    ("gpl-3.0", "gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", "foundation"),
+    ("gpl-2.0", "gnu general public license version 2 june 1991", "june"),
+    ("gpl-3.0", "gnu general public license version 3 29 june 2007", "june"),
+    ("lgpl-2.1", "gnu lesser general public license version 2 1 february 1999", "february"),
+    ("lgpl-3.0", "gnu lesser general public license version 3 29 june 2007", "lesser"),
+    ("agpl-3.0", "gnu affero general public license version 3 19 november 2007", "affero"),
+    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license", "redistribute"),
+    ("agpl", "you can redistribute it and or modify it under the terms of the gnu affero general public license", "affero"),
+    ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license", "redistribute"),
+    ("gpl", "you should have received a copy of the gnu general public license along with this", "received"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", "documentation"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "portions"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense", "sublicense"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability", "merchantability"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "redistributions"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer", "redistributions"),
+    ("bsd-3", "nor the names of its contributors may be used to endorse or promote products derived from this software", "endorse"),
+    ("bsd-4", "all advertising materials mentioning features or use of this software must display the following acknowledgement", "advertising"),
+    ("bsd", "this software is provided by the (?:copyright holders|authors|regents) and contributors as is and any express or implied warranties", "contributors"),
+    ("isc", "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted", "hereby"),
+    ("isc", "the software is provided as is and the author disclaims all warranties with regard to this software", "disclaims"),
+    ("hpnd", "permission to use copy modify and distribute this software and its documentation for any purpose", "documentation"),
+    ("zlib", "in no event will the authors be held liable for any damages arising from the use of this software", "damages"),
+    ("zlib", "the origin of this software must not be misrepresented", "misrepresented"),
+    ("boost-1.0", "free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", "organization"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla"),
+    ("mpl-1.1", "the contents of this file are subject to the mozilla public license version 1 1", "mozilla"),
+    ("epl-1.0", "accompanying materials are made available under the terms of the eclipse public license v1 0", "eclipse"),
+    ("epl-2.0", "accompanying materials are made available under the terms of the eclipse public license 2 0", "eclipse"),
+    ("cddl", "the contents of this file are subject to the terms of the common development and distribution license", "development"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
+    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this license document", "verbatim"),
+    ("cc0", "waived all copyright and related or neighboring rights", "waived"),
+    ("ofl-1.1", "this font software is licensed under the sil open font license version 1 1", "font"),
+    ("openssl", "this product includes software developed by the openssl project", "openssl"),
+    ("psf-2.0", "psf is making python available to licensee on an as is basis", "psf"),
+    ("artistic", "the intent of this document is to state the conditions under which a package may be copied", "intent"),
+    ("beerware", "if we meet some day and you think this stuff is worth it you can buy me a beer", "beer"),
+    ("proprietary", "unauthorized copying of this file via any medium is strictly prohibited", "unauthorized"),
+    ("proprietary", "proprietary and confidential", "confidential"),
+    ("proprietary", "may not be reproduced in any form without (?:prior )?written permission", "reproduced"),
+    ("non-commercial", "for non ?commercial use only", "commercial"),
+)
 #: Label, and the words of its SPDX ids.
 _SPDX = (
     ("gpl-1.0", "gpl 1 0"), ("gpl-2.0", "gpl 2 0"), ("gpl-3.0", "gpl 3 0"),
@@ -114,7 +205,7 @@ _SPDX = (
 #: Priority, the words around a name, and how far they are believed.
 _FORMS = (
     (0, "spdx license identifier {}(?: or later| only)?", 1.0),
-    (1, "(?:licensed|released|distributed|published|available) under(?: the)?(?: terms of the)? {}(?: or any later version)?", 0.95),
+    (1, "(?:licensed|released|distributed|published|available) under(?: the| an?)?(?: terms of the)? {}(?: or any later version)?", 0.95),
     (1, "(?:subject to|governed by|covered by)(?: the)?(?: terms of the)? {}", 0.9),
     (2, "(?:see|read|accept)(?: the)?(?: full)? {}(?: for details)?", 0.6),
     (3, "{}", 0.5),
@@ -135,11 +226,15 @@ RULES = tuple(
     Rule(label, priority, form.format(f"(?:{name})"), keyword, confidence)
     for priority, form, confidence in _FORMS for label, name, keyword in _NAMES) + tuple(
     Rule(label, 0, f"spdx license identifier {name}(?: or later| only)?", "spdx", 1.0)
-    for label, name in _SPDX) + _STATEMENTS
+    for label, name in _SPDX) + tuple(
+    Rule(label, 1, sentence, keyword, 1.0) for label, sentence, keyword in _SENTENCES) + tuple(
+    Rule(label, 3, name, keyword, 0.5) for label, name, keyword in _SHORT) + _STATEMENTS
 #: A text with none of these holds no base phrase and nothing for a rule to find.
-KEYWORDS = ("license", "licence", "unlicense", "spdx", "rights reserved", "copyright",
-            "public domain", "warranty", "hereby", "redistribution", "creative commons", "cc0",
-            "cc zero", "gnu", "0bsd")
+KEYWORDS = ("licen", "spdx", "rights reserved", "copyright", "public domain", "warrant", "hereby",
+            "redistribut", "commons", "cc0", "zero", "gnu", "bsd", "gpl", "fdl", "apache", "mpl", "cddl",
+            "eupl", "alike", "deriv", "commercial", "attribution", "contributors",
+            "this software", "mulan", "openssl", "stuff", "package",
+            "unauthorized", "confidential", "reproduced")
 
 
 def _blanks(c: Column) -> Column:
@@ -237,7 +332,7 @@ def scan(df: DataFrame, column: str = "text", rules: Sequence[Rule] = RULES,
     words, lowered = fresh(df, "words"), fresh(df, "lowered")
     small = df.withColumn(lowered, F.lower(text))
     gate = F.col(lowered).rlike(rf"cc{_GAP}by")
-    for keyword in {k.split(" ")[-1] for k in keywords}:
+    for keyword in dict.fromkeys(k.split(" ")[-1] for k in keywords):
         gate = gate | F.contains(F.col(lowered), F.lit(keyword))
     marked = small.select(
         *[F.col(quoted(c)) for c in df.columns],
