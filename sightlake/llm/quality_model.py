@@ -32,6 +32,8 @@ LABELLED_ROWS, TRAINING_ROWS = 20_000, 8_000
 BUCKETS = 1 << 18
 #: Bytes of a word that count as its beginning.
 BEGINNINGS = (4, 6, 8)
+#: How much larger a word's share of toxic documents must be than that of others.
+LIKELIER = 30
 #: A feature of the scorer occurs in so many rows of the sample.
 LEAST_ROWS = 20
 #: Insults that need no labels.
@@ -121,10 +123,13 @@ def _sample(placed: DataFrame, rows: int) -> DataFrame:
 
 def learn_lists(df: DataFrame, labels: DataFrame, column: str = "text", key: str = "doc_id",
                 rows: int = LABELLED_ROWS) -> Lists:
-    """Words and beginnings of words that stand in toxic documents only.
+    """Words and beginnings of words that are far likelier in toxic documents.
 
     Of a bounded sample of labelled rows; a word counts if so many toxic documents hold it that
-    chance among all the sample's words would hardly bring it about.
+    chance among all the sample's words would hardly bring it about, and their share is a multiple
+    of that of other documents: what the scorer makes of a word in both is its own affair. Null
+    labels and keys say nothing, of several labels of a key the greatest counts, and each of
+    several rows with a key has it. Without labels of both kinds the lists are empty.
     """
     labelled = labels.where("toxic IS NOT NULL").groupBy(F.col(quoted(key)).alias("key")).agg(
         F.max("toxic").alias("toxic"))
@@ -150,7 +155,8 @@ def learn_lists(df: DataFrame, labels: DataFrame, column: str = "text", key: str
     names = max(1, counted.count())
     least = max(4.0, (math.log(names) + 5) / math.log(total["n"] / total["toxic"]))
     kept = counted.where(
-        (F.col("toxic") >= least) & (50 * F.col("clean") <= F.col("toxic"))).select("name")
+        (F.col("toxic") >= least) & (F.col("toxic") * (total["n"] - total["toxic"])
+                                     >= LIKELIER * (F.col("clean") + 0.5) * total["toxic"])).select("name")
     found = [bytes(r["name"]) for r in kept.toLocalIterator()]
     drop_staged(df.sparkSession, counted)
     return Lists(frozenset(n[1:] for n in found if n[:1] == b"="),
@@ -274,7 +280,13 @@ def score(df: DataFrame, model: Model, column: str = "text") -> DataFrame:
 
 def classify(df: DataFrame, labels: DataFrame, column: str = "text", key: str = "doc_id",
              labelled_rows: int = LABELLED_ROWS, training_rows: int = TRAINING_ROWS) -> DataFrame:
-    """df with ``quality``, ``toxicity`` and ``kept``: good and not toxic, each by one half."""
+    """df with ``quality``, ``toxicity`` and ``kept``: good and not toxic, each by one half.
+
+    Every row is scored, null and empty texts as short ones, repeated rows alike; an empty table
+    gives an empty one. Labels are read by ``learn_lists`` alone, so rows without one, labels of
+    other keys, double and null labels do no harm; without any, the fixed list is all there is.
+    Columns of these names are replaced.
+    """
     lists = learn_lists(df, labels, column, key, labelled_rows)
     scored = score(df, train(df, lists, column, key, training_rows), column)
     kept = (F.col("quality") >= 0.5) & (F.col("toxicity") < 0.5)
