@@ -27,7 +27,7 @@ from sightlake.session import stage
 
 PARTS, ENTRIES, ROUNDS, SCALE = 16, 64, 2, 256
 #: Last bits that a cell leaves out; cells that a task remembers for each part.
-CELL_BITS, CELLS = 4, 100_000
+CELL_BITS, CELLS = 5, 100_000
 #: Measured bytes of a table of labels that may be broadcast.
 SMALL = 12 << 20
 _CHUNK = 2048
