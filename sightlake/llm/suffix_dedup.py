@@ -32,7 +32,7 @@ from sightlake.session import broadcast_if_small, stage
 WINDOW, GRAM = 400, 128
 SHALLOW = 192
 #: Bytes of documents hashed at once; runs of a mark that are sorted together; offsets in a slot.
-BLOCK, CROWD, SLOT = 1 << 20, 1_000, 16
+BLOCK, CROWD, SLOT = 1 << 20, 300, 16
 #: Measured bytes of a table of marks that may be broadcast; hashed relations take several times that.
 SENT = 12 << 20
 #: Enough for a place in a block; the same in all blocks, so that equal windows choose alike.
