@@ -1,13 +1,17 @@
 import csv
 import json
 from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from sightlake import schemas
+from conftest import SF_DIR
+from sightlake import schemas, session
 from sightlake.operators import publish
+from sightlake.operators.ordering import totals_before
 from sightlake.plans import jobs
 from sightlake.sources import readers, writers
+from sightlake.sources.counts import read_counts
 
 TYPES = ", ".join(
     f"{c} {schemas.ENHANCED_TYPES.get(c, 'string')}" for c in schemas.ENHANCED_COLUMNS)
@@ -137,3 +141,37 @@ def test_csv_files_written_elsewhere(spark, tmp_path):
         f.write("network,geoname_id,latitude,longitude\r\na,1,2.5,-3.5\r\nb,,,\r\n")
     blocks = readers.read_blocks(spark, str(tmp_path / "blocks.csv")).collect()
     assert [tuple(r) for r in blocks] == [(1, 2.5, -3.5), (None, None, None)]
+
+
+def test_running_totals_over_ranges(spark):
+    rows = spark.range(2000, numPartitions=7).selectExpr("1999 - id AS at", "id % 5 AS amount", "'x' AS start_")
+    found = totals_before(rows, [F.col("at")], F.col("amount"))
+    total = 0
+    for row in found.orderBy("at").collect():
+        assert row["start"] == total
+        total += row["amount"]
+    assert totals_before(rows.limit(0), [F.col("at")], F.col("amount")).count() == 0
+
+
+def test_ids_need_no_single_task(spark):
+    numbered = publish.number_rows(spark.read.parquet(f"{SF_DIR}/customer.parquet"))
+    assert "SinglePartition" not in numbered._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["_id"] for r in numbered.select("_id").collect()) == list(range(numbered.count()))
+
+
+def test_document_job_leaves_nothing_staged(spark, tmp_path):
+    folder = lambda n: str(tmp_path / n)
+    spark.createDataFrame(
+        [("a", "1.5", "2"), ("b", "91", "2"), ("c", None, None)],
+        "report_link string, city_latitude string, city_longitude string").write.parquet(folder("reports"))
+    held = Path(session.staging_path(spark, "x").removeprefix("file:")).parent
+    before = set(held.iterdir()) if held.is_dir() else set()
+    result = jobs.index_documents(
+        spark, folder("reports"), "i", "t", folder("good"), folder("bad"), folder("bulk"), counts_path=folder("counts"))
+    assert result == {"indexed": 2, "refused": 1}
+    assert (set(held.iterdir()) if held.is_dir() else set()) == before
+    assert {(r["job"], r["name"], r["num"]) for r in read_counts(spark, folder("counts")).collect()} == {
+        ("index", "indexed", 2), ("index", "refused", 1)}
+    assert read_counts(spark, folder("none")).count() == 0
+    lines = [json.loads(r["value"]) for r in spark.read.text(folder("bulk")).collect()]
+    assert len(lines) == 4 and spark.read.text(folder("bad")).count() == 1

@@ -72,3 +72,28 @@ def test_plans_prune_and_push_down(spark):
     assert "GreaterThanOrEqual(ts," in plan_of(qa.daily_counts(events, "ts", 10))
     assert "ReadSchema: struct<event_type:string>" in plan_of(qa.category_counts(events, "event_type"))
     assert "TakeOrderedAndProject" in plan_of(qa.sample_latest(events, "ts", "event_id"))
+
+
+def test_report_scans_little(spark, tmp_path):
+    spark.createDataFrame(ROWS, SCHEMA).withColumn("text", F.lit("long")).write.parquet(str(tmp_path / "r"))
+    reports = spark.read.parquet(str(tmp_path / "r"))
+    counts = plan_of(qa.shared_counts(reports, 100, AS_OF))
+    assert counts.count("FileScan parquet") == 1 and "text" not in counts
+    results = qa.qa_report(reports, as_of=AS_OF)
+    read = [name for name, df in results.items() if str(tmp_path) in plan_of(df)]
+    assert read == ["sample", "geos"]
+    assert "text" not in plan_of(results["geos"])
+    empty = qa.qa_report(reports.limit(0), as_of=AS_OF)
+    assert empty["num_records"].first().num_records == 0 and empty["sample"].count() == 0
+
+
+def test_sample_of_many_ties(spark):
+    rows = spark.range(500).selectExpr(
+        "cast(NULL AS string) AS report_link", "timestamp_ntz'2024-01-01 00:00:00.123456' AS posted", "id")
+    rows = rows.unionByName(spark.range(3).selectExpr(
+        "'b' AS report_link", "timestamp_ntz'2024-01-02' AS posted", "id"))
+    got = qa.sample_latest(rows, n=10).collect()
+    assert len(got) == 10 and [r.report_link for r in got[:3]] == ["b"] * 3
+    rest = sorted(rows.where("report_link IS NULL").withColumn(
+        "h", F.xxhash64("report_link", "posted", "id")).collect(), key=lambda r: r.h)[:7]
+    assert [r.id for r in got[3:]] == [r.id for r in rest]

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from sightlake.functions.geodesy import buffer_ring, ring_to_geojson
+from sightlake.functions.geodesy import buffer_ring, ring_to_geojson, with_distance
 from sightlake.operators import extract, sites
 from sightlake.plans import jobs
 from sightlake.sources.readers import parse_placemark, read_placemarks
@@ -134,3 +134,24 @@ def test_placemark_in_a_column(spark):
     parsed = sites.parse_placemarks(df.select(parse_placemark(F.col("xml")).alias("p")).select("p.*"))
     assert extract.usable(parsed).first().asDict() == {
         "name": "Alpha", "branch": "Navy", "link": "http://l/1", "latitude": 30.25, "longitude": -97.5}
+
+
+def test_distances_on_the_ellipsoid(spark):
+    # A degree of the meridian at the equator, the equator itself, the quarter meridian, none, none known.
+    cases = [(0.0, 0.0, 0.0, 1.0, 110574.389), (0.0, 0.0, 1.0, 0.0, 111319.491), (10.0, 0.0, 10.0, 90.0, 10001965.729),
+             (179.5, 0.0, -179.5, 0.0, 111319.491), (5.0, 45.0, 5.0, 45.0, 0.0), (5.0, None, 5.0, 45.0, None)]
+    df = spark.createDataFrame([c[:4] for c in cases], "a double, b double, c double, metres double")
+    rows = with_distance(df, "a", "b", "c", "metres", "far").collect()
+    for row, case in zip(rows, cases, strict=True):
+        assert row["far"] is None if case[4] is None else abs(row["far"] - case[4]) < 0.001
+
+
+def test_buffers_from_pole_to_pole_lie_a_hundred_kilometres_out(spark):
+    points = spark.createDataFrame(
+        [(float(lon), lat) for lon in (-180, -0.5, 179.9) for lat in (-90.0, -89.99, -60.0, 0.0, 45.0, 89.5, 90.0)],
+        "lon double, lat double")
+    vertices = points.select("*", F.explode(buffer_ring("lon", "lat")).alias("v")).select(
+        "lon", "lat", F.col("v.lon").alias("to_lon"), F.col("v.lat").alias("to_lat"))
+    apart = with_distance(vertices, "lon", "lat", "to_lon", "to_lat")
+    least, most, n = apart.agg(F.min("metres"), F.max("metres"), F.count("*")).first()
+    assert n == 21 * 65 and 99_995 < least and most < 100_000.1
