@@ -76,10 +76,12 @@ class Lists(NamedTuple):
 
 
 class Model(NamedTuple):
-    """Weights by bucket for quality and toxicity, a constant each, and what votes are worth."""
+    """Weights by bucket for quality and toxicity, a constant each, and what votes are worth:
+    labellers' accuracies, and by votes on toxicity how likely they make it."""
 
     weights: np.ndarray
     constants: np.ndarray
+    posterior: dict[int, float]
     accuracies: dict[str, float]
     lists: Lists
 
@@ -254,25 +256,27 @@ def train(df: DataFrame, lists: Lists, column: str = "text", key: str = "doc_id"
         _fit(buckets, lengths, np.array([meaning[v] for v in sample[name].to_pylist()]))
         for name, meaning in zip(("bad", "toxic"), meanings, strict=True)]
     return Model(np.stack([w for w, _ in fitted], axis=1).astype(np.float32),
-                 np.array([c for _, c in fitted]), accuracies, lists)
+                 np.array([c for _, c in fitted]), meanings[1], accuracies, lists)
 
 
 def score(df: DataFrame, model: Model, column: str = "text") -> DataFrame:
     """df with ``quality`` and ``toxicity`` from 0 to 1, over the whole text of every row.
 
-    A null or empty text has the form of a short one and no words. Columns of the same names are
+    A text is as toxic as the scorer or its votes make it: a listed word counts however little else
+    there is. A null or empty text has the form of a short one and no words. Columns of the same names are
     replaced, rows stay where they are. The weights have a fixed size and are broadcast.
     """
     sent = df.sparkSession.sparkContext.broadcast(
-        (model.weights, model.constants, model.lists))
+        (model.weights, model.constants, model.posterior, model.lists))
 
     def rows(texts: list[bytes]) -> list[tuple]:
-        weights, constants, lists = sent.value
+        weights, constants, posterior, lists = sent.value
         found = []
         for text in texts:
-            total = weights[_features(text, lists)[2]].sum(axis=0) + constants
+            _, voted, features = _features(text, lists)
+            total = weights[features].sum(axis=0) + constants
             bad, toxic = (1 / (1 + np.exp(-np.clip(total, -30, 30)))).tolist()
-            found.append((1 - bad, toxic))
+            found.append((1 - bad, max(toxic, posterior.get(voted, 0.0))))
         return found
 
     return over_texts(df, column, "quality double, toxicity double", rows)
