@@ -121,21 +121,21 @@ def draw(df: DataFrame, may: Column, percent: int, key: str = "doc_id", score: s
     their range of the order: leave long ones out. Equal keys and scores part between ranges, and
     what is added up over all ranges is one row for each.
     """
-    can, place, at = (fresh(df, n) for n in ("can", "place", "at"))
+    can, place, at, of, start = (fresh(df, n, rank) for n in ("can", "place", "at", "part", "start"))
     held = stage(df.withColumns({
         can: F.coalesce(may, F.lit(False)), place: F.monotonically_increasing_id()}), "scored")
     order = [F.desc(can), F.desc(quoted(score)), F.asc_nulls_last(quoted(key)), F.asc(place)]
     ranged = held.repartitionByRange(*order).sortWithinPartitions(*order)
     ranged = stage(ranged.withColumn(at, F.monotonically_increasing_id()), "ranged")
     part = F.shiftright(at, 33)
-    parts = ranged.groupBy(part.alias("part")).agg(
+    parts = ranged.groupBy(part.alias(of)).agg(
         F.count("*").alias("rows"), F.count_if(F.col(can)).alias("able"))
     drawn = (parts.agg(F.sum("able").alias("able")).first()["able"] or 0) * percent // 100
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
-    number = F.col("start") + F.col(at).bitwiseAND((1 << 33) - 1) + 1
+    before = Window.orderBy(of).rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(of, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias(start))
+    number = F.col(start) + F.col(at).bitwiseAND((1 << 33) - 1) + 1
     # One row for each range, of which there are no more than shuffle partitions.
-    return ranged.join(F.broadcast(starts), part == F.col("part")).select(
+    return ranged.join(F.broadcast(starts), part == F.col(of)).select(
         *[F.col(quoted(c)) for c in df.columns if c.lower() != rank.lower()],
         F.when(F.col(can) & (number <= drawn), number).alias(rank))
 

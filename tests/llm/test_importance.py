@@ -68,10 +68,11 @@ def test_empty_tables(spark):
 
 def test_ranks_of_equal_rows_go_over_several_ranges(spark):
     same = spark.range(5000, numPartitions=5).select(
-        F.lit(None).cast("long").alias("doc_id"), F.lit(3).alias("score"), F.lit("x").alias("RANK"))
+        F.lit(None).cast("long").alias("doc_id"), F.lit(3).alias("score"), F.lit("x").alias("RANK"),
+        *[F.lit("own").alias(n) for n in ("part", "start", "can", "at", "Place", "rows", "able")])
     rows = importance.draw(same, F.lit(True), 40).collect()
     assert sorted(r["rank"] for r in rows if r["rank"] is not None) == list(range(1, 2001))
-    assert len(rows) == 5000
+    assert len(rows) == 5000 and all(r["part"] == r["start"] == r["rows"] == "own" for r in rows)
 
 
 def test_long_words_and_separators_only():
