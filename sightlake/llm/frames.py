@@ -64,8 +64,10 @@ def over_texts(
             [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, schema, strict=True)],
             schema.names)
 
-    @F.arrow_udf(schema)
-    def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def alone(texts: pa.Array) -> pa.Array:
+        return packed([texts])
+
+    def gathered(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         held: list[pa.Array] = []
         for texts in batches:
             held.append(texts)
@@ -75,6 +77,7 @@ def over_texts(
         if held:
             yield packed(held)
 
+    made = F.arrow_udf(gathered if together else alone, schema)
     text = F.col(quoted(column)).cast("string").cast("binary")
     return with_fields(df, made(text), schema.names)
 
