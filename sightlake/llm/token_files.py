@@ -22,6 +22,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import regex
 from pyspark import TaskContext
@@ -35,8 +36,10 @@ from sightlake.session import full_path, stage
 LENGTH = 2048
 BATCH_SEQUENCES = 64
 CACHED_WORDS, CACHED_PIECES = 400_000, 200_000
+#: Words that are looked through together for what only the library should take apart.
+CHECKED = 256
 #: Characters of texts that are encoded together.
-TOGETHER = 4 << 20
+TOGETHER = 8 << 20
 #: Fixed value: how the word tokenizer takes lower-case text apart.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: What only the library itself should take apart: letters and marks beyond Latin ones, special
@@ -65,21 +68,16 @@ class _Memo:
         found = list(map(self.young.get, keys))
         if None not in found:
             return found
-        places = [i for i, value in enumerate(found) if value is None]
-        missing = dict.fromkeys([keys[i] for i in places])
-        new = []
-        for key in missing:
-            held = missing[key] = self.old.get(key)
-            if held is None:
-                new.append(key)
-        if new:
-            missing.update(zip(new, find(new), strict=True))
+        missing = list(dict.fromkeys([k for k, value in zip(keys, found, strict=True) if value is None]))
+        held = list(map(self.old.get, missing))
+        new = [k for k, value in zip(missing, held, strict=True) if value is None]
+        made = iter(find(new) if new else [])
+        added = {k: next(made) if value is None else value
+                 for k, value in zip(missing, held, strict=True)}
         if len(self.young) >= self.size:
             self.old, self.young = self.young, {}
-        self.young.update(missing)
-        for i in places:
-            found[i] = missing[keys[i]]
-        return found
+        self.young.update(added)
+        return [added[k] if value is None else value for k, value in zip(keys, found, strict=True)]
 
 
 class WordEncoder:
@@ -102,14 +100,14 @@ class WordEncoder:
         self.final = np.zeros(self.vocabulary, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.final[i] = token.endswith(suffix)
-        self.letters = _byte_letters()
+        self.letters = {**_byte_letters(), 0x20: " "}  # what stands between pieces
         self.of_word, self.of_piece = _Memo(CACHED_WORDS), _Memo(CACHED_PIECES)
 
     def _packed(self, ids) -> bytes:
         return np.asarray(ids, self.dtype).tobytes()
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        joined = " ".join(p.encode().decode("latin-1").translate(self.letters) for p in pieces)
+        joined = " ".join(pieces).encode().decode("latin-1").translate(self.letters)
         ids = np.array(self.pieces.encode(joined, add_special_tokens=False).ids, np.int64)
         data, width = self._packed(ids), self.dtype.itemsize
         cuts = [0, *((np.flatnonzero(self.final[ids]) + 1) * width).tolist()]
@@ -119,16 +117,19 @@ class WordEncoder:
         # Numbers of pieces; none for what only the library takes apart.
         pieces: list[str] = []
         sizes: list[int | None] = []
-        for word in words:
-            if word.isalpha() and (word.isascii() or not _OTHER.search(word)):
-                pieces.append(word)
-                sizes.append(1)
-            elif _plain(word):
-                own = _PIECE.findall(word)
-                pieces += own
-                sizes.append(len(own))
-            else:
-                sizes.append(None)
+        for at in range(0, len(words), CHECKED):
+            part = words[at:at + CHECKED]
+            all_plain = _plain(" ".join(part))
+            for word in part:
+                if not (all_plain or _plain(word)):
+                    sizes.append(None)
+                elif word.isalpha():
+                    pieces.append(word)
+                    sizes.append(1)
+                else:
+                    own = _PIECE.findall(word)
+                    pieces += own
+                    sizes.append(len(own))
         found = iter(self.of_piece.found(pieces, self._pieces))
         return [
             next(found) if n == 1 else b"".join(islice(found, n)) if n is not None
@@ -136,17 +137,19 @@ class WordEncoder:
             for w, n in zip(words, sizes, strict=True)]
 
     def packed(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts, little-endian; what is new in them is looked up together."""
-        words: list[str] = []
-        ends = []
-        for text in texts:
-            if _plain(text):
-                words += text.lower().split()
-            else:
-                words += [w.lower() if _plain(w) else w for w in _BLANKS.split(text)]
-            ends.append(len(words))
-        found = self.of_word.found(words, self._words)
-        return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
+        """Ids of whole texts, little-endian; a word of all of them is looked up once."""
+        lines = [
+            text.lower() if _plain(text) else
+            " ".join([w.lower() if _plain(w) else w for w in _BLANKS.split(text)]) for text in texts]
+        split = pc.ascii_split_whitespace(pa.array(lines, pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        found = pa.array(
+            self.of_word.found(words.dictionary.to_pylist(), self._words), pa.large_binary())
+        ids = found.take(words.indices)
+        _, ends, data = ids.buffers()
+        cuts = np.frombuffer(ends, np.int64, len(ids) + 1)[split.offsets.to_numpy()].tolist()
+        data = memoryview(data) if data is not None else b""
+        return [bytes(data[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _plain(text: str) -> bool:

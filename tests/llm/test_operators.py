@@ -281,6 +281,17 @@ def test_word_encoder_on_random_texts(monkeypatch):
                     assert np.frombuffer(packed, coder.dtype).tolist() == ids
 
 
+def test_a_word_of_many_texts_is_looked_up_once(monkeypatch):
+    coder, asked = token_files.WordEncoder(WORDS), []
+    plain = token_files._Memo.found
+    monkeypatch.setattr(token_files._Memo, "found", lambda self, keys, find: (
+        asked.extend(keys if self is coder.of_word else []), plain(self, keys, find))[1])
+    texts = ["The thing, the Thing.\n", "", "a thing,\xa0the 漢字 thing"] * 50
+    want = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(p, coder.dtype).tolist() for p in coder.packed(texts)] == want
+    assert len(asked) == len(set(asked)) < 10
+
+
 def test_decontamination(spark):
     draw = random.Random(4)
     word = lambda: draw.choice("abcdefgh")
