@@ -1,4 +1,5 @@
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -178,6 +179,34 @@ def test_one_copy_of_a_page_is_chosen_and_no_row_lost(spark, tmp_path):
             ("d", "http://www.site.test/r/1")] * 2
 
 
+def test_plain_pages_give_the_parsers_tree():
+    draw = random.Random(5)
+    plain = ["<td>", "</td>", "<tr>", "</TR>", "<table>", "</table>", "<a href=\"/x?y=1\">", "<A HREF=\"\">",
+             "</a>", "<p>", "</p>", "<br/>", "<b/>", "<br>", "</br>", "<div class=\"a b\">", "</div>", "</script>",
+             "<img src=\"x\"/>", "text ", "&amp;", "&lt", "&#65;", "& ", "\n", "\x00é", ">", "\"", "<li>", "<select>"]
+    odd = ["<script>", "<title>", "<a b=c>", "<a b='c'>", "<i x=\"&amp;\">", "< ", "<", "<!-- c -->", "<![x]>",
+           "</ a>", "</a b>", "<td a=\"1\" b=\"2\">", "</b/>", "<?pi>", "</>", "<a href=\"", "<é>"]
+
+    def shown(tree):
+        return tree if tree is None else [(e.tag, e.attrib, e.text, e.tail) for e in tree.iter()]
+
+    fast = 0
+    for i in range(6000):
+        parts = draw.choices(plain, k=draw.randint(0, 12)) + draw.choices(odd, k=i % 3 // 2)
+        draw.shuffle(parts)
+        page = "".join(parts)
+        cut = html_nodes.TreeParser().plain_tree(page)
+        try:
+            whole = html_nodes.TreeParser().tree(page)
+        except AssertionError:
+            whole = None
+        assert shown(html_nodes.parse_page(page)) == shown(whole), page
+        fast += cut is not None
+    assert fast >= 4000
+    page = f"<table><tbody>{row_of(CELLS) * 50}</tbody></table>"
+    assert html_nodes.TreeParser().plain_tree(page) is not None
+
+
 def test_pages_are_read_late(spark, tmp_path):
     path = str(tmp_path / "pages {1}")
     spark.range(100).selectExpr("concat('http://site.test/p?id=', id) AS url", "repeat('x', 10 + id) AS html"
