@@ -1,9 +1,9 @@
 """Stored pages, found by their URLs and read late.
 
 Which pages are wanted is settled on URLs and the places of rows in their files; HTML is read only
-where a wanted row lies. The rows of a file meet the wanted places of that file where they are
-scanned, some files at a time, so HTML is neither shuffled nor joined against a large table, and
-files without a wanted page are not opened again.
+where a wanted row lies. Wanted rows are marked in bitmaps, a bit for each row of a file, and a scan
+looks its rows up there, some files at a time: HTML is neither shuffled nor joined against a large
+table, and files without a wanted page are not opened again.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from sightlake.functions.urls import link_key
 from sightlake.operators.joins import lookup_join
 from sightlake.sources import readers
 
-#: Places that are broadcast at once; a place is a file's name and a row's number.
-PLACES = 500_000
+#: Bytes of bitmaps that are broadcast at once, and of one beside its bits and its file's name.
+MARKED, MARK = 16 << 20, 64
 #: So many pages per task or fewer are moved to give all cores some.
 MOVED = 1_000
 
@@ -37,37 +37,65 @@ def linked_places(places: DataFrame, keys: DataFrame, **join_options) -> DataFra
     return lookup_join(places, keys.select("page_key").distinct(), ["page_key"], "left_semi", **join_options)
 
 
+def _bit(row: Column) -> tuple[Column, Column]:
+    """Which bitmap of its file a row's bit is in, and where."""
+    return F.bitmap_bucket_number(row + 1), F.bitmap_bit_position(row + 1)
+
+
+def row_marks(places: DataFrame) -> DataFrame:
+    """(file, bucket, marks, n): bitmaps of the rows at some places, up to the last one's bit."""
+    bucket, bit = _bit(F.col("row"))
+    held = places.select("file", bucket.alias("bucket"), bit.alias("bit"))
+    return held.groupBy("file", "bucket").agg(
+        F.bitmap_construct_agg("bit").alias("marks"), F.max("bit").alias("last"),
+        F.count(F.lit(1)).alias("n"),
+    ).selectExpr("file", "bucket", "substring(marks, 1, cast(last DIV 8 AS int) + 1) AS marks", "n")
+
+
+def _marked(marks: Column, bit: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(marks, (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, (bit % 8).cast("int")) == 1
+
+
 def read_places(
-    spark: SparkSession, path: str, places: DataFrame, at_once: int = PLACES
+    spark: SparkSession, path: str, places: DataFrame, at_once: int = MARKED
 ) -> DataFrame:
     """(url, page_key, html, file, row) of the pages at some places, which must be staged.
 
-    Files are taken in groups of so many places that a group's can be broadcast; a group's scan
-    opens its files only. One row for each file comes to the driver, which lists the files anyway.
-    Few pages are spread over the cores that will parse them, many stay where they lie.
+    Files are taken in groups of so many bytes of bitmaps that a group's can be broadcast; a group's
+    scan opens its files only. One row for each file comes to the driver, which lists the files
+    anyway; of places it holds bits, however many are wanted. Few pages are spread over the cores
+    that will parse them, many stay where they lie.
     """
-    counted = places.groupBy("file").agg(F.count(F.lit(1)).alias("n")).orderBy("file").collect()
+    marks = session.stage(row_marks(places), "marks")
+    counted = marks.groupBy("file").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.length("marks") + F.octet_length("file") + F.lit(MARK)).alias("size"),
+    ).orderBy("file").collect()
     groups: list[list[str]] = []
     held = at_once
     for row in counted:
-        if held + row["n"] > at_once:
+        if held + row["size"] > at_once:
             groups.append([])
             held = 0
         groups[-1].append(row["file"])
-        held += row["n"]
+        held += row["size"]
     if not groups:
         return readers.read_pages(spark, path).limit(0).select(
             "url", link_key(F.col("url")).alias("page_key"), "html",
             F.lit("").alias("file"), F.lit(0).cast("long").alias("row"))
     parts = []
     for files in groups:
-        wanted = places.where(F.col("file").between(files[0], files[-1])).select("file", "row")
+        wanted = marks.where(F.col("file").between(files[0], files[-1])).select("file", "bucket", "marks")
         scan = spark.read.schema("url string, html string").parquet(*[session.path_of_uri(spark, f) for f in files])
+        row = F.col("_metadata.row_index")
+        bucket, bit = _bit(row)
         found = scan.select(
             "url", link_key(F.col("url")).alias("page_key"), "html",
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-        parts.append(found.join(F.broadcast(wanted), ["file", "row"], "left_semi").select(
-            "url", "page_key", "html", "file", "row"))
+            F.col("_metadata.file_path").alias("file"), row.alias("row"),
+            bucket.alias("bucket"), bit.alias("bit"))
+        parts.append(found.join(F.broadcast(wanted), ["file", "bucket"]).where(
+            _marked(F.col("marks"), F.col("bit"))).select("url", "page_key", "html", "file", "row"))
     pages = reduce(DataFrame.unionByName, parts)
     tasks = 3 * spark.sparkContext.defaultParallelism
     return pages.repartition(tasks) if sum(r["n"] for r in counted) <= MOVED * tasks else pages

@@ -207,6 +207,22 @@ def test_plain_pages_give_the_parsers_tree():
     assert html_nodes.TreeParser().plain_tree(page) is not None
 
 
+def test_a_scan_looks_rows_up_in_bitmaps(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    spark.range(70_000, numPartitions=1).selectExpr(
+        "concat('http://site.test/p?id=', id) AS url", "concat('x', id) AS html").write.parquet(path)
+    places = session.stage(pages.page_places(spark, path), "places")
+    for wanted in ("row % 2 = 0", "row IN (0, 7, 8, 32767, 32768, 65535, 69999)", "row = 69999"):
+        some = session.stage(places.where(wanted).unionByName(places.where(wanted)), "some")
+        read = pages.read_places(spark, path, some)
+        assert read.select("row").distinct().count() == read.count() == places.where(wanted).count()
+        assert read.where("html <> concat('x', row)").count() == 0
+    # Half of all rows: two bytes of five hold what 70,000 rows of file names would.
+    size = pages.row_marks(session.stage(places.where("row % 2 = 0"), "some")).agg(
+        F.sum(F.length("marks") + F.octet_length("file"))).first()[0]
+    assert size < 12_000
+
+
 def test_pages_are_read_late(spark, tmp_path):
     path = str(tmp_path / "pages {1}")
     spark.range(100).selectExpr("concat('http://site.test/p?id=', id) AS url", "repeat('x', 10 + id) AS html"
