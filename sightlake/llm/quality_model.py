@@ -18,7 +18,6 @@ import zlib
 from typing import NamedTuple
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,16 +138,13 @@ def learn_lists(df: DataFrame, labels: DataFrame, column: str = "text", key: str
     picked = _sample(placed.select("key", "place").join(labelled, "key"), rows)
     held = placed.join(F.broadcast(picked), "place")
 
-    @F.arrow_udf("array<binary>")
-    def named(rows_: pa.Array) -> pa.Array:
-        found = []
-        for text in rows_:
-            words = set(alnum_words(text.as_py() or b""))
-            found.append([b"=" + w for w in words] + [b"^" + w for w in _beginnings(words)])
-        return pa.array(found, pa.list_(pa.binary()))
+    def named(texts: list[bytes]) -> list[tuple]:
+        found = (set(alnum_words(t)) for t in texts)
+        return [([*(b"=" + w for w in words), *(b"^" + w for w in _beginnings(words))],)
+                for words in found]
 
-    marked = held.select(
-        "toxic", F.explode(named(F.col("text").cast("string").cast("binary"))).alias("name"))
+    marked = over_texts(held, "text", "names array<binary>", named).select(
+        "toxic", F.explode("names").alias("name"))
     total = held.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
     if not total["toxic"] or total["toxic"] == total["n"]:
         return Lists(frozenset(), frozenset())
@@ -242,7 +238,7 @@ def train(df: DataFrame, lists: Lists, column: str = "text", key: str = "doc_id"
         accuracies |= {f"{name}: {x}": float(a) for x, a in zip(labellers, rates, strict=True)}
 
     def described(texts: list[bytes]) -> list[tuple]:
-        return [(bad, toxic, of.tolist()) for bad, toxic, of in (_features(t, lists) for t in texts)]
+        return [(bad, toxic, of) for bad, toxic, of in (_features(t, lists) for t in texts)]
 
     placed = _placed(df, column, key)
     picked = placed.join(F.broadcast(_sample(placed.select("key", "place"), rows)), "place")
