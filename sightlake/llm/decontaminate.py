@@ -1,6 +1,6 @@
 """Benchmark passages in training documents, by suffix arrays of the training side.
 
-A shard is one Arrow batch of documents. Its words become numbers, its suffixes are sorted as
+A shard is some documents of a task. Its words become numbers as they are read, its suffixes are sorted as
 far as the longest benchmark item goes, and every suffix of the benchmark is looked up in the
 order by binary search: the range that shares its window gives all places, and extending the
 match there gives the longest verbatim one. Only suffixes that can hold a window are sorted:
@@ -12,7 +12,7 @@ neither shuffled nor joined.
 
 from __future__ import annotations
 
-from collections import OrderedDict
+from collections import OrderedDict, defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,13 +20,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sightlake.llm.frames import kept_rows, over_texts, quoted
+from sightlake.llm.frames import AT_ONCE, kept_rows, over_texts, quoted
 from sightlake.llm.words import alnum_words
 
 WINDOW = 13
-#: Bytes of benchmark text in one block, and so in one broadcast; built blocks a worker keeps; and
-#: bytes of documents that meet a block together, where there are more blocks than that.
-BLOCK_BYTES, BUILT, TOGETHER = 4 << 20, 6, 64 << 20
+#: Bytes of benchmark text in one block, and so in one broadcast; built blocks a worker keeps;
+#: bytes of documents that meet a block together, where there are more blocks than that; and with
+#: fewer, how many times the benchmark's bytes.
+BLOCK_BYTES, BUILT, TOGETHER, TIMES = 4 << 20, 6, 64 << 20, 4
 FOUND = (
     "n_words long, n_hit long, n_items long, items array<string>, longest_words long, "
     "longest_start long, longest_item string")
@@ -110,12 +111,10 @@ def _places(block: _Block, words: np.ndarray):
     none = np.empty(0, np.int64)
     if not len(block.starts):
         return none, none
-    known = words > 0
-    run = len(words) - np.arange(len(words))
-    breaks = np.flatnonzero(~known)
-    following = np.searchsorted(breaks, np.arange(len(words)))
-    run = np.where(following < len(breaks), breaks[np.minimum(following, len(breaks) - 1)]
-                   - np.arange(len(words)), run) if len(breaks) else run
+    # Every document ends with a zero, so something breaks each run.
+    breaks = np.flatnonzero(words == 0).astype(np.int32)
+    run = np.repeat(breaks, np.diff(breaks, prepend=np.int32(-1)))
+    run -= np.arange(len(run), dtype=np.int32)
     starts = np.flatnonzero(run >= block.least)
     if not len(starts):
         return none, none
@@ -143,19 +142,31 @@ def _extended(block: _Block, padded, places, queries) -> np.ndarray:
     return length
 
 
+def _numbered(texts: list[bytes]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
+    """Numbers of the words of a shard, its texts in numbers with a zero after each, their sizes."""
+    numbers: defaultdict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    numbers[b""] = 0  # no word is empty
+    parts, sizes = [], []
+    for text in texts:
+        own = [numbers[w] for w in alnum_words(text)]
+        sizes.append(len(own))
+        own.append(0)
+        parts.append(np.array(own, np.int32))
+    return (numbers, np.concatenate(parts) if parts else np.empty(0, np.int32),
+            np.array(sizes, np.int64))
+
+
 def find_in_shard(texts: list[bytes], blocks: Iterable[_Block]) -> list[tuple]:
     """A row of FOUND for each document of a shard."""
-    split = [alnum_words(t) for t in texts]
-    sizes = np.array([len(w) for w in split], np.int64)
+    numbers, shard, sizes = _numbered(texts)
     firsts = np.concatenate(([0], np.cumsum(sizes + 1)))
-    edges = np.zeros(firsts[-1] + 1, np.int64)
+    edges = np.zeros(len(shard) + 1, np.int32)
     items: list[set] = [set() for _ in texts]
     best: list[tuple] = [(0, None, None)] * len(texts)
     for block in blocks:
         get = block.numbers.get
-        words = np.zeros(firsts[-1], np.int32)
-        for first, own in zip(firsts.tolist(), split, strict=False):
-            words[first:first + len(own)] = [get(w, 0) for w in own]
+        words = np.array([get(w, 0) for w in numbers], np.int32)[shard]
         places, queries = _places(block, words)
         if not len(places):
             continue
@@ -173,10 +184,10 @@ def find_in_shard(texts: list[bytes], blocks: Iterable[_Block]) -> list[tuple]:
             found = (int(length[x]), int(places[x] - firsts[of[x]]), block.names[owner[x]])
             if found[0] > best[of[x]][0]:
                 best[of[x]] = found
-    covered = np.concatenate(([0], np.cumsum(np.cumsum(edges[:-1]) > 0)))
+    covered = np.concatenate(([0], np.cumsum(np.cumsum(edges[:-1], dtype=np.int32) > 0)))
     return [
-        (len(own), int(covered[first + len(own)] - covered[first]), len(named), sorted(named), *top)
-        for first, own, named, top in zip(firsts.tolist(), split, items, best, strict=False)]
+        (size, int(covered[first + size] - covered[first]), len(named), sorted(named), *top)
+        for first, size, named, top in zip(firsts.tolist(), sizes.tolist(), items, best, strict=False)]
 
 
 _built: OrderedDict[tuple[int, int], _Block] = OrderedDict()
@@ -224,13 +235,20 @@ def find_benchmark(
     named = benchmark.select(
         F.coalesce(F.col(quoted(item)).cast("string"), F.lit("")),
         F.coalesce(F.col(quoted(item_column)).cast("string").cast("binary"), F.lit(b"")))
-    sent = [context.broadcast(b) for b in _blocks(named.toLocalIterator(), block_bytes)]
+    sent, size = [], 0
+    for block in _blocks(named.toLocalIterator(), block_bytes):
+        size += sum(len(text) for _, text in block)
+        sent.append(context.broadcast(block))
     numbered = [(s._jbroadcast.id(), s) for s in sent]
+    # All of the benchmark is looked up in every shard, so a shard is large beside it.
+    at_once = min(TOGETHER, max(AT_ONCE, TIMES * size))
 
     def rows(texts: list[bytes]) -> list[tuple]:
         return find_in_shard(texts, (_block(n, s, window) for n, s in numbered))
 
-    return over_texts(documents, column, FOUND, rows, TOGETHER if len(sent) > BUILT else 0)
+    if len(sent) > BUILT:
+        return over_texts(documents, column, FOUND, rows, TOGETHER, together=True)
+    return over_texts(documents, column, FOUND, rows, at_once)
 
 
 def contaminated(found: str = "n_hit", words: str = "n_words", share: int = 20):

@@ -29,11 +29,17 @@ _CUTS = [re.compile(p) for p in (r"▁*[^\W\d_²³¹]+|▁*(?:[\d_²³¹]|[^\w
 CACHED_CHUNKS, CACHED_CHUNK_CHARS, CACHED_PAIRS = 500_000, 32, 500_000
 
 
+@lru_cache(2)
+def processor(model_file: str) -> sentencepiece.SentencePieceProcessor:
+    return sentencepiece.SentencePieceProcessor(model_file=model_file)
+
+
 class PrefixEncoder:
     """Ids as the library gives them for a merge-type model with byte fallback."""
 
-    def __init__(self, model_file: str):
-        self.model = sentencepiece.SentencePieceProcessor(model_file=model_file)
+    def __init__(self, model_file: str, cached: int = CACHED_CHUNKS):
+        self.cached = cached
+        self.model = processor(model_file)
         self.normalizer = sentencepiece.SentencePieceNormalizer(model_file=model_file)
         model = self.model
         self.pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
@@ -140,7 +146,7 @@ class PrefixEncoder:
         if found is None:
             found = self._chunk(chunk)
         if len(chunk) <= CACHED_CHUNK_CHARS:
-            if len(self.chunks) >= CACHED_CHUNKS:
+            if len(self.chunks) >= self.cached:
                 self.older, self.chunks = self.chunks, {}
             self.chunks[chunk] = found
         return found
@@ -158,24 +164,28 @@ class PrefixEncoder:
 
 
 @lru_cache(2)
-def encoder(model_file: str) -> PrefixEncoder:
-    return PrefixEncoder(model_file)
+def encoder(model_file: str, cached: int = CACHED_CHUNKS) -> PrefixEncoder:
+    return PrefixEncoder(model_file, cached)
 
 
 def encode(df: DataFrame, model_file: str, column: str = "text", ids: str = "ids",
-           end: bool = True) -> DataFrame:
+           end: bool = True, cached: int = CACHED_CHUNKS) -> DataFrame:
     """df with the ids of each text (array of int), the end id last if asked for.
 
     A null text counts as empty, which leaves the end id alone. Rows keep their places: nothing
-    is shuffled, equal rows get equal ids. The model is a file that all executors have.
+    is shuffled, equal rows get equal ids. The model is a file that all executors have. A worker
+    keeps up to twice ``cached`` chunks, some 200 bytes each; fewer cost time only.
     """
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
-        coder = encoder(model_file)
+        coder = encoder(model_file, cached)
         tail = array("i", [coder.model.eos_id()] if end else []).tobytes()
-        rows = [coder.packed(t.as_py() or "") + tail for t in texts]
-        offsets = np.concatenate(([0], np.cumsum([len(r) >> 2 for r in rows]))).astype(np.int32)
-        return pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(rows), np.int32))
+        held, offsets = bytearray(), [0]
+        for text in texts:
+            held += coder.packed(text.as_py() or "")
+            held += tail
+            offsets.append(len(held) >> 2)
+        return pa.ListArray.from_arrays(np.array(offsets, np.int32), np.frombuffer(held, np.int32))
 
     return with_columns(df, {ids: encoded(F.col(quoted(column)).cast("string"))})
 
@@ -184,7 +194,7 @@ def decode(df: DataFrame, model_file: str, ids: str = "ids", column: str = "deco
     """df with the text that the ids stand for, as the library decodes them; null stays null."""
     @F.arrow_udf("string")
     def decoded(rows: pa.Array) -> pa.Array:
-        model = encoder(model_file).model
+        model = processor(model_file)
         return pa.array([
             model.decode(r.values.to_numpy(zero_copy_only=False).tolist()) if r.is_valid else None
             for r in rows], pa.string())

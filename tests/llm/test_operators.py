@@ -6,6 +6,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -17,7 +18,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from sightlake.llm import (
-    decontaminate, html_content, licenses, line_templates, quality_model, quality_rules,
+    decontaminate, frames, html_content, licenses, line_templates, quality_model, quality_rules,
     sentencepiece_codec, simhash, suffix_dedup, token_files,
 )
 from sightlake.llm.components import components
@@ -340,6 +341,37 @@ def test_benchmark_blocks_are_built_once_in_a_worker(monkeypatch):
     assert len(decontaminate._built) == decontaminate.BUILT
 
 
+def test_an_encoder_of_few_chunks_gives_the_same_ids():
+    few, many = sentencepiece_codec.PrefixEncoder(PIECES, 5), sentencepiece_codec.encoder(PIECES)
+    for text in [t or "" for t in TEXTS] * 2:
+        assert few.packed(text) == many.packed(text)
+        assert len(few.chunks) <= 5 and len(few.older) <= 5
+
+
+def test_words_of_a_shard_are_held_as_numbers():
+    draw = random.Random(8)
+    known = [f"word{i}" for i in range(3000)]
+    texts = [" ".join(draw.choices(known, k=1000)).encode() for _ in range(300)]
+    block = decontaminate._Block([("1", b"word1 word2 of the item"), ("2", texts[7][:200])], 13)
+    tracemalloc.start()
+    rows = decontaminate.find_in_shard(texts, [block])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [i for i, r in enumerate(rows) if r[3] == ["2"]] == [7]
+    assert peak < 6 * sum(map(len, texts))
+
+
+def test_texts_are_taken_a_bounded_part_at_a_time(spark):
+    docs = spark.range(12, numPartitions=1).selectExpr(
+        "id", "CASE WHEN id = 5 THEN NULL WHEN id = 7 THEN repeat('é', 2000000) ELSE repeat('x', 700000) END AS text")
+    seen = frames.over_texts(docs, "text", "n long, at_once long", lambda texts: [
+        (len(t), sum(map(len, texts))) for t in texts])
+    rows = {r["id"]: (r["n"], r["at_once"]) for r in seen.collect()}
+    assert {i: n for i, (n, _) in rows.items()} == {
+        i: 0 if i == 5 else 4_000_000 if i == 7 else 700_000 for i in range(12)}
+    assert all(n <= frames.AT_ONCE for i, (_, n) in rows.items() if i != 7) and rows[7][1] == 4_000_000
+
+
 def test_many_benchmark_blocks(spark):
     docs = spark.range(300, numPartitions=2).selectExpr("id AS doc_id", "concat('so item', id, ' stands here now') AS text")
     bench = spark.range(40).selectExpr("cast(id AS string) AS item_id", "concat('item', 3 * id, ' stands') AS text")
