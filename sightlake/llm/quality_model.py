@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -89,27 +90,63 @@ def _beginnings(words: set[bytes]) -> set[bytes]:
     return {w[:n] for n in BEGINNINGS for w in words if len(w) >= n}
 
 
-def _votes(form: dict[str, float], words: set[bytes], lists: Lists) -> tuple[int, int]:
-    """Bits of the labellers that say something of a text's quality, and of its toxicity."""
+def _numbered(texts: list[bytes]) -> tuple[dict[bytes, int], list[np.ndarray]]:
+    """Numbers of the distinct words of some texts, and those of each text's own."""
+    numbers: dict[bytes, int] = {}
+    owned = []
+    for text in texts:
+        words = set(alnum_words(text))
+        new = words.difference(numbers)
+        numbers.update(zip(new, range(len(numbers), len(numbers) + len(new)), strict=True))
+        owned.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+    return numbers, owned
+
+
+def _quality_votes(form: dict[str, float]) -> int:
+    """Bits of the labellers that say something of a text's quality."""
     against = [form[name] >= limit for name, limit in _LIMITS.items()]
     plain = not any(form[name] >= limit / 4 for name, limit in _LIMITS.items() if name != "short")
     sentences = 0.02 <= form["stops"] <= 0.5 and not any(against[:5])
-    toxic = [not INSULTS.isdisjoint(words), not lists.words.isdisjoint(words),
-             not lists.beginnings.isdisjoint(_beginnings(words))]
-    return (sum(1 << i for i, says in enumerate([*against, plain, sentences]) if says),
-            sum(1 << i for i, says in enumerate([*toxic, not any(toxic)]) if says))
-
-
-def _features(text: bytes, lists: Lists) -> tuple[int, int, np.ndarray]:
-    """Votes, and distinct buckets of words, beginnings, steps of the form, and the votes."""
-    words, form = set(alnum_words(text)), _form(text)
-    bad, toxic = _votes(form, words, lists)
-    named = [*words, *(b"^" + w for w in _beginnings(words))]
-    named += [f"={k}{min(9, int(10 * v))}".encode() for k, v in form.items()]
-    named += [f"=bad{i}".encode() for i in range(len(QUALITY_LABELLERS)) if bad >> i & 1]
-    named += [f"=toxic{i}".encode() for i in range(len(TOXICITY_LABELLERS)) if toxic >> i & 1]
-    buckets = np.fromiter(map(zlib.crc32, named), np.int64, len(named)) & (BUCKETS - 1)
-    return bad, toxic, np.unique(buckets)
+    return sum(1 << i for i, says in enumerate([*against, plain, sentences]) if says)
+
+
+def _toxicity_votes(numbers: dict[bytes, int], owned: list[np.ndarray], lists: Lists) -> list[int]:
+    """The same of toxicity, for some texts; a word is looked up once for all of them."""
+    said = np.zeros(len(numbers), np.int64)
+    for bit, listed in ((1, INSULTS), (2, lists.words)):
+        said[[numbers[w] for w in listed if w in numbers]] += bit
+    least = min(BEGINNINGS)
+    heads = {b[:least] for b in lists.beginnings}
+    said[[numbers[w] for w in numbers if w[:least] in heads
+          and not lists.beginnings.isdisjoint(_beginnings({w}))]] += 4
+    return [int(np.bitwise_or.reduce(said[own])) or 8 for own in owned]
+
+
+def _votes(texts: list[bytes], lists: Lists) -> list[tuple[int, int]]:
+    """Votes on the quality and on the toxicity of some texts."""
+    toxic = _toxicity_votes(*_numbered(texts), lists)
+    return [(_quality_votes(_form(t)), votes) for t, votes in zip(texts, toxic, strict=True)]
+
+
+def _features(texts: list[bytes], lists: Lists) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Votes on each text, and distinct buckets of words, beginnings, steps of the form, and the votes."""
+    numbers, owned = _numbered(texts)
+    # A word and its beginnings; the word once more for one it is too short for.
+    buckets = np.empty((len(numbers), 1 + len(BEGINNINGS)), np.int32)
+    buckets[:, 0] = np.fromiter(map(zlib.crc32, numbers), np.int64, len(numbers)) & (BUCKETS - 1)
+    marked = zlib.crc32(b"^")
+    for i, n in enumerate(BEGINNINGS, 1):
+        buckets[:, i] = np.fromiter(
+            (zlib.crc32(w[:n], marked) if len(w) >= n else zlib.crc32(w) for w in numbers),
+            np.int64, len(numbers)) & (BUCKETS - 1)
+    for text, own, toxic in zip(texts, owned, _toxicity_votes(numbers, owned, lists), strict=True):
+        form = _form(text)
+        bad = _quality_votes(form)
+        named = [f"={k}{min(9, int(10 * v))}".encode() for k, v in form.items()]
+        named += [f"=bad{i}".encode() for i in range(len(QUALITY_LABELLERS)) if bad >> i & 1]
+        named += [f"=toxic{i}".encode() for i in range(len(TOXICITY_LABELLERS)) if toxic >> i & 1]
+        others = np.fromiter(map(zlib.crc32, named), np.int64, len(named)) & (BUCKETS - 1)
+        yield bad, toxic, np.unique(np.concatenate((buckets[own].ravel(), others)))
 
 
 def _placed(df: DataFrame, column: str, key: str) -> DataFrame:
@@ -143,8 +180,10 @@ def learn_lists(df: DataFrame, labels: DataFrame, column: str = "text", key: str
         return [([*(b"=" + w for w in words), *(b"^" + w for w in _beginnings(words))],)
                 for words in found]
 
+    # Not explode: for it Spark has texts without names left out before the join, by this function
+    # on every text of the table.
     marked = over_texts(held, "text", "names array<binary>", named).select(
-        "toxic", F.explode("names").alias("name"))
+        "toxic", F.explode_outer("names").alias("name")).where("name IS NOT NULL")
     total = held.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
     if not total["toxic"] or total["toxic"] == total["n"]:
         return Lists(frozenset(), frozenset())
@@ -225,7 +264,7 @@ def train(df: DataFrame, lists: Lists, column: str = "text", key: str = "doc_id"
     voted = over_texts(
         df.select(F.col(quoted(key)).alias("key"), F.col(quoted(column)).alias("text")), "text",
         "bad long, toxic long",
-        lambda texts: [_votes(_form(t), set(alnum_words(t)), lists) for t in texts])
+        lambda texts: _votes(texts, lists))
     counted = voted.groupBy("bad", "toxic").agg(F.count("*").alias("n")).collect()
     meanings, accuracies = [], {}
     for name, labellers, for_ in (("bad", QUALITY_LABELLERS, QUALITY_FOR),
@@ -238,7 +277,7 @@ def train(df: DataFrame, lists: Lists, column: str = "text", key: str = "doc_id"
         accuracies |= {f"{name}: {x}": float(a) for x, a in zip(labellers, rates, strict=True)}
 
     def described(texts: list[bytes]) -> list[tuple]:
-        return [(bad, toxic, of) for bad, toxic, of in (_features(t, lists) for t in texts)]
+        return list(_features(texts, lists))
 
     placed = _placed(df, column, key)
     picked = placed.join(F.broadcast(_sample(placed.select("key", "place"), rows)), "place")
@@ -268,8 +307,7 @@ def score(df: DataFrame, model: Model, column: str = "text") -> DataFrame:
     def rows(texts: list[bytes]) -> list[tuple]:
         weights, constants, posterior, lists = sent.value
         found = []
-        for text in texts:
-            _, voted, features = _features(text, lists)
+        for _, voted, features in _features(texts, lists):
             total = weights[features].sum(axis=0) + constants
             bad, toxic = (1 / (1 + np.exp(-np.clip(total, -30, 30)))).tolist()
             found.append((1 - bad, max(toxic, posterior.get(voted, 0.0))))

@@ -18,6 +18,7 @@ from sightlake.llm.words import blank_words, code_points
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, "
     "n_repeat_words long")
@@ -53,10 +54,19 @@ STRICT = Policy("strict", 1, tuple(r.name for r in RULES))
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     """Words inside a window of that many words that the text has at least twice.
 
-    Windows are ranked by doubling: equal ranks are equal words, no hash decides.
+    Windows are ranked by doubling: equal ranks are equal words, no hash decides. Hashes only tell
+    beforehand that no two windows are equal.
     """
     if len(words) <= window:
         return 0
+    mixed, width = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64), 1
+    while width < window:
+        step = min(width, window - width)
+        mixed = mixed[:-step] * (_MIX + np.uint64(2 * width)) + mixed[step:]
+        width += step
+    mixed.sort()
+    if not (mixed[1:] == mixed[:-1]).any():
+        return 0
     seen: dict[bytes, int] = {}
     rank = np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words))
     width = 1

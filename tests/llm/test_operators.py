@@ -397,6 +397,39 @@ def test_quality_model(spark):
     assert quality_model.classify(docs.limit(0), labels).count() == 0
 
 
+def test_word_lists_are_read_from_labelled_rows_only(spark, monkeypatch):
+    plans, stage = [], quality_model.stage
+
+    def kept(df, name, by=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, name, by)
+
+    monkeypatch.setattr(quality_model, "stage", kept)
+    docs = table(spark, [*(f"vequ{i} fool of word{i}" for i in range(40)), *["a word of them"] * 160, "", None])
+    labels = spark.createDataFrame([(i, 1, int(i < 40)) for i in range(180)] + [(200, 1, 0), (201, 1, 0)],
+                                   "doc_id long, quality int, toxic int")
+    lists = quality_model.learn_lists(docs, labels)
+    assert (lists.words, lists.beginnings) == ({b"fool"}, {b"vequ", b"fool"})
+    # Above the join with the labelled rows, and nowhere below it.
+    assert [p.count("ArrowEvalPython") for p in plans] == [1]
+
+
+def test_votes_and_features_of_texts_taken_together():
+    lists = quality_model.Lists(frozenset({b"fool"}), frozenset({b"vequ", b"wretch"}))
+    texts = [(t or "").encode() for t in TEXTS] + [
+        b"Fool!", b"a vequ", b"vequila", b"veq", b"wretc", b"wretched idiot", b"A FOOL " * 30, b"\xff x"]
+    found = list(quality_model._features(texts, lists))
+    assert [f[:2] for f in found] == quality_model._votes(texts, lists)
+    for text, (bad, toxic, buckets) in zip(texts, found, strict=True):
+        words, form = set(re.findall(rb"[0-9a-z\x80-\xff]+", text.lower())), quality_model._form(text)
+        heads = {w[:n] for w in words for n in (4, 6, 8) if len(w) >= n}
+        says = [bool(words & {b"idiot"}), b"fool" in words, bool(heads & lists.beginnings)]
+        assert toxic == sum(1 << i for i, s in enumerate([*says, not any(says)]) if s)
+        names = [*words, *(b"^" + h for h in heads), *(f"={k}{min(9, int(10 * v))}".encode() for k, v in form.items())]
+        names += [b"=bad%d" % i for i in range(8) if bad >> i & 1] + [b"=toxic%d" % i for i in range(4) if toxic >> i & 1]
+        assert buckets.tolist() == sorted({zlib.crc32(n) & (quality_model.BUCKETS - 1) for n in names})
+
+
 def test_line_templates(spark):
     same = "Page {} of the county record, kept by the clerk"
     texts = [f"first {chr(97 + i) * 3}\n{same.format(i)}\nown words {chr(98 + i) * 4}" for i in range(8)]
