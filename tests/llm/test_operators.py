@@ -15,8 +15,10 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from sightlake.llm import (
     decontaminate, frames, html_content, licenses, line_templates, quality_model, quality_rules,
     sentencepiece_codec, simhash, suffix_dedup, token_files,
@@ -57,6 +59,21 @@ def test_sentencepiece_round_trip(spark):
     assert sentencepiece_codec.encode(docs.limit(0), PIECES).count() == 0
 
 
+def test_round_trip_encodes_once_and_in_parts(spark):
+    long = "The clerk, page ４ é " * 150_000  # more than is coded at a time
+    docs = table(spark, [*TEXTS, long, None, long]).withColumn("Decoded", F.lit("own"))
+    found = sentencepiece_codec.round_trip(docs, PIECES, cached=20)
+    assert sorted(found.columns) == sorted([*docs.columns[:-1], "decoded"])
+    model = sentencepiece_codec.processor(PIECES)
+    for row in found.collect():
+        ids = [*model.encode(row["text"] or ""), model.eos_id()]
+        assert row["ids"] == ids and row["decoded"] == model.decode(ids)
+    assert sentencepiece_codec.round_trip(docs.limit(0), PIECES).count() == 0
+    # Of two functions, one on the other's result, Spark ran the first for itself and again for the second.
+    plan = corpus_pipeline.tokens(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert "pythonUDF0" in plan and "pythonUDF1" not in plan
+
+
 def test_prefix_encoder_on_random_texts():
     coder, draw = sentencepiece_codec.PrefixEncoder(PIECES), random.Random(1)
     letters = "ab ▁c\né\U00010348thein\r;){"
