@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,17 +16,29 @@ def host_of(url: Column) -> Column:
 
 def host_allowed(url: Column, hosts: Sequence[str]) -> Column:
     """True for a URL on one of the hosts or on a host below one of them."""
-    host = host_of(url)
-    ok = F.lit(False)
-    for allowed in hosts:
-        ok = ok | (host == allowed.lower()) | host.endswith("." + allowed.lower())
+    wanted = [h.lower() for h in hosts if not re.search("[/?#:]", h)]  # no host holds any of these
+    if not wanted:
+        return F.lit(False)
+    if not all(h and h.isascii() for h in wanted):
+        host = host_of(url)
+        ok = reduce(lambda a, b: a | b, [(host == h) | host.endswith("." + h) for h in wanted])
+        return F.coalesce(ok, F.lit(False))
+    # One match says all: cutting the host out and comparing it takes one for each comparison.
+    # The Kelvin sign is the one letter beyond ASCII whose lower case is within.
+    names = "|".join(re.escape(h).replace("k", r"[k\x{212A}]") for h in wanted)
+    plain = [url.startswith(f"{scheme}://{h}/") for h in wanted for scheme in ("https", "http")]
+    ok = reduce(lambda a, b: a | b, plain) | url.rlike(
+        r"^[A-Za-z][A-Za-z0-9+.-]*+://(?:[^/?#@]*+@)?+(?:[^/?#:]*\.)?(?i:" + names + r")(?=[/?#:]|\z)")
     return F.coalesce(ok, F.lit(False))
 
 
 def link_key(url: Column) -> Column:
     """What names a page apart from its host: path and query, without the fragment."""
-    rest = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*/?|^/|#.*"
-    return F.concat(F.lit("/"), F.regexp_replace(url, rest, ""))
+    site = r"(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*/?"
+    # A pattern bound to the beginning is tried once, not at each letter.
+    rest = F.when(url.contains("#"), F.regexp_replace(url, rf"^{site}|^/|#.*", "")).otherwise(
+        F.regexp_replace(url, rf"^(?:{site}|/)", ""))
+    return F.concat(F.lit("/"), rest)
 
 
 def resolve_link(page_url: Column, href: Column) -> Column:

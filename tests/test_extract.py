@@ -275,3 +275,30 @@ def test_only_html_goes_through_python(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "Exchange" not in plan and "page_id" not in plan
     assert out.count() > 0
+
+
+def test_plain_pages_may_have_references_in_links():
+    page = '<table><tr><td><u><a href="/day?d=1&amp;n=1&quot;&#39;">2019-03-05</a>x</b>y</u></td></table>'
+    cut, whole = html_nodes.plain_tree(page), html_nodes.TreeParser().tree(page)
+    assert cut is not None
+    assert [(e.tag, e.attrib, e.text, e.tail) for e in cut.iter()] == [
+        (e.tag, e.attrib, e.text, e.tail) for e in whole.iter()]
+    assert html_nodes.links_at(cut, ("tr", "td", "u", "a")) == [("2019-03-05", "/day?d=1&n=1\"'")]
+    assert all(html_nodes.plain_tree(p) is None for p in ('<a href="&lt">', '<a href="&nbsp;">', "<a", "a<"))
+
+
+def test_hosts_are_told_by_one_match(spark):
+    hosts = ["Kits.test", "site.test", "x.test:80"]
+    allowed = ["http://site.test/", "HTTP://u:p@SITE.test:80?q", "https://a.b.site.test#x", "x+y://\u212aits.test",
+               "https://.site.test\n/".replace("\n", ""), "http://site.test@kits.test/"]
+    refused = ["http://site.test@evil.test/", "http://site.test.evil.test/", "http://site.test:x@evil.test/",
+               "http://notsite.test/", "//site.test/", " http://site.test/", "http://x.test:80/",
+               "http://site.test\n/", "http:///site.test", None]
+    df = spark.createDataFrame([(u,) for u in allowed + refused], "u string").coalesce(1)
+    one = host_allowed(F.col("u"), hosts)
+    assert [r[0] for r in df.select(one).collect()] == [True] * len(allowed) + [False] * len(refused)
+    plan = df.where(one)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("regexp_extract") + plan.lower().count("rlike") == 1
+    keys = {"http://s.test/a#b\nc#d": "/a\nc", "/a//b": "/a//b", "//s.test//a": "//a", "a#": "/a", "x:y": "/x:y"}
+    df = spark.createDataFrame([(u,) for u in keys], "u string").coalesce(1)
+    assert [r[0] for r in df.select(link_key(F.col("u"))).collect()] == list(keys.values())

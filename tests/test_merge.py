@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from sightlake.operators import joins
 from sightlake.operators.joins import lookup_join
 from sightlake.operators.merge import merge_reports
 from sightlake.plans import jobs
@@ -250,3 +251,14 @@ def test_empty_report_file_has_the_schema(spark, tmp_path):
     (tmp_path / "empty.json").write_text("")
     empty = readers.read_raw_reports(spark, str(tmp_path / "empty.json"))
     assert empty.schema == readers.schemas.RAW_REPORT and empty.count() == 0
+
+
+def test_hot_keys_are_counted_in_crowded_slots_only(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 40)
+    rows = spark.range(1000).selectExpr("CASE WHEN id % 10 = 0 THEN NULL WHEN id % 4 = 0 THEN 'k' ELSE concat('x', id) END AS k")
+    assert {r[0]: r[1] for r in joins.hot_keys(rows, ["k"], 40).collect()} == {None: 3, "k": 5}
+    monkeypatch.setattr(joins, "SLOTS", 1)
+    assert {r[0]: r[1] for r in joins.hot_keys(rows, ["k"], 90).collect()} == {None: 2, "k": 3}
+    # Without a crowded slot no key is counted, and nothing is staged.
+    monkeypatch.setattr(joins, "stage", None)
+    assert joins.hot_keys(rows, ["k"], 1000) is None
