@@ -603,6 +603,64 @@ def test_line_dedup_against_plain_rules(spark):
     assert [(r["text"], r["n_dropped"]) for r in rows] == want
 
 
+def test_a_line_finds_its_template_behind_a_hot_one(spark):
+    hot, rare = "Sent to the m n o p q f g", "Sent to the a b c d e f g"
+    # Like the rare line at 7 places of 10, and sharing with it only a band for which the hot one speaks.
+    behind = "Sent to the x y c z e f g"
+    texts = ["start"] + [hot] * 30 + [rare] * 7 + [behind, "Sent to the x y c z v w g"]
+    rows = dropped(spark, texts)
+    assert rows[38] == ("", 1) and rows[39] == (texts[39], 0)
+
+
+def alike_everywhere(texts):
+    """Lines of one-line texts that go if every pair of them is looked at, and how many speakers miss."""
+    rows_of = {}
+    for place, text in enumerate(texts):
+        rows_of.setdefault(text, set()).add(place)
+    leaves = {}
+    for line in rows_of:
+        leaves.setdefault((len(line.split(" ")), *line.split(" ")[:3]), []).append(line)
+    gone = set()
+    for (n, *_), own in leaves.items():
+        tokens = {m: m.split(" ") for m in own}
+
+        def like(a, b):
+            same = [x == y for x, y in zip(tokens[a], tokens[b], strict=True)]
+            return sum(same) >= math.ceil(n * 0.7 - 1e-9) and any(same[3:])
+
+        recurs = {m for m in own if len(rows_of[m]) >= 6}
+        rows = {t: len({p for m in own if m not in recurs and like(m, t) for p in rows_of[m]}) for t in own}
+        gone |= recurs | {m for m in own if any(like(m, t) and (t in recurs or rows[t] >= 6) for t in own)}
+    return {p for m in gone for p in rows_of[m]}
+
+
+def test_no_line_stays_that_is_like_a_recurring_one(spark, monkeypatch):
+    draw = random.Random(3)
+    texts = [f"Sent to the {' '.join(draw.choices('abc', k=draw.choice([5, 7, 9])))}" for _ in range(160)]
+    texts += [draw.choice(texts[:6]) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    want = alike_everywhere(texts)
+    for compared in (line_templates.COMPARED, 3):
+        monkeypatch.setattr(line_templates, "COMPARED", compared)
+        rows = line_templates.drop_recurring(docs, keep_first=False).collect()
+        assert {r["doc_id"] for r in rows if r["n_dropped"]} == want
+    # Those that speak for a group find fewer.
+    monkeypatch.setattr(line_templates, "_neighbours", lambda keys, lines: line_templates._spoken(keys).limit(0))
+    rows = line_templates.drop_recurring(docs, keep_first=False).collect()
+    assert {r["doc_id"] for r in rows if r["n_dropped"]} < want < set(range(len(texts)))
+
+
+def test_lines_with_any_blanks_between_tokens(spark):
+    line = "one  two\tthree \x00 four\r five12 6six se7en\x1f"
+    texts = ["\n".join((f" {line}", "", " \t ", f"own{i}")) for i in range(2)] + [line.replace("  ", " ")] * 4
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    lines = line_templates._lines(docs, "text").orderBy("place", "line_no").collect()
+    assert [(r["line_no"], r["single"], r["masked"]) for r in lines[:2]] == [
+        (0, "one two three four five12 6six se7en", "one two three four <*> <*> <*>"), (3, "own0", "<*>")]
+    rows = line_templates.drop_recurring(docs).orderBy("doc_id").collect()
+    assert [r["n_dropped"] for r in rows] == [0, 1, 1, 1, 1, 1] and rows[1]["text"] == "\n \t \nown1"
+
+
 def test_quality_ledger(spark):
     docs = table(spark)
     written = quality_rules.ledger(docs)
